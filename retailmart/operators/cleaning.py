@@ -68,12 +68,13 @@ def fill_from_lookup(
 ) -> DataFrame:
     """Set ``target`` by the value of ``source`` where ``when`` holds and the value is mapped.
 
-    For small fixed mappings; ``fill_from_table`` takes a DataFrame.
+    For small fixed mappings; ``fill_from_table`` takes a DataFrame. The mapping
+    becomes one literal map, so ``source`` appears once in the expression however
+    many values are mapped, and the chain of cleaning steps stays compilable.
     """
-    dtype = df.schema[target].dataType
-    found = F.lit(None).cast(dtype)
-    for key, value in mapping.items():
-        found = F.when(F.col(source) == F.lit(key), F.lit(value).cast(dtype)).otherwise(found)
+    kind, dtype = df.schema[source].dataType, df.schema[target].dataType
+    pairs = [F.lit(x).cast(t) for k, v in mapping.items() for x, t in ((k, kind), (v, dtype))]
+    found = F.element_at(F.create_map(*pairs), F.col(source))
     return df.withColumn(
         target, F.when(when, F.coalesce(found, F.col(target))).otherwise(F.col(target))
     )
@@ -102,19 +103,18 @@ def derive_mapping(df: DataFrame, source: str, target: str) -> DataFrame:
 def fill_by_product(df: DataFrame, total: str, quantity: str, price: str) -> DataFrame:
     """Fill whichever of total = quantity x price is missing, when the other two are known.
 
-    Order: total, price, quantity; each step sees the one before. A zero divisor
-    leaves the value missing.
+    Filling total, price and quantity one after the other comes to the same, as a
+    step that fires leaves nothing to fill. A zero divisor leaves the value missing.
     """
     types = {c: df.schema[c].dataType for c in (total, quantity, price)}
-
-    def fill(frame: DataFrame, column: str, value: Column) -> DataFrame:
-        return frame.withColumn(column, F.coalesce(F.col(column), value.cast(types[column])))
-
-    zero = F.lit(0)
-    df = fill(df, total, F.col(quantity) * F.col(price))
-    df = fill(df, price, F.col(total) / F.nullif(F.col(quantity), zero.cast(types[quantity])))
-    return fill(
-        df, quantity, F.round(F.col(total) / F.nullif(F.col(price), zero.cast(types[price])), 0)
+    t, q, p = F.col(total), F.col(quantity), F.col(price)
+    values = {
+        total: q * p,
+        price: t / F.when(q != 0, q),
+        quantity: F.round(t / F.when(p != 0, p), 0),
+    }
+    return df.withColumns(
+        {c: F.coalesce(F.col(c), v.cast(types[c])) for c, v in values.items()}
     )
 
 

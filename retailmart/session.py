@@ -13,10 +13,13 @@ def local_session(cpus: str | None = None, memory: str = "8g") -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("retailmart")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Call-site capture costs more than planning does on queries this small.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -25,8 +25,7 @@ def csv_ingest(
     """(rows, rejects): rows that fit ``schema``, and the text of the lines that do not.
 
     Large files are split between tasks. Rows may end in LF or CRLF; empty fields
-    are NULL. Every line is parsed in full whatever columns are used later, or a
-    bad field would go unseen in queries that do not select it.
+    are NULL. Every line is parsed in full whatever columns are used later.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
@@ -36,13 +35,14 @@ def csv_ingest(
         .option("sep", sep)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("columnPruning", False)
         .option("dateFormat", date_format)
         .csv(path)
     )
-    good = read.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    # Always true; Spark refuses CSV queries that read the corrupt text alone.
-    parsed = F.length(F.concat_ws("", F.col(schema.fields[0].name).cast("string"))) >= 0
+    # Always true, but reads every column: Spark converts only the columns a query
+    # needs and would take a line for good whose other fields are broken.
+    every = F.xxhash64(*[f.name for f in schema.fields])
+    parsed = F.length(every.cast("string")) > 0
+    good = read.filter(F.col(CORRUPT).isNull() & parsed).drop(CORRUPT)
     rejects = read.filter(F.col(CORRUPT).isNotNull() & parsed).select(
         F.col(CORRUPT).alias("line")
     )
