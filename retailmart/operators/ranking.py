@@ -38,35 +38,52 @@ def top_ranked(
     by: Sequence[str] = (),
     rank: str = "rank",
     dense: bool = False,
-    descending: bool = True,
 ) -> DataFrame:
-    """All rows whose rank is at most ``n``, overall or within each ``by`` group.
+    """All rows whose rank by falling ``order`` is at most ``n``, overall or per ``by`` group.
 
     Ties may make this many more than ``n`` rows, so the rows are never gathered
     to be ranked. The ranks are settled on the leading values alone: those take
-    ``n`` rows per group, as every value ahead of rank ``n`` is among them. The
-    rows then find their rank by value, where they are.
+    ``n`` rows per group, as every value ahead of rank ``n`` is among them.
     """
+    if by:
+        return _top_ranked_by(df, order, n, by, rank, dense)
+    values = df.select(order)
+    if dense:
+        values = values.distinct()
+    # At most n values; each row then finds its rank where it is, and rows below
+    # the last leading value are dropped at the scan.
+    leaders = (
+        values.filter(F.col(order).isNotNull())
+        .orderBy(F.col(order).desc())
+        .limit(n)
+        .agg(F.sort_array(F.collect_list(order), asc=False).alias("leaders"))
+        .scalar()
+    )
+    c = F.col(order)
+    nulls_lead = c.isNull() & (F.size(leaders) < n)
+    place = F.when(c.isNull(), F.size(leaders) + 1).otherwise(F.array_position(leaders, c))
+    return df.filter((c >= F.array_min(leaders)) | nulls_lead).withColumn(
+        rank, place.cast("bigint")
+    )
+
+
+def _top_ranked_by(
+    df: DataFrame, order: str, n: int, by: Sequence[str], rank: str, dense: bool
+) -> DataFrame:
     keys = [*by, order]
-    ahead = F.col(order).desc() if descending else F.col(order).asc()
     values = df.select(*keys)
     if dense:
         values = values.distinct()
-    if by:
-        place = F.row_number().over(Window.partitionBy(*by).orderBy(ahead))
-        leaders = values.withColumn("_place", place).filter(F.col("_place") <= n)
-        ranks = leaders.groupBy(*keys).agg(F.min("_place").cast("bigint").alias(rank))
-    else:
-        leaders = values.orderBy(ahead).limit(n)
-        place = F.row_number().over(Window.orderBy(ahead))
-        ranks = (
-            leaders.withColumn("_place", place)
-            .groupBy(*keys)
-            .agg(F.min("_place").cast("bigint").alias(rank))
-        )
-        # At most n rows.
-        ranks = F.broadcast(ranks)
-    ranks = ranks.select(*[F.col(k).alias(f"_rank_{k}") for k in keys], rank)
+    # Each task keeps n rows per group before the groups are gathered.
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.col(order).desc()))
+    ranks = (
+        values.withColumn("_place", place)
+        .filter(F.col("_place") <= n)
+        .groupBy(*keys)
+        .agg(F.min("_place").cast("bigint").alias(rank))
+        .select(*[F.col(k).alias(f"_rank_{k}") for k in keys], rank)
+    )
+    # Joined on group and value, so that a large group is spread by its values.
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_rank_{k}"))

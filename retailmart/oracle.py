@@ -216,52 +216,45 @@ from transactions_t""",
     ),
     # The gold views.
     "sales_base": (
-        ("transactions_k", "customers_k", "products_k", "campaigns_k"),
+        ("transactions_k", "products_k", "campaigns_k"),
         """
-select cast(t.transaction_timestamp as date) as transaction_date, t.customer_id, t.product_id,
- t.quantity, t.discount_applied, t.gross_revenue, t.campaign_id, camp.objective
-from transactions_k t
-left join customers_k c on t.customer_id = c.customer_id
-left join products_k p on t.product_id = p.product_id
-left join campaigns_k camp on t.campaign_id = camp.campaign_id
-where p.product_id is not null""",
+select transaction_timestamp::date as transaction_date, customer_id, product_id, quantity,
+ discount_applied, gross_revenue, t.campaign_id, objective
+from transactions_k t semi join products_k using (product_id)
+left join campaigns_k k on k.campaign_id = t.campaign_id""",
     ),
     "product_performance": (
         ("transactions_k", "products_k"),
         """
-select p.product_id, p.base_price, p.category, sum(t.quantity) as total_units_sold,
- round(sum(t.gross_revenue), 1) as total_revenue
-from products_k p left join transactions_k t on p.product_id = t.product_id
-where t.product_id is not null and t.gross_revenue is not null
-group by p.product_id, p.category, p.base_price""",
+select product_id, base_price, category, units as total_units_sold,
+ round(revenue, 1) as total_revenue
+from products_k join (
+ select product_id, sum(quantity) as units, sum(gross_revenue) as revenue
+ from transactions_k where gross_revenue is not null group by all) using (product_id)""",
     ),
     "campaign_performance": (
         ("transactions_k", "campaigns_k"),
         """
-select cam.campaign_id, cam.channel, cam.target_segment, t.quantity, t.gross_revenue,
- cam.campaigns_duration_days
-from campaigns_k cam left join transactions_k t on cam.campaign_id = t.campaign_id
-where t.gross_revenue is not null and channel <> 'Unknown'""",
+select campaign_id, channel, target_segment, quantity, gross_revenue, campaigns_duration_days
+from transactions_k join campaigns_k using (campaign_id)
+where gross_revenue is not null and campaign_id <> 0""",
     ),
     "time_sales": (
         ("transactions_k",),
         """
-select cast(transaction_timestamp as date) as transaction_date,
- year(transaction_timestamp) as sales_year, month(transaction_timestamp) as sales_month,
- count(transaction_id) as total_transactions, sum(quantity) as total_units_sold,
+select d as transaction_date, year(d) as sales_year, month(d) as sales_month,
+ count(*) as total_transactions, sum(quantity) as total_units_sold,
  sum(gross_revenue) as total_revenue
-from transactions_k where gross_revenue is not null group by 1, 2, 3""",
+from (select *, transaction_timestamp::date as d from transactions_k)
+where gross_revenue is not null group by d""",
     ),
     "event_behavior": (
-        ("events_k", "customers_k", "products_k", "campaigns_k"),
+        ("events_k", "customers_k", "campaigns_k"),
         """
-select e.event_id, c.customer_id, cam.campaign_id, c.age_group, cam.channel,
- e.session_duration_sec, e.event_type
-from events_k e
-left join customers_k c on e.customer_id = c.customer_id
-left join products_k p on e.product_id = p.product_id
-left join campaigns_k cam on e.campaign_id = cam.campaign_id
-where e.product_id is not null""",
+select event_id, c.customer_id, k.campaign_id, age_group, channel, session_duration_sec, event_type
+from events_k e left join customers_k c using (customer_id)
+left join campaigns_k k using (campaign_id)
+where product_id is not null""",
     ),
 }
 
@@ -286,12 +279,11 @@ def mean(column: str, digits: int = 2, scale: int = 2) -> str:
 CTES["customer_behavior"] = (
     ("customers_k", "transactions_k"),
     f"""
-select c.customer_id, c.country, c.age_group, count(t.transaction_id) as total_orders,
- sum(t.gross_revenue) as total_spent,
- ({mean('t.gross_revenue')})::decimal(18,2) as avg_order_value
-from customers_k c left join transactions_k t on c.customer_id = t.customer_id
-where t.gross_revenue is not null
-group by c.customer_id, c.country, c.age_group""",
+select customer_id, country, age_group, total_orders, total_spent, avg_order_value
+from customers_k join (
+ select customer_id, count(*) as total_orders, sum(gross_revenue) as total_spent,
+  ({mean('gross_revenue')})::decimal(18,2) as avg_order_value
+ from transactions_k where gross_revenue is not null group by all) using (customer_id)""",
 )
 
 CTES["monthly"] = (
