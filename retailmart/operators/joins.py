@@ -103,9 +103,9 @@ def hot_key_join(
     ).withColumn("_got", got)
     if how in ("inner", "left_semi"):
         joined = joined.filter(F.col("_got.found"))
-    if how == "left_semi":
-        return joined.select(*fact.columns)
     rest = [c for c in fact.columns if c not in keys]
+    if how == "left_semi":
+        return joined.select(*keys, *rest)
     return joined.select(*keys, *rest, *[F.col(f"_got.{a}").alias(a) for a in attrs])
 
 

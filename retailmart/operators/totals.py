@@ -109,15 +109,21 @@ def totals_by_attribute(
     counts: Mapping[str, str] | None = None,
     also_by: Sequence[str] = (),
     how: str = "left",
+    key_count: str | None = None,
 ) -> DataFrame:
     """Totals per dimension attribute, aggregated by key *before* the join.
 
+    ``key_count`` names a further column for the number of distinct keys.
+
     Only one row per key meets the dimension, so neither side of the join is
     fact-sized and a hot key has already been folded into one row.
     """
     per_key = group_totals(fact, [key, *also_by], sums, count, counts)
     joined = per_key.join(dim.select(key, *attributes), key, how)
     measures = [*sums, *([count] if count else []), *(counts or {})]
+    if key_count and also_by:
+        raise ValueError("keys are counted only where each key is in one group")
     return joined.groupBy(*attributes, *also_by).agg(
-        *[exact_sum(per_key, m).alias(m) for m in measures]
+        *[exact_sum(per_key, m).alias(m) for m in measures],
+        *([F.count(key).alias(key_count)] if key_count else []),
     )

@@ -263,8 +263,8 @@ def half_away(num: str, den: str, digits: int) -> str:
     """``num / den`` (whole numbers) rounded half away from zero, as a double."""
     n, d = f"(({num})::hugeint * {10**digits})", f"({den})"
     return (
-        f"((case when {n} < 0 then -1 else 1 end)"
-        f" * ((2 * abs({n}) + {d}) // nullif(2 * {d}, 0)))::double / {10**digits}"
+        f"((case when ({n} < 0) <> ({d} < 0) then -1 else 1 end)"
+        f" * ((2 * abs({n}) + abs({d})) // nullif(2 * abs({d}), 0)))::double / {10**digits}"
     )
 
 

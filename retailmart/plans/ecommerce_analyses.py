@@ -204,6 +204,7 @@ def _by_campaign_attribute(shop: Ecommerce, attributes: Sequence[str]) -> DataFr
         {"units_sold": "quantity", "total_revenue": "gross_revenue"},
         count="transactions",
         how="inner",
+        key_count="distinct_campaigns",
     )
 
 
@@ -231,16 +232,12 @@ def channel_share(shop: Ecommerce, distinct_campaigns: bool = False) -> DataFram
         totals,
         {"revenue_share_pct": "total_revenue"},
         digits=None,
-        summed=["campaigns", "total_revenue"],
+        summed=["units_sold", "total_revenue", "campaigns", "distinct_campaigns"],
     )
-    out = shares.select("channel", "campaigns", "total_revenue", "revenue_share_pct")
+    columns = ["channel", "campaigns", "total_revenue", "revenue_share_pct"]
     if distinct_campaigns:
-        sold = _campaign_sales(shop).select("campaign_id").distinct()
-        campaigns = shop.campaigns.join(sold, "campaign_id", "left_semi").groupBy("channel").agg(
-            F.count("*").alias("distinct_campaigns")
-        )
-        out = out.join(campaigns, "channel")
-    return out.orderBy(F.col("total_revenue").desc(), "channel")
+        columns.append("distinct_campaigns")
+    return shares.select(*columns).orderBy(F.col("total_revenue").desc(), "channel")
 
 
 def objective_performance(shop: Ecommerce) -> DataFrame:
@@ -274,6 +271,7 @@ def segment_performance(shop: Ecommerce) -> DataFrame:
     return (
         _by_campaign_attribute(shop, ["target_segment"])
         .withColumn("avg_order_value", ratio(F.col("total_revenue"), F.col("transactions")))
+        .drop("distinct_campaigns")
         .orderBy(F.col("total_revenue").desc(), "target_segment")
     )
 

@@ -37,9 +37,8 @@ SPARK_KIND = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date
 SPARK_KIND |= {"timestamp_ntz": "TIMESTAMP"}
 
 
-def mismatch(spark, con, name, query, sql, sf_dir) -> str | None:
+def mismatch(df, con, sql) -> str | None:
     """None when both sides agree exactly, else what differs."""
-    df = query(spark, sf_dir)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
     rel = con.sql(sql)
     want = _rows(rel.columns, rel.fetchall())
