@@ -9,11 +9,23 @@ from retailmart.functions import percent
 
 
 def fill_months(df: DataFrame, period: str) -> DataFrame:
-    """Add the missing month starts between the first and the last, NULL otherwise."""
-    ends = df.agg(F.min(period).alias("a"), F.max(period).alias("b")).select(
-        F.explode(F.expr("sequence(a, b, interval 1 month)")).alias(period)
+    """Add the missing month starts between the first and the last, NULL otherwise.
+
+    Each month brings along the empty months up to the next one, so the months
+    are computed once and need no join.
+    """
+    following = F.lead(period).over(Window.orderBy(period))
+    last = F.coalesce(F.add_months("_next", -1), F.col(period))
+    months = df.withColumn("_next", following).withColumn(
+        "_month", F.explode(F.sequence(F.col(period), last, F.expr("interval 1 month")))
+    )
+    own = F.col("_month") == F.col(period)
+    return months.select(
+        *[
+            F.col("_month").alias(c) if c == period else F.when(own, F.col(c)).alias(c)
+            for c in df.columns
+        ]
     )
-    return ends.join(df, period, "left")
 
 
 def period_change(

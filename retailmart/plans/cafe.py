@@ -150,18 +150,22 @@ def payment_by_location(gold: DataFrame) -> DataFrame:
     ).orderBy("Location", "Payment_Method")
 
 
-def _monthly(gold: DataFrame) -> DataFrame:
+def _monthly(gold: DataFrame, count: str | None = None) -> DataFrame:
     return group_totals(
         gold.filter(F.col("Transaction_Date").isNotNull()),
         [month_start(F.col("Transaction_Date")).alias("Sales_Month")],
         {"Monthly_Revenue": "Total_Spent"},
-        count="Transactions",
+        count,
     )
 
 
 def monthly_running_total(gold: DataFrame) -> DataFrame:
     running = running_total(
-        _monthly(gold), "Sales_Month", "Monthly_Revenue", "Running_Total", calendar_order=True
+        _monthly(gold, "Transactions"),
+        "Sales_Month",
+        "Monthly_Revenue",
+        "Running_Total",
+        calendar_order=True,
     )
     return running.withColumn("Month_Name", month_name(F.col("Sales_Month"))).orderBy("Sales_Month")
 
@@ -169,7 +173,7 @@ def monthly_running_total(gold: DataFrame) -> DataFrame:
 def monthly_contribution(gold: DataFrame) -> DataFrame:
     """Share and cumulative share per month, as numbers and as text with ``%``."""
     monthly = _monthly(gold)
-    whole = grand_totals(monthly, ["Monthly_Revenue", "Transactions"])["Monthly_Revenue"]
+    whole = grand_totals(monthly, ["Monthly_Revenue"])["Monthly_Revenue"]
     running = running_total(
         monthly, "Sales_Month", "Monthly_Revenue", "Running_Revenue", calendar_order=True
     )

@@ -7,7 +7,7 @@ tables, so that the fact can be folded to one row per key ahead of the join.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -194,17 +194,23 @@ def _campaign_sales(shop: Ecommerce) -> DataFrame:
     return shop.transactions.filter(F.col("gross_revenue").isNotNull())
 
 
-def _by_campaign_attribute(shop: Ecommerce, attributes: Sequence[str]) -> DataFrame:
+def _by_campaign_attribute(
+    shop: Ecommerce,
+    attribute: str,
+    sums: Mapping[str, str],
+    count: str,
+    key_count: str | None = None,
+) -> DataFrame:
     """Totals per attribute of the known campaigns."""
     return totals_by_attribute(
         _campaign_sales(shop),
         shop.campaigns.filter(F.col("channel") != UNKNOWN),
         "campaign_id",
-        attributes,
-        {"units_sold": "quantity", "total_revenue": "gross_revenue"},
-        count="transactions",
+        [attribute],
+        sums,
+        count=count,
         how="inner",
-        key_count="distinct_campaigns",
+        key_count=key_count,
     )
 
 
@@ -225,19 +231,14 @@ def channel_share(shop: Ecommerce, distinct_campaigns: bool = False) -> DataFram
 
     ``distinct_campaigns`` adds the number of campaigns that sold something.
     """
-    totals = _by_campaign_attribute(shop, ["channel"]).withColumnRenamed(
-        "transactions", "campaigns"
+    distinct = "distinct_campaigns" if distinct_campaigns else None
+    totals = _by_campaign_attribute(
+        shop, "channel", {"total_revenue": "gross_revenue"}, "campaigns", distinct
     )
     shares = add_shares(
-        totals,
-        {"revenue_share_pct": "total_revenue"},
-        digits=None,
-        summed=["units_sold", "total_revenue", "campaigns", "distinct_campaigns"],
+        totals, {"revenue_share_pct": "total_revenue"}, digits=None, summed=totals.columns[1:]
     )
-    columns = ["channel", "campaigns", "total_revenue", "revenue_share_pct"]
-    if distinct_campaigns:
-        columns.append("distinct_campaigns")
-    return shares.select(*columns).orderBy(F.col("total_revenue").desc(), "channel")
+    return shares.orderBy(F.col("total_revenue").desc(), "channel")
 
 
 def objective_performance(shop: Ecommerce) -> DataFrame:
@@ -268,12 +269,15 @@ def objective_performance(shop: Ecommerce) -> DataFrame:
 
 
 def segment_performance(shop: Ecommerce) -> DataFrame:
-    return (
-        _by_campaign_attribute(shop, ["target_segment"])
-        .withColumn("avg_order_value", ratio(F.col("total_revenue"), F.col("transactions")))
-        .drop("distinct_campaigns")
-        .orderBy(F.col("total_revenue").desc(), "target_segment")
+    totals = _by_campaign_attribute(
+        shop,
+        "target_segment",
+        {"units_sold": "quantity", "total_revenue": "gross_revenue"},
+        "transactions",
     )
+    return totals.withColumn(
+        "avg_order_value", ratio(F.col("total_revenue"), F.col("transactions"))
+    ).orderBy(F.col("total_revenue").desc(), "target_segment")
 
 
 def campaign_efficiency(shop: Ecommerce, n: int = 3) -> DataFrame:
