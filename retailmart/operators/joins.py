@@ -1,8 +1,8 @@
 """Joins of a large fact to a table with one row per key.
 
 ``join_dimension`` measures the dimension and broadcasts it only when it is
-small. Beyond that ``hot_key_join`` shuffles both sides, after taking the keys
-that hold a large part of the fact out of the shuffle.
+small. Beyond that ``hot_key_join`` shuffles both sides, with the keys that hold
+a large part of the fact spread over all tasks.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # A key is hot when it holds more than 1/HOT_KEYS of the rows, so there can be
 # at most HOT_KEYS hot keys whatever the data: their broadcast is bounded.
 HOT_KEYS = 1000
+HOT_SAMPLE = 0.01
 
 
 def fits_broadcast(
@@ -47,12 +48,36 @@ def join_dimension(
     return hot_key_join(fact, dim, keys, how)
 
 
+def hot_keys(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys that hold much of ``fact``, at most ``HOT_KEYS``, as a literal frame.
+
+    Estimated from a sample of the key columns (an action). A key missed or named
+    in error costs time, never rows; being literal, the list reads the same in
+    every part of the plan and after the loss of an executor.
+    """
+    counts = (
+        fact.select(*keys)
+        .sample(fraction=HOT_SAMPLE, seed=1)
+        .groupBy(*keys)
+        .agg(F.count("*").alias("_rows"))
+    )
+    sampled = counts.agg(F.sum("_rows")).scalar()
+    found = (
+        counts.filter(F.col("_rows") * HOT_KEYS > sampled)
+        .orderBy(F.col("_rows").desc())
+        .limit(HOT_KEYS)
+        .select(*keys)
+    )
+    return fact.sparkSession.createDataFrame(found.collect(), fact.select(*keys).schema)
+
+
 def hot_key_join(
     fact: DataFrame,
     dim: DataFrame,
     on: str | Sequence[str],
     how: str = "left",
     null_safe: bool = False,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffle join in which no key brings more than a small part of the rows to one task.
 
@@ -61,15 +86,15 @@ def hot_key_join(
     shuffle of the others but under a slot drawn from the whole row, which
     spreads them evenly. The slot is a hash of the row, not a random number, so
     a recomputed task sends each row where the lost one did.
+
+    ``hot`` may give the hot keys, if they are known; it must hold few rows.
     """
     keys = [on] if isinstance(on, str) else list(on)
     attrs = [c for c in dim.columns if c not in keys]
     if how == "inner" and not null_safe:
         fact = fact.dropna(subset=keys)
 
-    counts = fact.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    all_rows = counts.agg(F.sum("_rows")).scalar()
-    hot = counts.filter(F.col("_rows") * HOT_KEYS > all_rows).select(*_renamed(keys, "_hot_"))
+    hot = (hot_keys(fact, keys) if hot is None else hot).select(*_renamed(keys, "_hot_"))
     hot_dim = dim.join(F.broadcast(hot), _same(keys, "", "_hot_", null_safe), "inner").select(
         *_renamed(keys, "_found_"),
         F.struct(F.lit(True).alias("found"), *attrs).alias("_hot_attrs"),

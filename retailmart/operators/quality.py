@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retailmart.functions import is_missing, visible_length
-from retailmart.operators.joins import hot_key_join
+from retailmart.operators.joins import HOT_KEYS, hot_key_join
 from retailmart.operators.totals import exact_mean
 
 
@@ -65,12 +65,18 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], out: str = "duplicate_cou
 def duplicate_rows(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], out: str = "duplicate_count"
 ) -> DataFrame:
-    """``columns`` of every row whose key occurs more than once, with the count."""
-    repeated = duplicate_keys(df, keys, out).drop("null_key")
+    """``columns`` of every row whose key occurs more than once, with the count.
+
+    The counts are joined back rather than taken in a window over each key, and
+    they tell which keys are hot.
+    """
+    counts = df.groupBy(*keys).agg(F.count("*").alias(out))
+    all_rows = counts.agg(F.sum(out)).scalar()
+    hot = counts.filter(F.col(out) * HOT_KEYS > all_rows)
     needed = list(dict.fromkeys([*keys, *columns]))
-    return hot_key_join(df.select(*needed), repeated, keys, "inner", null_safe=True).select(
-        *columns, out
-    )
+    return hot_key_join(
+        df.select(*needed), counts.filter(F.col(out) > 1), keys, "inner", null_safe=True, hot=hot
+    ).select(*columns, out)
 
 
 def completeness(df: DataFrame, columns: Sequence[str], mode: str = "present") -> DataFrame:
