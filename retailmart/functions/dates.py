@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Day-first text dates; one-digit days, months and hours are accepted.
 DMY_DATE = "d/M/yyyy"
-DMY_TIMESTAMP = "d/M/yyyy H:mm[:ss[.SSSSSS]]"
+DMY_TIMESTAMP = "d/M/yyyy[ H:mm[:ss[.SSSSSS]]]"
 
 
 def parse_dmy_date(c: Column) -> Column:
@@ -16,7 +16,11 @@ def parse_dmy_date(c: Column) -> Column:
 
 
 def parse_dmy_timestamp(c: Column) -> Column:
-    """Day-first text to zone-free timestamp; NULL when the text is no such time."""
+    """Day-first text to zone-free timestamp; NULL when the text is no such time.
+
+    A text without a time is midnight. Wants a session in UTC: in zones with
+    daylight saving the hour that is skipped in spring would be shifted.
+    """
     return F.try_to_timestamp(c, F.lit(DMY_TIMESTAMP)).cast("timestamp_ntz")
 
 

@@ -26,9 +26,22 @@ def test_entry(spark):
     assert entry.entry(spark).count() == 1
 
 
+def gathered(plan: str) -> list[str]:
+    """The operators whose rows are gathered into one partition."""
+    lines = plan.splitlines()
+    found = []
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            operators = (x.lstrip(" :+-|*()0123456789") for x in lines[i + 1 :])
+            found.append(next(x for x in operators if not x.startswith(("Project", "Sort "))))
+    return found
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_equals_sql(spark, con, name):
     df = QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("EvalPython|InPandas|CartesianProduct|BroadcastNestedLoopJoin", plan)
+    # Nothing is gathered but the results of aggregates.
+    assert all("Aggregate" in x.split("(")[0] for x in gathered(plan)), gathered(plan)
     assert mismatch(df, con, ORACLE[name]) is None

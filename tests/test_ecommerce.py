@@ -151,7 +151,14 @@ def test_campaign_efficiency_without_days(shop, rows):
 
 
 def test_channel_share(shop, rows):
-    got = rows(an.channel_share(shop, distinct_campaigns=True))
+    got = rows(
+        an.channel_share(shop, distinct_campaigns=True),
+        "channel",
+        "campaigns",
+        "total_revenue",
+        "revenue_share_pct",
+        "distinct_campaigns",
+    )
     assert got == [("Email", 4, Decimal("50.01"), 100.0, 2)]
 
 

@@ -104,6 +104,7 @@ def test_dates(spark):
     assert value(spark, parse_dmy_timestamp(text("1/2/2023 0:05:07"))) == dt.datetime(
         2023, 2, 1, 0, 5, 7
     )
+    assert value(spark, parse_dmy_timestamp(text("1/2/2023"))) == dt.datetime(2023, 2, 1)
     day = F.lit(dt.date(2023, 5, 17))
     assert value(spark, month_start(day)) == dt.date(2023, 5, 1)
     assert value(spark, month_name(day)) == "May"

@@ -47,6 +47,13 @@ def test_funnel_by_channel(spark, rows):
     assert rows(got) == [("app", 1, 0, 0.0), ("web", 8, 3, 37.5)]
 
 
+def test_funnel_may_ignore_case(spark):
+    df = spark.createDataFrame([("View ",), ("view",), ("CLICK",)], "e string")
+    assert tuple(funnel(df, "e", STEPS[:2], ["rate"]).first()) == (1, 0, 0.0)
+    relaxed = funnel(df, "e", STEPS[:2], ["rate"], case_insensitive=True)
+    assert tuple(relaxed.first()) == (2, 1, 50.0)
+
+
 def test_rates_must_fit_steps(spark):
     with pytest.raises(ValueError):
         funnel(events(spark), "e", STEPS, ["only one"])
