@@ -107,14 +107,23 @@ def pareto(
     share: str = "share_pct",
     cumulative: str = "cumulative_pct",
     threshold: float | None = None,
+    leave_out: str | None = None,
     digits: int = 2,
 ) -> DataFrame:
     """Total per key, its share and the cumulative share by falling total.
 
     Keys with equal totals share one cumulative value. With ``threshold`` only
     the leading keys are kept that are needed to reach that cumulative share.
+    Keys without any measure are dropped, and so is the key ``leave_out`` (and
+    NULL with it).
     """
     totals = group_totals(df, [key], {total: measure})
+    counted = F.col(total)
+    if leave_out is not None:
+        # One condition on key and total stays above the aggregate. A filter on
+        # the key alone would be pushed into the steps that clean the key.
+        counted = F.when(F.col(key) != leave_out, counted)
+    totals = totals.filter(counted.isNotNull())
     whole = grand_totals(totals, [total])
     ranked = running_total(totals, total, total, "_running", descending=True, before="_before")
     if threshold is not None:

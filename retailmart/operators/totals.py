@@ -103,10 +103,17 @@ def average_order_value(
     out: str = "aov",
     digits: int = 2,
 ) -> DataFrame:
-    """Total of ``measure`` over the number of rows that have one, overall or per key."""
-    known = df.filter(F.col(measure).isNotNull())
-    value = ratio(exact_sum(known, measure), F.count("*"), digits)
-    return known.groupBy(*by).agg(value.alias(out))
+    """Total of ``measure`` over the number of rows that have one, overall or per key.
+
+    Keys without a measured row are dropped. That is decided on the counts, not
+    by a filter on ``measure``: pushed down into the steps that compute a filled-in
+    measure, such a filter would compute it twice.
+    """
+    value = ratio(exact_sum(df, measure), F.count(measure), digits)
+    totals = df.groupBy(*by).agg(value.alias(out), F.count(measure).alias("_measured"))
+    if by:
+        totals = totals.filter(F.col("_measured") > 0)
+    return totals.drop("_measured")
 
 
 def totals_by_attribute(

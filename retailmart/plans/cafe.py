@@ -19,8 +19,8 @@ from retailmart.operators.quality import category_frequency, range_profile
 from retailmart.operators.ranking import top_rows
 from retailmart.operators.running import pareto, running_total
 from retailmart.operators.totals import (
+    add_shares,
     average_order_value,
-    contribution,
     grand_totals,
     group_totals,
 )
@@ -126,13 +126,10 @@ def bottom_items_by_quantity(gold: DataFrame, n: int = 3) -> DataFrame:
 
 
 def top_items_by_revenue(gold: DataFrame, n: int = 3) -> DataFrame:
-    known = gold.filter(F.col("Item") != NA)
-    return top_rows(
-        group_totals(known, ["Item"], {"total_spent_sum": "Total_Spent"}),
-        "total_spent_sum",
-        n,
-        ["Item"],
-    )
+    totals = group_totals(gold, ["Item"], {"total_spent_sum": "Total_Spent"}, count="_rows")
+    # As in ``pareto``, a condition that stays above the aggregate.
+    known = totals.filter(F.when(F.col("Item") != NA, F.col("_rows")) > 0).drop("_rows")
+    return top_rows(known, "total_spent_sum", n, ["Item"])
 
 
 def orders_by_payment(gold: DataFrame) -> DataFrame:
@@ -189,16 +186,19 @@ def monthly_contribution(gold: DataFrame) -> DataFrame:
 
 
 def weekday_sales(gold: DataFrame) -> DataFrame:
-    known = gold.filter(F.col("Total_Spent").isNotNull() & F.col("Transaction_Date").isNotNull())
+    """Grouped by the number of the weekday; only seven names are formatted."""
     totals = group_totals(
-        known,
-        [weekday_name(F.col("Transaction_Date")).alias("Days_of_week")],
+        gold.filter(F.col("Transaction_Date").isNotNull()),
+        [F.weekday("Transaction_Date").alias("day")],
         {"Weekday_Spent": "Total_Spent"},
-        count="Total_Transactions",
-    )
-    return totals.withColumnRenamed("Weekday_Spent", "Total_Spent").orderBy(
-        F.col("Total_Spent").desc(), "Days_of_week"
-    )
+        counts={"Total_Transactions": "Total_Spent"},
+    ).filter(F.col("Total_Transactions") > 0)
+    monday = F.lit("2024-01-01").cast("date")
+    return totals.select(
+        weekday_name(F.date_add(monday, F.col("day"))).alias("Days_of_week"),
+        F.col("Weekday_Spent").alias("Total_Spent"),
+        "Total_Transactions",
+    ).orderBy(F.col("Total_Spent").desc(), "Days_of_week")
 
 
 def overall_aov(gold: DataFrame) -> DataFrame:
@@ -227,34 +227,37 @@ def payment_aov(gold: DataFrame) -> DataFrame:
 
 
 def item_pareto(gold: DataFrame, threshold: float | None = None) -> DataFrame:
-    known = gold.filter(F.col("Total_Spent").isNotNull() & (F.col("Item") != NA))
     return pareto(
-        known,
+        gold,
         "Item",
         "Total_Spent",
         "Item_Revenue",
         "Revenue_Pct",
         "Cumulative_Revenue_Pct",
         threshold,
+        leave_out=NA,
     ).orderBy(F.col("Item_Revenue").desc(), "Item")
 
 
 def payment_revenue_share(gold: DataFrame) -> DataFrame:
-    known = gold.filter(F.col("Total_Spent").isNotNull() & (F.col("Payment_Method") != NA))
-    return contribution(
-        known,
+    totals = group_totals(
+        gold.filter(F.col("Payment_Method") != NA),
         ["Payment_Method"],
         {"Payment_Revenue": "Total_Spent"},
-        {"Revenue_Pct": "Payment_Revenue"},
-    ).orderBy(F.col("Payment_Revenue").desc(), "Payment_Method")
+    ).filter(F.col("Payment_Revenue").isNotNull())
+    return add_shares(totals, {"Revenue_Pct": "Payment_Revenue"}).orderBy(
+        F.col("Payment_Revenue").desc(), "Payment_Method"
+    )
 
 
 def spend_buckets(gold: DataFrame) -> DataFrame:
-    known = gold.filter(F.col("Total_Spent").isNotNull())
-    return contribution(
-        bin_column(known, "Total_Spent", SPEND_BINS, SPEND_REST, "Spend_Category"),
+    """Counts and sums skip the rows of unknown amount, whatever bucket they fall in."""
+    totals = group_totals(
+        bin_column(gold, "Total_Spent", SPEND_BINS, SPEND_REST, "Spend_Category"),
         ["Spend_Category"],
         {"Revenue": "Total_Spent"},
-        {"Transaction_Pct": "Transactions", "Revenue_Pct": "Revenue"},
-        count="Transactions",
+        counts={"Transactions": "Total_Spent"},
+    ).filter(F.col("Transactions") > 0)
+    return add_shares(
+        totals, {"Transaction_Pct": "Transactions", "Revenue_Pct": "Revenue"}
     ).orderBy(F.col("Revenue").desc(), "Spend_Category")
