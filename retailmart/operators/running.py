@@ -77,10 +77,8 @@ def running_total(
     # Sum of everything before the row's own high part: at most 2**22 rows.
     earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
     nothing = F.lit(0)
-    high = high.select(
-        "_high",
-        F.coalesce(F.sum("_high_sum").over(earlier.orderBy("_high")), nothing).alias("_high_before"),
-    )
+    high_before = F.sum("_high_sum").over(earlier.orderBy("_high"))
+    high = high.select("_high", F.coalesce(high_before, nothing).alias("_high_before"))
     mid = mid.join(high, "_high").select(
         "_mid",
         (

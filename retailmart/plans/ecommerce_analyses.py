@@ -216,7 +216,9 @@ def _by_campaign_attribute(
 
 def top_campaigns(shop: Ecommerce, n: int = 10) -> DataFrame:
     known = shop.campaigns.filter(F.col("channel") != UNKNOWN).select("campaign_id")
-    totals = group_totals(_campaign_sales(shop), ["campaign_id"], {"total_revenue": "gross_revenue"})
+    totals = group_totals(
+        _campaign_sales(shop), ["campaign_id"], {"total_revenue": "gross_revenue"}
+    )
     return top_rows(
         totals.join(known, "campaign_id", "left_semi"),
         "total_revenue",
@@ -282,7 +284,9 @@ def segment_performance(shop: Ecommerce) -> DataFrame:
 
 def campaign_efficiency(shop: Ecommerce, n: int = 3) -> DataFrame:
     """Per channel the campaigns ranked at most ``n`` by revenue per campaign day."""
-    totals = group_totals(_campaign_sales(shop), ["campaign_id"], {"total_revenue": "gross_revenue"})
+    totals = group_totals(
+        _campaign_sales(shop), ["campaign_id"], {"total_revenue": "gross_revenue"}
+    )
     known = shop.campaigns.filter(F.col("channel") != UNKNOWN)
     days = F.col("campaigns_duration_days")
     per_day = totals.join(

@@ -3,7 +3,6 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
-import pytest
 from pyspark.sql import functions as F
 
 from retailmart.functions import parse_dmy_date
