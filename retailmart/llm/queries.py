@@ -12,6 +12,7 @@ from retailmart.llm.mixing import mix
 from retailmart.llm.quality_rules import BASE, quality_verdicts
 from retailmart.llm.sharding import shard_plan
 from retailmart.llm.simhash import simhash_classes
+from retailmart.llm.suffix_dedup import suffix_dedup
 from retailmart.llm.texts import table
 
 #: Slots per cycle; sources not named share MIX_REST.
@@ -24,6 +25,10 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"), length=200)
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_classes(table(spark, sf_dir, "documents"), shingle_words=3, max_distance=3)
 
@@ -43,7 +48,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_benchmark_decontamination, op3_simhash_near_dedup, op5_sharding, op6_source_mixing, op8_quality_rules)}
+    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_simhash_near_dedup, op5_sharding, op6_source_mixing, op8_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
