@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from retailmart.llm.decontaminate import contained_items
 from retailmart.llm.mixing import mix
+from retailmart.llm.phrase_dedup import phrase_dedup
 from retailmart.llm.quality_rules import BASE, quality_verdicts
 from retailmart.llm.sharding import shard_plan
 from retailmart.llm.simhash import simhash_classes
@@ -42,13 +43,17 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, MIX_REST)
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_dedup(table(spark, sf_dir, "documents"), length=20)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = quality_verdicts(table(spark, sf_dir, "documents"), counts=BASE)
     return verdicts.select("doc_id", *BASE, "base_failed", "kept")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_simhash_near_dedup, op5_sharding, op6_source_mixing, op8_quality_rules)}
+    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_simhash_near_dedup, op5_sharding, op6_source_mixing, op7_substring_dedup, op8_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -49,21 +49,28 @@ class RunLengthIndex:
 
 
 def suffix_order(text: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
-    """(positions in sorted order, ranks by prefixes of 3, 6, 12, ... symbols), by doubling."""
+    """(positions in sorted order, ranks by prefixes of 3, 6, 12, ... symbols), by doubling.
+
+    A rank is the place of the first of all equal prefixes; only what is still tied is sorted again.
+    """
     n = len(text)
     padded = np.concatenate([text, np.zeros(2, np.int64)])
     keys = (padded[:-2] << 42) | (padded[1:-1] << 21) | padded[2:]
-    width, levels = 3, []
+    order = np.argsort(keys)
+    rank, places, width, levels = np.empty(n, np.int64), np.arange(n), 3, []
+    sorted_keys = keys[order]
     while True:
-        order = np.argsort(keys, kind="stable")
-        fresh = np.concatenate([[1], (np.diff(keys[order]) != 0).astype(np.int64)])
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(fresh)
-        levels.append((width, rank))
-        if fresh.all():
+        fresh = np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]])
+        rank[order[places]] = places[np.maximum.accumulate(np.where(fresh, np.arange(len(places)), 0))]
+        levels.append((width, rank.copy()))
+        places = places[~(fresh & np.append(fresh[1:], True))]
+        if not len(places):
             return order, levels
-        keys = rank * (n + 1)
-        keys[: n - width] += rank[width:]
+        tied = order[places]
+        after = tied + width
+        keys = rank[tied] * (n + 1) + np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        by = np.argsort(keys)
+        order[places], sorted_keys = tied[by], keys[by]
         width *= 2
 
 
@@ -90,8 +97,10 @@ def dedup_spans(rows: DataFrame, length: int, gram: int, group: int, block_bytes
     copied = passages.join(kinds.where("times > 1").select("key", "body_hash"), ["key", "body_hash"], "left_semi").select(*DOC, "lo", "n")
     bodies = with_bodies(rows, kinds.where("kinds > 1"), units)
     small = bodies.where(F.col("kinds") <= group)
-    indexed = map_groups(small, lambda table: _index_block(table, length), SPANS, block_bytes)
-    return copied.unionByName(indexed).unionByName(_by_window(bodies.where(F.col("kinds") > group), length))
+    spans = copied.unionByName(map_groups(small, lambda table: _index_block(table, length), SPANS, block_bytes))
+    if kinds.where(F.col("kinds") > group).isEmpty():
+        return spans
+    return spans.unionByName(_by_window(bodies.where(F.col("kinds") > group), length))
 
 
 def _index_block(table: pa.Table, length: int) -> pa.RecordBatch | None:
@@ -156,7 +165,7 @@ def suffix_dedup(
     id_col: str = "doc_id",
     text_col: str = "text",
     length: int = 200,
-    gram: int = 16,
+    gram: int = 48,
     group: int = GROUP,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
@@ -175,7 +184,7 @@ def suffix_dedup(
     return removed(rows, spans, ByteUnits(length, gram), _finish, schema)
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, gram: int = 16, group: int = GROUP, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, gram: int = 48, group: int = GROUP, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, kept as binary): the bytes that stay. Cuts may fall inside a character, hence binary."""
     rows = doc_rows(docs, id_col, text_col)
 

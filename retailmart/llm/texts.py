@@ -65,12 +65,14 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def map_arrow(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Apply ``work`` to slices of bounded text; the frame needs a column ``text``."""
+def map_arrow(
+    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, limit: int = SLICE_BYTES
+) -> DataFrame:
+    """Apply ``work`` to slices of about ``limit`` bytes of text; the frame needs a column ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, limit=limit):
                 out = work(piece)
                 if out is not None and out.num_rows:
                     yield out

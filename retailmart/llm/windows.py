@@ -12,6 +12,7 @@ Texts are known by id and a hash of the text, so rows that share an id but not a
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,23 +27,35 @@ PASSAGES = "key long, body_hash long, doc_id long, th int, lo int, n int, again
 #: Different passages with one key that one task compares; larger groups are settled window by window.
 GROUP = 4000
 #: Bytes of passages that a task indexes at once. A group of one key is never cut.
-BLOCK_BYTES = 1_500_000
+BLOCK_BYTES = 1_000_000
+#: Bytes of text hashed at once; a byte takes about a hundred bytes of memory meanwhile.
+SLICE = 1_000_000
+
+
+class Read(NamedTuple):
+    """Texts as one run of units: text i has the units firsts[i] to firsts[i + 1], unit j the bytes starts[j] to ends[j]."""
+
+    data: bytes
+    starts: np.ndarray
+    ends: np.ndarray
+    firsts: np.ndarray
+    words: list[bytes]
 
 
 class ByteUnits:
     """Texts as bytes."""
 
-    def __init__(self, length: int, gram: int = 16):
+    def __init__(self, length: int, gram: int = 48):
         self.length, self.gram = length, gram
 
-    def read(self, column: pa.Array) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
-        """(all bytes, unit starts, unit ends, first unit of each text and the number of units)."""
+    def read(self, column: pa.Array) -> Read:
         data, offsets = buffer_of(column)
         at = np.arange(len(data) + 1)
-        return data.tobytes(), at, at[1:], offsets
+        return Read(data.tobytes(), at, at[1:], offsets, [])
 
-    def grams(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        n = len(data)
+    def grams(self, read: Read) -> np.ndarray:
+        """A hash per ``gram`` units in a row."""
+        data, n = read.data, len(read.data)
         if n < self.gram:
             return np.zeros(0, np.uint64)
         padded = data + bytes(16)
@@ -63,7 +76,7 @@ class WordUnits:
     def __init__(self, length: int, gram: int = 4):
         self.length, self.gram = length, gram
 
-    def read(self, column: pa.Array) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    def read(self, column: pa.Array) -> Read:
         data, offsets = buffer_of(column)
         whole = data.tobytes()
         words = [whole[a:b].split() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
@@ -71,13 +84,13 @@ class WordUnits:
         sizes = np.fromiter(map(len, flat), np.int64, len(flat))
         ends = np.cumsum(sizes + 1) - 1
         firsts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))]).astype(np.int64)
-        return b" ".join(flat), ends - sizes, ends, firsts
+        return Read(b" ".join(flat), ends - sizes, ends, firsts, flat)
 
-    def grams(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        if len(starts) < self.gram:
+    def grams(self, read: Read) -> np.ndarray:
+        if len(read.words) < self.gram:
             return np.zeros(0, np.uint64)
-        digest = xxhash.xxh3_64_intdigest
-        words = np.array([digest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist())], np.uint64)
+        hash_of = {w: xxhash.xxh3_64_intdigest(w) for w in set(read.words)}
+        words = np.array(list(map(hash_of.__getitem__, read.words)), np.uint64)
         total = np.zeros(len(words) - self.gram + 1, np.uint64)
         for i in range(self.gram):
             total = mixed(total + words[i : i + len(total)])
@@ -100,8 +113,9 @@ def found_passages(rows: DataFrame, units: Units) -> DataFrame:
     width = length - units.gram + 1
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        data, starts, ends, firsts = units.read(batch.column("text"))
-        grams = units.grams(data, starts, ends)
+        read = units.read(batch.column("text"))
+        data, starts, ends, firsts, _ = read
+        grams = units.grams(read)
         least = sliding_min(grams, width)
         if not len(least):
             return None
@@ -133,7 +147,7 @@ def found_passages(rows: DataFrame, units: Units) -> DataFrame:
         ]
         return pa.RecordBatch.from_arrays(columns, ["key", "body_hash", "doc_id", "th", "lo", "n", "again"])
 
-    return map_arrow(rows, work, PASSAGES)
+    return map_arrow(rows, work, PASSAGES, SLICE)
 
 
 def _again(grams: np.ndarray, key: np.ndarray, begin: np.ndarray, n: np.ndarray, width: int) -> np.ndarray:
@@ -175,7 +189,7 @@ def with_bodies(rows: DataFrame, wanted: DataFrame, units: Units) -> DataFrame:
     joined = _by_doc(rows, requests, "left_semi_rows")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        data, starts, ends, firsts = units.read(batch.column("text"))
+        data, starts, ends, firsts, _ = units.read(batch.column("text"))
         asked = batch.column("asked")
         flat = asked.flatten()
         doc = np.repeat(np.arange(batch.num_rows), np.diff(asked.offsets.to_numpy()))
@@ -188,7 +202,7 @@ def with_bodies(rows: DataFrame, wanted: DataFrame, units: Units) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, [*names, *DOC, "body"])
 
     schema = "key long, body_hash long, times long, lo int, n int, kinds long, doc_id long, th int, body binary"
-    return map_arrow(joined, work, schema)
+    return map_arrow(joined, work, schema, SLICE)
 
 
 def _by_doc(rows: DataFrame, per_doc: DataFrame, how: str) -> DataFrame:
@@ -234,7 +248,7 @@ def removed(rows: DataFrame, spans: DataFrame, units: Units, finish: Callable, s
     joined = _by_doc(rows, per_doc, "left")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        data, starts, ends, firsts = units.read(batch.column("text"))
+        data, starts, ends, firsts, _ = units.read(batch.column("text"))
         found = batch.column("spans")
         flat = found.flatten()
         sizes = np.nan_to_num(pa.compute.list_value_length(found).to_numpy(zero_copy_only=False)).astype(np.int64)
@@ -247,4 +261,4 @@ def removed(rows: DataFrame, spans: DataFrame, units: Units, finish: Callable, s
         columns = finish(data, starts, ends, firsts, gone)
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], [f.split()[0] for f in schema.split(", ")])
 
-    return map_arrow(joined, work, schema)
+    return map_arrow(joined, work, schema, SLICE)
