@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailmart.llm.texts import map_arrow, texts_of
+from retailmart.llm.texts import kept, map_arrow, texts_of
 from retailmart.llm.windows import BLOCK_BYTES, DOC, GROUP, WordUnits, doc_rows, folded, map_groups, recurring, removed, with_bodies
 
 SPANS = "doc_id long, th int, lo int, n int"
@@ -32,12 +32,12 @@ def phrase_spans(rows: DataFrame, length: int, gram: int, group: int, block_byte
     firsts = kinds.where("times > 1").select("key", "body_hash", *[F.col(c).alias(f"_{c}") for c in (*DOC, "lo")])
     later = ~(F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("th") == F.col("_th")) & (F.col("lo") == F.col("_lo")))
     copied = passages.join(firsts, ["key", "body_hash"]).where(later).select(*DOC, "lo", "n")
-    bodies = with_bodies(rows, kinds.where("kinds > 1"), units)
-    small = bodies.where(F.col("kinds") <= group)
+    small = with_bodies(rows, kinds.where(F.col("kinds").between(2, group)), units)
     spans = copied.unionByName(map_groups(small, lambda table: _automaton_block(table, length), SPANS, block_bytes))
-    if kinds.where(F.col("kinds") > group).isEmpty():
+    large = kinds.where(F.col("kinds") > group)
+    if large.isEmpty():
         return spans
-    return spans.unionByName(_by_window(bodies.where(F.col("kinds") > group), length))
+    return spans.unionByName(_by_window(kept(with_bodies(rows, large, units), "large-groups"), length))
 
 
 def _automaton_block(table: pa.Table, length: int) -> pa.RecordBatch | None:
@@ -123,7 +123,7 @@ def phrase_dedup(
     id_col: str = "doc_id",
     text_col: str = "text",
     length: int = 20,
-    gram: int = 4,
+    gram: int = 6,
     group: int = GROUP,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
@@ -141,7 +141,7 @@ def phrase_dedup(
     return removed(rows, spans, WordUnits(length, gram), _finish, schema)
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 20, gram: int = 4, group: int = GROUP, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 20, gram: int = 6, group: int = GROUP, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, kept): the words that stay, joined by one space."""
     rows = doc_rows(docs, id_col, text_col)
 

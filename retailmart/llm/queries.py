@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from retailmart.llm.decontaminate import contained_items
 from retailmart.llm.mixing import mix
 from retailmart.llm.phrase_dedup import phrase_dedup
+from retailmart.llm.quality_gam import fit_quality, score_quality
 from retailmart.llm.quality_rules import BASE, quality_verdicts
 from retailmart.llm.sharding import shard_plan
 from retailmart.llm.simhash import simhash_classes
 from retailmart.llm.suffix_dedup import suffix_dedup
 from retailmart.llm.texts import table
+from retailmart.llm.toxicity import fit_toxicity, score_toxicity
 
 #: Slots per cycle; sources not named share MIX_REST.
 MIX_WEIGHTS = {"src0": 30, "src1": 15, "src2": 10, "src3": 5}
@@ -34,6 +36,11 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_classes(table(spark, sf_dir, "documents"), shingle_words=3, max_distance=3)
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")), threshold=0.3)
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_plan(table(spark, sf_dir, "documents"), shards=8)
 
@@ -52,8 +59,24 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.select("doc_id", *BASE, "base_failed", "kept")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")), threshold=0.5)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_simhash_near_dedup, op5_sharding, op6_source_mixing, op7_substring_dedup, op8_quality_rules)}
+    found = (
+        op1_benchmark_decontamination,
+        op2_suffix_array_dedup,
+        op3_simhash_near_dedup,
+        op4_quality_classifier,
+        op5_sharding,
+        op6_source_mixing,
+        op7_substring_dedup,
+        op8_quality_rules,
+        op10_toxicity,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:

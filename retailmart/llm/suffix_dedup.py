@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailmart.llm.texts import buffer_of, map_arrow
+from retailmart.llm.texts import buffer_of, kept, map_arrow
 from retailmart.llm.windows import BLOCK_BYTES, DOC, GROUP, ByteUnits, doc_rows, folded, map_groups, recurring, removed, with_bodies
 
 SPANS = "doc_id long, th int, lo int, n int"
@@ -95,12 +95,12 @@ def dedup_spans(rows: DataFrame, length: int, gram: int, group: int, block_bytes
     kinds = folded(passages)
     # Copies of a passage: all its strings start elsewhere too.
     copied = passages.join(kinds.where("times > 1").select("key", "body_hash"), ["key", "body_hash"], "left_semi").select(*DOC, "lo", "n")
-    bodies = with_bodies(rows, kinds.where("kinds > 1"), units)
-    small = bodies.where(F.col("kinds") <= group)
+    small = with_bodies(rows, kinds.where(F.col("kinds").between(2, group)), units)
     spans = copied.unionByName(map_groups(small, lambda table: _index_block(table, length), SPANS, block_bytes))
-    if kinds.where(F.col("kinds") > group).isEmpty():
+    large = kinds.where(F.col("kinds") > group)
+    if large.isEmpty():
         return spans
-    return spans.unionByName(_by_window(bodies.where(F.col("kinds") > group), length))
+    return spans.unionByName(_by_window(kept(with_bodies(rows, large, units), "large-groups"), length))
 
 
 def _index_block(table: pa.Table, length: int) -> pa.RecordBatch | None:

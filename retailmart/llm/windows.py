@@ -29,7 +29,7 @@ GROUP = 4000
 #: Bytes of passages that a task indexes at once. A group of one key is never cut.
 BLOCK_BYTES = 1_000_000
 #: Bytes of text hashed at once; a byte takes about a hundred bytes of memory meanwhile.
-SLICE = 1_000_000
+SLICE = 300_000
 
 
 class Read(NamedTuple):
@@ -55,25 +55,49 @@ class ByteUnits:
 
     def grams(self, read: Read) -> np.ndarray:
         """A hash per ``gram`` units in a row."""
-        data, n = read.data, len(read.data)
+        n = len(read.data)
         if n < self.gram:
             return np.zeros(0, np.uint64)
-        padded = data + bytes(16)
-        words = np.empty(n + 8, np.uint64)
+        padded = read.data + bytes(16)
+        hashes = np.empty(n + 8, np.uint64)
         for shift in range(8):
-            count = len(words[shift::8])
-            words[shift::8] = np.frombuffer(padded, "<u8", count, shift)
-        total = np.zeros(n - self.gram + 1, np.uint64)
-        for i in range(0, self.gram, 8):
-            total = (total ^ words[i : i + len(total)]) * np.uint64(0x9E3779B97F4A7C15)
-            total ^= total >> np.uint64(29)
-        return mixed(total)
+            hashes[shift::8] = np.frombuffer(padded, "<u8", len(hashes[shift::8]), shift)
+        # Doubling: hashes of 8, 16, 32, ... bytes; a gram is the sum of its powers of two.
+        width, total, done = 8, None, 0
+        while True:
+            if self.gram & width:
+                total = hashes if total is None else _joined(total, hashes, done)
+                done += width
+            if done == self.gram:
+                return mixed(total[: n - self.gram + 1])
+            hashes = _joined(hashes, hashes, width)
+            width *= 2
+
+
+def _joined(left: np.ndarray, right: np.ndarray, shift: int) -> np.ndarray:
+    """Hashes of strings made of one of ``left`` and, ``shift`` bytes on, one of ``right``."""
+    out = left[: len(right) - shift] * np.uint64(0x9E3779B97F4A7C15)
+    out += right[shift : shift + len(out)]
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xD6E8FEB86659FD93)
+    return out
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2**64."""
+    base = 0x9E3779B97F4A7C15
+    found = []
+    for factor in (base, pow(base, -1, 1 << 64)):
+        factors = np.full(max(n, 1), factor, np.uint64)
+        factors[0] = 1
+        found.append(np.cumprod(factors)[:n])
+    return tuple(found)
 
 
 class WordUnits:
     """Texts as words (runs of bytes other than ASCII white space), joined by one space."""
 
-    def __init__(self, length: int, gram: int = 4):
+    def __init__(self, length: int, gram: int = 6):
         self.length, self.gram = length, gram
 
     def read(self, column: pa.Array) -> Read:
@@ -89,8 +113,10 @@ class WordUnits:
     def grams(self, read: Read) -> np.ndarray:
         if len(read.words) < self.gram:
             return np.zeros(0, np.uint64)
-        hash_of = {w: xxhash.xxh3_64_intdigest(w) for w in set(read.words)}
-        words = np.array(list(map(hash_of.__getitem__, read.words)), np.uint64)
+        # A word's hash is a difference of running sums of byte times power, shifted back by the inverse power.
+        powers, inverses = _powers(len(read.data))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(np.frombuffer(read.data, np.uint8) * powers)])
+        words = mixed((sums[read.ends] - sums[read.starts]) * inverses[read.starts])
         total = np.zeros(len(words) - self.gram + 1, np.uint64)
         for i in range(self.gram):
             total = mixed(total + words[i : i + len(total)])
@@ -107,8 +133,11 @@ def doc_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return texts.select("doc_id", F.hash(text).alias("th"), text.alias("text"))
 
 
-def found_passages(rows: DataFrame, units: Units) -> DataFrame:
-    """Every passage of every text: key, hash of its units, document, first window, number of windows, again."""
+def found_passages(rows: DataFrame, units: Units, keys_only: bool = False) -> DataFrame:
+    """Every passage of every text: key, hash of its units, document, first window, number of windows, again.
+
+    ``keys_only`` gives key and again alone.
+    """
     length = units.length
     width = length - units.gram + 1
 
@@ -132,22 +161,25 @@ def found_passages(rows: DataFrame, units: Units) -> DataFrame:
         doc = np.searchsorted(firsts, begin, "right") - 1
         inside = begin <= firsts[doc + 1] - length
         begin, n, doc = begin[inside], n[inside], doc[inside]
+        key, again = pa.array(least[begin].view(np.int64)), pa.array(_again(grams, least[begin], begin, n, width))
+        if keys_only:
+            return pa.RecordBatch.from_arrays([key, again], ["key", "again"])
         digest = xxhash.xxh3_64_intdigest
         spans = zip(starts[begin].tolist(), ends[begin + n + length - 2].tolist())
         bodies = np.array([digest(data[a:b]) for a, b in spans], np.uint64)
         take = pa.array(doc)
         columns = [
-            pa.array(least[begin].view(np.int64)),
+            key,
             pa.array(bodies.view(np.int64)),
             batch.column("doc_id").take(take),
             batch.column("th").take(take),
             pa.array((begin - firsts[doc]).astype(np.int32)),
             pa.array(n.astype(np.int32)),
-            pa.array(_again(grams, least[begin], begin, n, width)),
+            again,
         ]
         return pa.RecordBatch.from_arrays(columns, ["key", "body_hash", "doc_id", "th", "lo", "n", "again"])
 
-    return map_arrow(rows, work, PASSAGES, SLICE)
+    return map_arrow(rows, work, "key long, again boolean" if keys_only else PASSAGES, SLICE)
 
 
 def _again(grams: np.ndarray, key: np.ndarray, begin: np.ndarray, n: np.ndarray, width: int) -> np.ndarray:
@@ -167,7 +199,7 @@ def _again(grams: np.ndarray, key: np.ndarray, begin: np.ndarray, n: np.ndarray,
 def recurring(rows: DataFrame, units: Units) -> DataFrame:
     """The passages whose key occurs twice or more, in one text or several: two scans, the first for a count of keys."""
     passages = found_passages(rows, units)
-    twice = passages.groupBy("key").agg(F.count("*").alias("c"), F.max("again").alias("again")).where("c > 1 or again").select("key")
+    twice = found_passages(rows, units, keys_only=True).groupBy("key").agg(F.count("*").alias("c"), F.max("again").alias("again")).where("c > 1 or again").select("key")
     return kept(passages.join(twice, "key", "left_semi"), "passages")
 
 
