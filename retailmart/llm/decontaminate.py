@@ -109,18 +109,24 @@ def contained_items(
     is indexed on the driver and searched for in one pass over the documents without a shuffle. Equal item rows
     count once; a pair of ids stands once per document row, with the larger containment. Empty tables give no rows.
     """
+    texts = doc_texts(docs, id_col, text_col)
+    found = texts.sparkSession.createDataFrame([], SCHEMA)
+    for k, index in enumerate(item_blocks(items, item_col, item_text_col, shingle_words, threshold, block_bytes)):
+        part = _search(texts, index)
+        found = found.unionByName(part) if k else part
+    return found
+
+
+def item_blocks(items: DataFrame, item_col: str, item_text_col: str, shingle_words: int, threshold: float, block_bytes: int) -> Iterator[ItemIndex]:
+    """Indexes of the items, block by block."""
     wanted = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
     wanted = wanted.where(F.length("text") > 0).distinct()
     total = wanted.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // block_bytes)
-    texts = doc_texts(docs, id_col, text_col)
-    found = texts.sparkSession.createDataFrame([], SCHEMA)
     for block in range(blocks):
         own = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        rows = sorted(((r["item_id"], r["text"]) for r in own.collect()), key=lambda x: (x[0] is None, x))
-        part = _search(texts, ItemIndex(rows, shingle_words, threshold))
-        found = part if blocks == 1 else found.unionByName(part)
-    return found
+        rows = sorted(((r["item_id"], r["text"]) for r in own.collect()), key=lambda x: (x[0] is not None, *x))
+        yield ItemIndex(rows, shingle_words, threshold)
 
 
 SCHEMA = "doc_id long, item_id long, n_shared long, n_shingles long, containment double"
@@ -145,10 +151,31 @@ def _search(texts: DataFrame, index: ItemIndex) -> DataFrame:
     return map_arrow(texts, work, SCHEMA)
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", **settings) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text holds none of the items."""
-    if docs.isEmpty():
-        return docs
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    bad = contained_items(numbered, items, "_row", text_col, **settings).select(F.col("doc_id").alias("_row")).distinct()
-    return numbered.join(bad, "_row", "left_anti").drop("_row")
+def decontaminate(
+    docs: DataFrame,
+    items: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    shingle_words: int = 5,
+    threshold: float = 0.8,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text holds none of the items: one pass, no shuffle."""
+    for index in item_blocks(items, item_col, item_text_col, shingle_words, threshold, block_bytes):
+        docs = _without(docs, index, text_col)
+    return docs
+
+
+def _without(docs: DataFrame, index: ItemIndex, text_col: str) -> DataFrame:
+    sent = docs.sparkSession.sparkContext.broadcast(vars(index))
+
+    def run(batches):
+        own = ItemIndex.__new__(ItemIndex)
+        vars(own).update(sent.value)
+        for batch in batches:
+            texts = texts_of(batch.column(batch.schema.get_field_index(text_col)))
+            clean = [next(own.found_in(t.decode()), None) is None for t in texts]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from retailmart.llm.texts import numbered_copies
+
 #: Rows in a block.
 BLOCK_ROWS = 16
 #: Rows that one window sorts: sources are numbered in hashed buckets of about this size.
@@ -82,17 +84,15 @@ def mixed_rows(docs: DataFrame, weights: Mapping[str, int], rest: int = 1, id_co
 def _placed(rows, group, weights, rest, block_rows, bucket_rows, seed, key) -> DataFrame:
     spark = rows.sparkSession
     buckets = max(64, -(-rows.count() // bucket_rows))
-    # Equal rows would share every hash; where a row was read tells them apart.
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(1009))
-    rows = rows.withColumn("_group", group).withColumn("_salt", salt)
-    rows = rows.withColumn("_hash", F.xxhash64(F.lit(seed), *[F.col(c) for c in key], "_salt"))
+    rows = numbered_copies(rows).withColumn("_group", group)  # numbered, as equal rows would share every hash
+    rows = rows.withColumn("_hash", F.xxhash64(F.lit(seed), *[F.col(c) for c in key], "_copy"))
     rows = rows.withColumn("_bucket", F.pmod(F.col("_hash"), F.lit(buckets)))
     sizes = rows.groupBy("_group", "_bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
         F.col("_group").alias("_g"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
     )
-    inside = Window.partitionBy("_group", "_bucket").orderBy("_hash", *key)
+    inside = Window.partitionBy("_group", "_bucket").orderBy("_hash", *key, "_copy")
     numbered = rows.withColumn("_rank", F.row_number().over(inside) - 1)
     placed = numbered.join(starts, F.col("_group").eqNullSafe(F.col("_g")) & (F.col("_bucket") == F.col("_b")))
     index = F.col("_start") + F.col("_rank")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailmart.llm.decontaminate import contained_items
+from retailmart.llm.html_text import extract_text
 from retailmart.llm.mixing import mix
 from retailmart.llm.phrase_dedup import phrase_dedup
 from retailmart.llm.quality_gam import fit_quality, score_quality
@@ -59,6 +60,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.select("doc_id", *BASE, "base_failed", "kept")
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")), threshold=0.5)
@@ -74,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op6_source_mixing,
         op7_substring_dedup,
         op8_quality_rules,
+        op9_html_extraction,
         op10_toxicity,
     )
     return {f.__name__: f for f in found}

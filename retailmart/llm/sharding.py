@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from retailmart.llm.texts import numbered_copies
+
 #: Rows in a bucket: ids and sizes of so many rows are held at once.
 BUCKET_ROWS = 20_000
 
@@ -53,17 +55,17 @@ def _shuffled(rows: DataFrame, shards: int, total: int, bucket_rows: int, seed:
     """The rows with their shard and slot."""
     buckets = max(8, -(-total // (shards * bucket_rows)))
     fields = rows.columns
-    # Rows that are equal in all columns would share a bucket; where a row was read tells them apart.
-    spot = F.xxhash64(F.lit(seed + 1), *fields, F.pmod(F.monotonically_increasing_id(), F.lit(1009)))
+    rows = numbered_copies(rows)  # else equal rows would share a bucket
+    spot = F.xxhash64(F.lit(seed + 1), *rows.columns)
     scattered = rows.withColumn("shard", shard_of(F.col("doc_id"), shards, seed)).withColumn("_bucket", F.pmod(spot, F.lit(buckets)).cast("int"))
-    held = scattered.groupBy("shard", "_bucket").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_rows"))
-    dealt = held.select("shard", "_bucket", F.size("_rows").alias("_n"), F.shuffle("_rows", F.lit(seed)).alias("_rows"))
+    held = scattered.groupBy("shard", "_bucket").agg(F.array_sort(F.collect_list(F.struct(*rows.columns))).alias("_rows"))
+    dealt = held.select("shard", "_bucket", F.shuffle("_rows", F.lit(seed)).alias("_rows"))
     before = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = scattered.groupBy("shard", "_bucket").agg(F.count("*").alias("_n"))
     starts = sizes.select("shard", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    placed = dealt.drop("_n").join(starts, ["shard", "_bucket"])
-    rows = placed.select("shard", "_start", F.posexplode("_rows").alias("_pos", "_row"))
-    return rows.select("_row.*", "shard", (F.col("_start") + F.col("_pos")).alias("slot"))
+    placed = dealt.join(starts, ["shard", "_bucket"])
+    dealt = placed.select("shard", "_start", F.posexplode("_rows").alias("_pos", "_row"))
+    return dealt.select(*[F.col(f"_row.{c}") for c in fields], "shard", (F.col("_start") + F.col("_pos")).alias("slot"))
 
 
 def sharded_rows(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = BUCKET_ROWS, seed: int = 42) -> DataFrame:

@@ -102,3 +102,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def doc_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the text, under fixed names, so that other columns cannot clash."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
+def numbered_copies(rows: DataFrame) -> DataFrame:
+    """The rows with ``_copy``, a number from 1 among equal rows. Equal rows are counted before the shuffle, and the
+    number depends on nothing but the rows, so a task that runs again gives the same."""
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("_times"))
+    return counted.select(*rows.columns, F.explode(F.sequence(F.lit(1).cast("long"), "_times")).alias("_copy"))
