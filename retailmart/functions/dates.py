@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Day-first text dates; one-digit days, months and hours are accepted.
 DMY_DATE = "d/M/yyyy"
-DMY_TIMESTAMP = "d/M/yyyy[ H:mm[:ss[.SSSSSS]]]"
+DMY_TIMESTAMP = r"^\d{1,2}/\d{1,2}/\d{4}([ T]+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( *[AaPp][Mm])?)?$"
 
 
 def parse_dmy_date(c: Column) -> Column:
@@ -18,10 +18,19 @@ def parse_dmy_date(c: Column) -> Column:
 def parse_dmy_timestamp(c: Column) -> Column:
     """Day-first text to zone-free timestamp; NULL when the text is no such time.
 
-    A text without a time is midnight. Wants a session in UTC: in zones with
-    daylight saving the hour that is skipped in spring would be shifted.
+    A text without a time is midnight. A ``T`` may stand before the time and AM or PM
+    behind it; fractions of any length are cut to microseconds. The text is put in ISO
+    order and cast, so no time zone is involved.
     """
-    return F.try_to_timestamp(c, F.lit(DMY_TIMESTAMP)).cast("timestamp_ntz")
+    text = F.when(c.rlike(DMY_TIMESTAMP), c)
+    iso = F.regexp_replace(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$2-$1")
+    time = F.regexp_replace(iso, r" *[AaPp][Mm]$|(?<=\d)[ T]+(?=\d+:)", " ")
+    parsed = F.trim(time).try_cast("timestamp_ntz")
+    half = F.upper(F.substring(text, -2, 2))
+    hour, half_day = F.hour(parsed), F.expr("interval 12 hours")
+    noon = F.when(hour == 12, parsed).when(hour.between(1, 11), parsed + half_day)
+    morning = F.when(hour == 12, parsed - half_day).when(hour.between(1, 11), parsed)
+    return F.when(half == "PM", noon).when(half == "AM", morning).otherwise(parsed)
 
 
 def month_start(c: Column) -> Column:

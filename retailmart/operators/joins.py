@@ -1,8 +1,8 @@
-"""Joins of a large fact to a table with one row per key.
+"""Joins of a large fact to a dimension.
 
-``join_dimension`` measures the dimension and broadcasts it only when it is
-small. Beyond that ``hot_key_join`` shuffles both sides, with the keys that hold
-a large part of the fact spread over all tasks.
+``join_dimension`` is Spark's own join: statistics and adaptive execution choose between broadcast and shuffle, and
+split skewed partitions. Where a few known or sampled keys hold much of the fact, ``hot_key_join`` keeps their rows out
+of the shuffle. Both give the same rows at every size.
 """
 
 from __future__ import annotations
@@ -12,40 +12,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 64 * 1024 * 1024
 # A key is hot when it holds more than 1/HOT_KEYS of the rows, so there can be
 # at most HOT_KEYS hot keys whatever the data: their broadcast is bounded.
 HOT_KEYS = 1000
 HOT_SAMPLE = 0.01
 
 
-def fits_broadcast(
-    dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    """Measure ``dim`` with one distributed aggregate (an action on the dimension only)."""
-    if max_rows <= 0:
-        return False
-    width = F.octet_length(F.to_json(F.struct(*dim.columns)))
-    size = dim.agg(F.count("*").alias("n"), F.sum(width.cast("bigint")).alias("bytes")).first()
-    return size["n"] <= max_rows and (size["bytes"] or 0) <= max_bytes
-
-
 def join_dimension(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: str | Sequence[str],
-    how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
-    max_bytes: int = BROADCAST_BYTES,
+    fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left"
 ) -> DataFrame:
-    """Join ``dim`` (unique on ``on``) to ``fact``; ``how`` is left, inner or left_semi."""
+    """Join ``dim`` to ``fact``; ``how`` is left, inner or left_semi. Lazy: no job runs."""
     keys = [on] if isinstance(on, str) else list(on)
     if how == "left_semi":
         dim = dim.select(*keys)
-    if fits_broadcast(dim, max_rows, max_bytes):
-        return fact.join(F.broadcast(dim), keys, how)
-    return hot_key_join(fact, dim, keys, how)
+    return fact.join(dim, keys, how)
 
 
 def hot_keys(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -79,59 +59,41 @@ def hot_key_join(
     null_safe: bool = False,
     hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Shuffle join in which no key brings more than a small part of the rows to one task.
+    """``join_dimension`` with the hot keys' rows kept out of the shuffle, and NULL keys too.
 
-    Rows with a hot key get their attributes from a broadcast of the hot
-    dimension rows, at most ``HOT_KEYS`` of them. They still travel through the
-    shuffle of the others but under a slot drawn from the whole row, which
-    spreads them evenly. The slot is a hash of the row, not a random number, so
-    a recomputed task sends each row where the lost one did.
-
-    ``hot`` may give the hot keys, if they are known; it must hold few rows.
+    Fact rows with a hot key meet a broadcast of the dimension rows of those keys, at
+    most ``HOT_KEYS`` keys, where they are; all others are joined by shuffle, and the
+    two parts are put together. The fact is read once for each part. ``hot`` may give
+    the hot keys, if they are known; it must hold few rows.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    attrs = [c for c in dim.columns if c not in keys]
-    if how == "inner" and not null_safe:
-        fact = fact.dropna(subset=keys)
-
+    if how == "left_semi":
+        dim = dim.select(*keys).distinct()
     hot = (hot_keys(fact, keys) if hot is None else hot).select(*_renamed(keys, "_hot_"))
-    hot_dim = dim.join(F.broadcast(hot), _same(keys, "", "_hot_", null_safe), "inner").select(
-        *_renamed(keys, "_found_"),
-        F.struct(F.lit(True).alias("found"), *attrs).alias("_hot_attrs"),
-    )
-    hot_rows = hot.join(
-        F.broadcast(hot_dim), _same(keys, "_hot_", "_found_", null_safe), "left"
-    ).select(*[f"_hot_{k}" for k in keys], "_hot_attrs", F.lit(True).alias("_is_hot"))
+    is_hot = _same(keys, "", "_hot_", null_safe)
+    attrs = [c for c in dim.columns if c not in keys]
+    named = dim.select(*_renamed(keys, "_dim_"), *attrs)
+    match = _same(keys, "", "_dim_", null_safe)
 
-    spread = F.col("_is_hot").isNotNull()
+    few = named.join(F.broadcast(hot), _same(keys, "_dim_", "_hot_", null_safe), "left_semi")
+    parts = [fact.join(F.broadcast(hot), is_hot, "left_semi").join(F.broadcast(few), match, how)]
+    cold = fact.join(F.broadcast(hot), is_hot, "left_anti")
     if not null_safe:
+        known = F.lit(True)
         for k in keys:
-            spread = spread | F.col(k).isNull()
-    marked = fact.join(
-        F.broadcast(hot_rows), _same(keys, "", "_hot_", null_safe), "left"
-    ).select(
-        *fact.columns,
-        "_hot_attrs",
-        "_is_hot",
-        F.when(spread, F.xxhash64(*fact.columns)).otherwise(F.xxhash64(*keys)).alias("_slot"),
-    )
-    cold = dim.select(
-        *_renamed(keys, "_dim_"),
-        F.xxhash64(*keys).alias("_dim_slot"),
-        F.struct(F.lit(True).alias("found"), *attrs).alias("_cold_attrs"),
-    )
-    got = F.when(F.col("_is_hot"), F.col("_hot_attrs")).otherwise(F.col("_cold_attrs"))
-    joined = marked.join(
-        cold,
-        _same(keys, "", "_dim_", null_safe) & (F.col("_slot") == F.col("_dim_slot")),
-        "left",
-    ).withColumn("_got", got)
-    if how in ("inner", "left_semi"):
-        joined = joined.filter(F.col("_got.found"))
+            known = known & F.col(k).isNotNull()
+        if how == "left":
+            parts.append(
+                cold.filter(~known).select("*", *[F.lit(None).cast(dim.schema[a].dataType).alias(a) for a in attrs])
+            )
+        cold = cold.filter(known)
+    parts.append(cold.join(named, match, how))
     rest = [c for c in fact.columns if c not in keys]
-    if how == "left_semi":
-        return joined.select(*keys, *rest)
-    return joined.select(*keys, *rest, *[F.col(f"_got.{a}").alias(a) for a in attrs])
+    out = [*keys, *rest] if how == "left_semi" else [*keys, *rest, *attrs]
+    joined = parts[0].select(*out)
+    for part in parts[1:]:
+        joined = joined.unionByName(part.select(*out))
+    return joined
 
 
 def _renamed(keys: Sequence[str], prefix: str) -> list[Column]:

@@ -11,24 +11,24 @@ from pyspark.sql import types as T
 
 from retailmart.functions import percent, ratio
 
-# Sums of money: 20 digits hold any total below 10**18 (an overflow raises) and
-# leave room for fraction digits when Spark divides them.
+# Sums of money: 20 digits, or more where the scale needs them, hold any total below
+# 10**18 (an overflow raises) and leave room for fraction digits when Spark divides them.
 SUM_PRECISION = 20
 WORD_DIGITS = 18
 
 
 def exact_sum(df: DataFrame, column: str) -> Column:
-    """``sum(column)``; for decimals as ``decimal(20, s)``.
+    """``sum(column)``; for decimals of up to 18 digits as ``decimal(max(20, 18 + s), s)``.
 
-    Decimals of up to 18 digits are summed as whole numbers of their last place:
+    Wider ones keep Spark's own type of the sum, ten digits more. Decimals of up to 18 digits are summed as whole numbers of their last place:
     a sum Spark keeps in a machine word, in half the time of a decimal sum.
     """
     dtype = df.schema[column].dataType
     if not isinstance(dtype, T.DecimalType):
         return F.sum(column)
-    total = T.DecimalType(SUM_PRECISION, dtype.scale)
     if dtype.precision > WORD_DIGITS:
-        return F.sum(column).cast(total)
+        return F.sum(column)
+    total = T.DecimalType(max(SUM_PRECISION, WORD_DIGITS + dtype.scale), dtype.scale)
     units = F.sum((F.col(column) * F.lit(10**dtype.scale)).cast("bigint"))
     unit = F.lit(Decimal(1).scaleb(-dtype.scale))
     return (units.cast(T.DecimalType(SUM_PRECISION, 0)) * unit).cast(total)

@@ -15,7 +15,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "cafe_raw": (
         (),
         f"""
-select 'TXN_' || lpad(cast(o_orderkey as varchar), 7, '0') as Transaction_ID,
+select 'TXN_' || case when length(cast(o_orderkey as varchar)) < 7 then lpad(cast(o_orderkey as varchar), 7, '0') else cast(o_orderkey as varchar) end as Transaction_ID,
  case o_custkey % 11 when 0 then 'Salad' when 1 then 'Juice' when 2 then 'Tea' when 3 then 'Cookie'
   when 4 then 'Smoothie' when 5 then 'Coffee' when 6 then 'Sandwich' when 7 then 'Cake'
   when 8 then 'UNKNOWN' when 9 then 'ERROR' else null end as Item,

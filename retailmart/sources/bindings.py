@@ -18,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _padded(text: Column, width: int) -> Column:
+    """Zeros in front of a short text; a longer one stays whole."""
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
 def _pick(c: Column, options: dict, otherwise: object) -> Column:
     (first, value), *rest = options.items()
     out = F.when(c == first, F.lit(value))
@@ -58,7 +63,7 @@ def cafe_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "4-NOT SPECIFIED": "UNKNOWN",
     }
     return table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("TXN_"), F.lpad(key.cast("string"), 7, "0")).alias("Transaction_ID"),
+        F.concat(F.lit("TXN_"), _padded(key.cast("string"), 7)).alias("Transaction_ID"),
         _pick(item, items, None).alias("Item"),
         _null_every(13, key, quantity.cast("int")).alias("Quantity"),
         _null_every(17, key, price).alias("Price_Per_Unit"),

@@ -25,13 +25,15 @@ def csv_ingest(
     """(rows, rejects): rows that fit ``schema``, and the text of the lines that do not.
 
     Large files are split between tasks. Rows may end in LF or CRLF; empty fields
-    are NULL. Every line is parsed in full whatever columns are used later.
+    are NULL. Every line is parsed in full whatever columns are used later. A header
+    that does not name the schema's columns in their order raises when rows are read.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     read = (
         spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
         .option("header", header)
+        .option("enforceSchema", not header)
         .option("sep", sep)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)

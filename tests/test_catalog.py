@@ -7,10 +7,11 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from retailmart import catalog, oracle
 from tests.compare import duck, mismatch
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = catalog.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from retailmart.functions import parse_dmy_date
@@ -113,3 +114,10 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert first != second
     if base:
         assert first.startswith(base)
+
+
+def test_a_header_in_another_order_raises(spark, tmp_path):
+    (tmp_path / "swapped.csv").write_text("b,a\n1,2\n")
+    good, _ = csv_ingest(spark, str(tmp_path / "swapped.csv"), "a int, b int")
+    with pytest.raises(Exception, match="CSV header does not conform|INVALID|header"):
+        good.collect()

@@ -126,3 +126,24 @@ def test_zero_divisor_is_null(spark):
         assert value(spark, ratio(F.lit(5), zero, 2)) is None
         assert value(spark, percent(F.lit(5), zero)) is None
         assert value(spark, percent(F.lit(5), zero, None)) is None
+
+
+@pytest.mark.parametrize(
+    ("given", "want"),
+    [
+        ("01/02/2023 10:11:12.1234567", dt.datetime(2023, 2, 1, 10, 11, 12, 123456)),
+        ("01/02/2023 1:05 PM", dt.datetime(2023, 2, 1, 13, 5)),
+        ("01/02/2023 12:05 am", dt.datetime(2023, 2, 1, 0, 5)),
+        ("01/02/2023T10:11:12", dt.datetime(2023, 2, 1, 10, 11, 12)),
+        ("26/03/2023 02:30", dt.datetime(2023, 3, 26, 2, 30)),
+        ("01/02/2023 13:05 PM", None),
+        ("01/02/2023 25:00", None),
+    ],
+)
+def test_day_first_times_need_no_zone(spark, given, want):
+    saved = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        assert value(spark, parse_dmy_timestamp(text(given))) == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", saved)

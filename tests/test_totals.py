@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retailmart.operators.totals import (
+    exact_sum,
     average_order_value,
     contribution,
     exact_mean,
@@ -96,3 +97,9 @@ def test_totals_by_attribute_equal_join_then_group(spark, rows):
         )
         want = group_totals(fact.join(dim, "k", how), ["g", "t"], {"s": "m"}, "n", {"c": "m"})
         assert rows(got) == rows(want)
+
+
+@pytest.mark.parametrize("kind", ["decimal(38,18)", "decimal(18,10)", "decimal(10,0)", "decimal(18,2)"])
+def test_sums_hold_any_scale(spark, kind):
+    df = spark.sql(f"select cast(60 as {kind}) as v union all select cast(60 as {kind})")
+    assert df.agg(exact_sum(df, "v").alias("s")).first()["s"] == 120
