@@ -262,9 +262,13 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[_Page]:
 
 
 def _paired(pages: Iterator[_Page]) -> Iterator[tuple[_Page, _Page | None]]:
-    """Each page with the neighbour on its host whose path is nearer; the one before wins a tie."""
+    """Each page with the neighbour on its host whose path is nearer; the one before wins a tie. Pages without text are
+    nobody's neighbour."""
     before, page = None, None
     for after in pages:
+        if not after.lines:
+            yield after, None
+            continue
         if page is not None:
             yield page, _nearer(page, before, after)
         before, page = page, after

@@ -75,10 +75,12 @@ def mixed_rows(docs: DataFrame, weights: Mapping[str, int], rest: int = 1, id_co
     places = places.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source")).agg(
         F.min(F.struct("slot", "slot_row")).alias("_place")
     )
-    same = docs[id_col].cast("long").eqNullSafe(F.col("_id")) & docs[source_col].cast("string").eqNullSafe(F.col("_source"))
-    joined = docs.join(places, same, "left")
-    ordered = joined.repartitionByRange("_place").sortWithinPartitions("_place")
-    return ordered.select(*[docs[c] for c in docs.columns])
+    packed = docs.select(
+        F.struct("*").alias("_packed"), F.col(id_col).cast("long").alias("_doc"), F.col(source_col).cast("string").alias("_from")
+    )
+    same = F.col("_doc").eqNullSafe(F.col("_id")) & F.col("_from").eqNullSafe(F.col("_source"))
+    ordered = packed.join(places, same, "left").repartitionByRange("_place").sortWithinPartitions("_place")
+    return ordered.select(*[F.col("_packed").getField(c).alias(c) for c in docs.columns])
 
 
 def _placed(rows, group, weights, rest, block_rows, bucket_rows, seed, key) -> DataFrame:

@@ -42,6 +42,9 @@ def phrase_spans(rows: DataFrame, length: int, gram: int, group: int, block_byte
 
 def _automaton_block(table: pa.Table, length: int) -> pa.RecordBatch | None:
     """Later occurrences among the block's passages, which come in the order of their places within each key."""
+    # Rows equal in id and text are one text: their passages stand together, and the first is enough.
+    place = list(zip(*[table.column(c).to_pylist() for c in ("key", *DOC, "lo")]))
+    table = table.filter(pa.array([k == 0 or p != place[k - 1] for k, p in enumerate(place)], pa.bool_())).combine_chunks()
     bodies = table.column("body").combine_chunks()
     number: dict[bytes, int] = {}
     passages = []

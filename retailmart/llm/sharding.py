@@ -59,7 +59,9 @@ def _shuffled(rows: DataFrame, shards: int, total: int, bucket_rows: int, seed:
     spot = F.xxhash64(F.lit(seed + 1), *rows.columns)
     scattered = rows.withColumn("shard", shard_of(F.col("doc_id"), shards, seed)).withColumn("_bucket", F.pmod(spot, F.lit(buckets)).cast("int"))
     held = scattered.groupBy("shard", "_bucket").agg(F.array_sort(F.collect_list(F.struct(*rows.columns))).alias("_rows"))
-    dealt = held.select("shard", "_bucket", F.shuffle("_rows", F.lit(seed)).alias("_rows"))
+    # The seeded shuffle draws on from row to row of a partition: sorted, a task that runs again draws the same.
+    sorted_buckets = held.sortWithinPartitions("shard", "_bucket")
+    dealt = sorted_buckets.select("shard", "_bucket", F.shuffle("_rows", F.lit(seed)).alias("_rows"))
     before = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = scattered.groupBy("shard", "_bucket").agg(F.count("*").alias("_n"))
     starts = sizes.select("shard", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
@@ -78,10 +80,11 @@ def sharded_rows(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_
     slots = plan.groupBy(F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc")).agg(
         F.min("slot").alias("_slot"), F.first("shard").alias("_shard")
     )
-    crc = F.crc32(F.coalesce(docs[text_col].cast("string"), F.lit("")).cast("binary"))
-    joined = docs.join(slots, docs[id_col].cast("long").eqNullSafe(F.col("_id")) & (crc == F.col("_crc")))
+    crc = F.crc32(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))
+    packed = docs.select(F.struct("*").alias("_packed"), F.col(id_col).cast("long").alias("_doc"), crc.alias("_text_crc"))
+    joined = packed.join(slots, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text_crc") == F.col("_crc")))
     ordered = joined.repartitionByRange("_shard", "_slot").sortWithinPartitions("_shard", "_slot")
-    columns = [docs[c] for c in docs.columns if c not in ("shard", "slot")]
+    columns = [F.col("_packed").getField(c).alias(c) for c in docs.columns if c not in ("shard", "slot")]
     return ordered.select(*columns, F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
 
 

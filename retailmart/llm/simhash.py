@@ -88,9 +88,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows whose id is the smallest of their class; rows without an id are kept as they are."""
     classes = simhash_classes(docs, id_col, text_col, **settings)
     stays = classes.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept_id")).distinct()
-    named = docs.where(F.col(id_col).isNotNull())
-    found = named.join(stays, F.col(id_col).cast("long") == F.col("_kept_id"), "left_semi")
-    return found.unionByName(docs.where(F.col(id_col).isNull()))
+    packed = docs.select(F.struct("*").alias("_packed"), F.col(id_col).cast("long").alias("_doc"))
+    found = packed.join(stays, F.col("_doc") == F.col("_kept_id"), "left_semi")
+    found = found.unionByName(packed.where(F.col("_doc").isNull()))
+    return found.select(*[F.col("_packed").getField(c).alias(c) for c in docs.columns])
 
 
 def links(prints: DataFrame, max_distance: int = 3, group: int = GROUP) -> DataFrame:
