@@ -32,12 +32,11 @@ def phrase_spans(rows: DataFrame, length: int, gram: int, group: int, block_byte
     firsts = kinds.where("times > 1").select("key", "body_hash", *[F.col(c).alias(f"_{c}") for c in (*DOC, "lo")])
     later = ~(F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("th") == F.col("_th")) & (F.col("lo") == F.col("_lo")))
     copied = passages.join(firsts, ["key", "body_hash"]).where(later).select(*DOC, "lo", "n")
-    small = with_bodies(rows, kinds.where(F.col("kinds").between(2, group)), units)
+    # Written, so that groups of either size cost one join with the texts.
+    bodies = kept(with_bodies(rows, kinds.where("kinds > 1"), units), "bodies")
+    small = bodies.where(F.col("kinds") <= group)
     spans = copied.unionByName(map_groups(small, lambda table: _automaton_block(table, length), SPANS, block_bytes))
-    large = kinds.where(F.col("kinds") > group)
-    if large.isEmpty():
-        return spans
-    return spans.unionByName(_by_window(kept(with_bodies(rows, large, units), "large-groups"), length))
+    return spans.unionByName(_by_window(bodies.where(F.col("kinds") > group), length))
 
 
 def _automaton_block(table: pa.Table, length: int) -> pa.RecordBatch | None:
