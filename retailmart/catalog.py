@@ -17,6 +17,9 @@ from pyspark.sql import types as T
 from retailmart.functions import parse_dmy_date, parse_dmy_timestamp
 from retailmart.operators import cleaning as cl
 from retailmart.operators import quality as dq
+from retailmart.operators.funnels import funnel
+from retailmart.operators.ranking import top_ranked
+from retailmart.operators.running import pareto
 from retailmart.plans import cafe
 from retailmart.plans import ecommerce as shop_plan
 from retailmart.plans import ecommerce_analyses as an
@@ -136,6 +139,27 @@ def _csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+def _ingested(staged: Callable[[SparkSession, str], DataFrame], schema: str) -> Query:
+    """Write a table as a CSV file and read it back by its schema."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "csv")
+        staged(spark, sf_dir).write.option("header", True).csv(path)
+        return csv_ingest(spark, path, schema)[0]
+
+    return run
+
+
+for _name, _staged, _schema in (
+    ("campaigns", bindings.staged_campaigns, schemas.CAMPAIGNS_STAGED),
+    ("customers", bindings.customers, schemas.CUSTOMERS),
+    ("products", bindings.products, schemas.PRODUCTS),
+    ("events", bindings.staged_events, schemas.EVENTS_STAGED),
+    ("cafe", bindings.cafe_raw, schemas.CAFE_RAW),
+):
+    query(f"in_csv_ingest_{_name}")(_ingested(_staged, _schema))
+
+
 @query("in_csv_rejects")
 def _csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refunds are written with a quantity that is no number."""
@@ -652,3 +676,37 @@ _on_shop(
     "month_over_month_filled",
     lambda s: an.month_over_month(shop_plan.time_sales(s), fill_calendar=True),
 )
+for _name in (
+    "top_transactions",
+    "discount_impact",
+    "discount_buckets",
+    "campaign_ab",
+    "kpi_dashboard",
+    "top_campaigns",
+    "channel_share",
+    "objective_performance",
+    "segment_performance",
+    "campaign_efficiency",
+):
+    _on_shop(
+        f"{_name}_no_refunds",
+        lambda s, fn=getattr(an, _name): fn(shop_plan.without_refunds(s)),
+    )
+_on_shop(
+    "funnel_by_device",
+    lambda s: funnel(s.events, "event_type", an.FUNNEL_STEPS, an.FUNNEL_RATES, ["device_type"]),
+)
+_on_shop(
+    "top_products_by_category",
+    lambda s: top_ranked(
+        shop_plan.product_performance(s).select("category", "product_id", "total_units_sold"),
+        "total_units_sold",
+        2,
+        ["category"],
+        dense=True,
+    ),
+)
+_on_shop(
+    "customer_pareto",
+    lambda s: pareto(s.transactions, "customer_id", "gross_revenue"),
+)

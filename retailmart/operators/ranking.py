@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from retailmart.operators.joins import HOT_KEYS, hot_key_join
+
 
 def top_rows(
     df: DataFrame,
@@ -71,20 +73,22 @@ def _top_ranked_by(
     df: DataFrame, order: str, n: int, by: Sequence[str], rank: str, dense: bool
 ) -> DataFrame:
     keys = [*by, order]
-    values = df.select(*keys)
+    # Ties are folded to one row with their count before the groups are gathered,
+    # and of each group no more than n values are kept.
+    values = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    falling = Window.partitionBy(*by).orderBy(F.col(order).desc())
+    place = F.row_number().over(falling)
+    leading = values.withColumn("_place", place).filter(F.col("_place") <= n)
     if dense:
-        values = values.distinct()
-    # Each task keeps n rows per group before the groups are gathered.
-    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.col(order).desc()))
-    ranks = (
-        values.withColumn("_place", place)
-        .filter(F.col("_place") <= n)
-        .groupBy(*keys)
-        .agg(F.min("_place").cast("bigint").alias(rank))
-        .select(*[F.col(k).alias(f"_rank_{k}") for k in keys], rank)
+        settled = F.col("_place")
+    else:
+        ahead = F.sum("_rows").over(falling.rowsBetween(Window.unboundedPreceding, -1))
+        settled = F.coalesce(ahead, F.lit(0)) + 1
+    ranks = leading.withColumn(rank, settled.cast("bigint")).filter(F.col(rank) <= n)
+    # Joined on group and value, so that a large group is spread by its values;
+    # rows of a frequent value stay where they are.
+    hot = values.filter(F.col("_rows") * HOT_KEYS > values.agg(F.sum("_rows")).scalar())
+    joined = hot_key_join(
+        df, ranks.select(*keys, rank), keys, "inner", null_safe=True, hot=hot.select(*keys)
     )
-    # Joined on group and value, so that a large group is spread by its values.
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_rank_{k}"))
-    return df.join(ranks, same, "inner").select(*df.columns, rank)
+    return joined.select(*df.columns, rank)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retailmart.functions import percent
+from retailmart.operators.joins import HOT_KEYS, hot_key_join
 from retailmart.operators.totals import exact_sum, grand_totals, group_totals
 
 # Positions are 64-bit integers cut into 22 + 21 + 21 bits, so that no window
@@ -49,7 +50,8 @@ def running_total(
     ``order`` is a calendar period with one row each: the calendar bounds the
     number of rows, and a plain ordered window is enough. Otherwise the sum is
     taken at three levels of ever coarser positions, each in windows of bounded
-    size, and the offsets of the coarser levels are joined back.
+    size, and the offsets of the coarser levels are joined back; rows of frequent
+    positions meet a broadcast, so that no tie is gathered in one task.
     """
     dtype = df.agg(exact_sum(df, measure).alias("s")).schema["s"].dataType
     if calendar_order:
@@ -64,7 +66,7 @@ def running_total(
     placed = df.withColumn("_pos", order_position(df, order, descending))
     low = (
         placed.groupBy("_pos")
-        .agg(exact_sum(placed, measure).alias("_step"))
+        .agg(exact_sum(placed, measure).alias("_step"), F.count("*").alias("_rows"))
         .withColumn("_mid", F.shiftright("_pos", LOW_BITS))
     )
     mid = (
@@ -94,7 +96,9 @@ def running_total(
         upto.cast(dtype).alias(out),
         *([(upto - F.col("_step")).cast(dtype).alias(before)] if before else []),
     )
-    return placed.join(steps, "_pos").drop("_pos")
+    # Rows that tie on a frequent position stay where they are.
+    hot = low.filter(F.col("_rows") * HOT_KEYS > low.agg(F.sum("_rows")).scalar())
+    return hot_key_join(placed, steps, "_pos", "inner", hot=hot).drop("_pos")
 
 
 def pareto(

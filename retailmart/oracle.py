@@ -379,6 +379,33 @@ _STAGED = TRANSACTION_COLUMNS.format(time=_TEXT_TIME).replace(
     "product_id::bigint", "coalesce(product_id, 0)::bigint"
 ).replace("campaign_id::bigint", "coalesce(campaign_id, 0)::bigint")
 oracle("in_csv_ingest", f"select {_STAGED} from transactions_t", "transactions_t")
+oracle(
+    "in_csv_ingest_campaigns",
+    "select campaign_id::bigint as campaign_id, channel, objective,"
+    " strftime(start_date, '%d/%m/%Y') as start_date, strftime(end_date, '%d/%m/%Y') as end_date,"
+    " target_segment, expected_uplift::double as expected_uplift from campaigns_t",
+    "campaigns_t",
+)
+oracle(
+    "in_csv_ingest_customers",
+    "select customer_id::bigint as customer_id, signup_date, country, age::bigint as age, gender,"
+    " loyalty_tier, acquisition_channel from customers_t",
+    "customers_t",
+)
+oracle(
+    "in_csv_ingest_products",
+    "select product_id::bigint as product_id, category, brand, base_price::double as base_price,"
+    " launch_date, is_premium::bigint as is_premium from products_t",
+    "products_t",
+)
+oracle(
+    "in_csv_ingest_events",
+    "select * replace (strftime(events_timestamp, '%d/%m/%Y %H:%M:%S.%f') as events_timestamp,"
+    " coalesce(product_id, 0) as product_id, coalesce(campaign_id, 0) as campaign_id)"
+    f" from (select {EVENT_COLUMNS} from events_t)",
+    "events_t",
+)
+oracle("in_csv_ingest_cafe", f"select {CAFE_COLUMNS} from cafe_raw", "cafe_raw")
 oracle(
     "in_csv_rejects",
     "select (1 - refund_flag)::bigint as good, count(*) as n_rows from transactions_t group by 1",
@@ -1253,3 +1280,46 @@ oracle(
     f"select age_group, {_DURATION} as avg_session_duration from event_behavior group by age_group",
     "event_behavior",
 )
+_FACT = "from lineitem join orders on l_orderkey = o_orderkey"
+for _name in (
+    "top_transactions",
+    "discount_impact",
+    "discount_buckets",
+    "campaign_ab",
+    "kpi_dashboard",
+    "top_campaigns",
+    "channel_share",
+    "objective_performance",
+    "segment_performance",
+    "campaign_efficiency",
+):
+    oracle(f"{_name}_no_refunds", _ORACLE[_name].replace(_FACT, f"{_FACT} where l_returnflag <> 'R'"))
+oracle(
+    "funnel_by_device",
+    "select device_type, views, clicks, carts, purchases,"
+    f" {count_share('clicks', 'views')} as view_to_click_rate_pct,"
+    f" {count_share('carts', 'clicks')} as click_to_cart_rate_pct,"
+    f" {count_share('purchases', 'carts')} as cart_to_purchase_rate_pct from (select device_type,"
+    " count(*) filter (where event_type = 'view') as views,"
+    " count(*) filter (where event_type = 'click') as clicks,"
+    " count(*) filter (where event_type = 'cart') as carts,"
+    " count(*) filter (where event_type = 'purchase') as purchases"
+    " from events_k group by device_type)",
+    "events_k",
+)
+oracle(
+    "top_products_by_category",
+    "select category, product_id::bigint as product_id,"
+    " total_units_sold::bigint as total_units_sold, rank from (select *, dense_rank() over"
+    " (partition by category order by total_units_sold desc nulls last) as rank"
+    " from product_performance) where rank <= 2",
+    "product_performance",
+)
+oracle(
+    "customer_pareto",
+    f"select customer_id::bigint as customer_id, r::double as total, {share('r', 'w')} as share_pct,"
+    f" {share('c', 'w')} as cumulative_pct from (select *, sum(r) over (order by r desc) as c,"
+    " sum(r) over () as w from (select customer_id, sum(gross_revenue) as r from transactions_k"
+    " group by customer_id having sum(gross_revenue) is not null))",
+    "transactions_k",
+)

@@ -131,6 +131,17 @@ def ecommerce_silver(staged: Ecommerce, brand_delim: str = "_") -> Ecommerce:
     return clean_ecommerce(type_ecommerce(staged), brand_delim)
 
 
+def without_refunds(shop: Ecommerce) -> Ecommerce:
+    """The shop without refunded transactions, for any view or analysis."""
+    return Ecommerce(
+        shop.campaigns,
+        shop.customers,
+        shop.products,
+        shop.events,
+        shop.transactions.filter(F.col("refund_flag") == 0),
+    )
+
+
 def _with_revenue(transactions: DataFrame, exclude_refunds: bool) -> DataFrame:
     known = transactions.filter(F.col("gross_revenue").isNotNull())
     if exclude_refunds:

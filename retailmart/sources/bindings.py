@@ -91,7 +91,7 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
             "n_regionkey",
         )
         .select(
-            (key + 1).cast("int").alias("campaign_id"),
+            (key + 1).cast("bigint").alias("campaign_id"),
             F.col("r_name").alias("channel"),
             _pick(key % 4, objectives, "Acquisition").alias("objective"),
             start.alias("start_date"),
@@ -114,7 +114,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
             "c_nationkey",
         )
         .select(
-            key.cast("int").alias("customer_id"),
+            key.cast("bigint").alias("customer_id"),
             F.date_add(F.lit("1994-01-01").cast("date"), (key % 365).cast("int")).alias(
                 "signup_date"
             ),
@@ -131,7 +131,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
     price = F.col("p_retailprice").cast("decimal(18,2)")
     return table(spark, sf_dir, "part").select(
-        key.cast("int").alias("product_id"),
+        key.cast("bigint").alias("product_id"),
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("brand"),
         ((price - 900) * 4).cast("decimal(18,2)").alias("base_price"),
@@ -157,14 +157,14 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             (order * 8 + F.col("l_linenumber")).alias("transaction_id"),
             F.col("o_orderdate").alias("transaction_timestamp"),
-            F.col("o_custkey").cast("int").alias("customer_id"),
-            _null_every(10, order, F.col("l_partkey").cast("int")).alias("product_id"),
+            F.col("o_custkey").cast("bigint").alias("customer_id"),
+            _null_every(10, order, F.col("l_partkey").cast("bigint")).alias("product_id"),
             F.col("l_quantity").cast("int").alias("quantity"),
             F.col("l_discount").cast("decimal(4,2)").alias("discount_applied"),
             _null_every(10, order, F.when(refund, -revenue).otherwise(revenue)).alias(
                 "gross_revenue"
             ),
-            _null_every(5, F.col("l_suppkey"), (F.col("l_suppkey") + 1).cast("int")).alias(
+            _null_every(5, F.col("l_suppkey"), (F.col("l_suppkey") + 1).cast("bigint")).alias(
                 "campaign_id"
             ),
             F.when(refund, 1).otherwise(0).alias("refund_flag"),
@@ -179,18 +179,18 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "event_id",
         F.col("ts").alias("events_timestamp"),
-        F.col("user_id").cast("int").alias("customer_id"),
+        F.col("user_id").cast("bigint").alias("customer_id"),
         (key % 2500).alias("session_id"),
         F.when(kind == "error", "bounce")
         .when(kind == "signup", "add_to_cart")
         .otherwise(kind)
         .alias("event_type"),
-        _null_every(10, key, (key % 200).cast("int")).alias("product_id"),
+        _null_every(10, key, (key % 200).cast("bigint")).alias("product_id"),
         _null_every(50, key, _pick(key % 3, {0: "desktop", 1: "mobile"}, "tablet")).alias(
             "device_type"
         ),
         _pick(key % 5, sources, "Direct").alias("traffic_source"),
-        _null_every(2, key, (1 + key % 10).cast("int")).alias("campaign_id"),
+        _null_every(2, key, (1 + key % 10).cast("bigint")).alias("campaign_id"),
         _pick(key % 5, {0: "Home", 1: "PLP", 2: "PDP", 3: "Cart"}, "Checkout").alias(
             "page_category"
         ),

@@ -9,32 +9,32 @@ CAFE_RAW = (
 )
 
 CAMPAIGNS_STAGED = (
-    "campaign_id int, channel string, objective string, start_date string, end_date string, "
+    "campaign_id bigint, channel string, objective string, start_date string, end_date string, "
     "target_segment string, expected_uplift double"
 )
 CAMPAIGNS = (
-    "campaign_id int, channel string, objective string, start_date date, end_date date, "
+    "campaign_id bigint, channel string, objective string, start_date date, end_date date, "
     "target_segment string, expected_uplift decimal(5,2)"
 )
 CUSTOMERS = (
-    "customer_id int, signup_date date, country string, age int, gender string, "
+    "customer_id bigint, signup_date date, country string, age int, gender string, "
     "loyalty_tier string, acquisition_channel string"
 )
 PRODUCTS = (
-    "product_id int, category string, brand string, base_price decimal(18,2), "
+    "product_id bigint, category string, brand string, base_price decimal(18,2), "
     "launch_date date, is_premium int"
 )
 EVENTS_STAGED = (
-    "event_id bigint, events_timestamp string, customer_id int, session_id bigint, "
-    "event_type string, product_id int, device_type string, traffic_source string, "
-    "campaign_id int, page_category string, session_duration_sec decimal(18,2), "
+    "event_id bigint, events_timestamp string, customer_id bigint, session_id bigint, "
+    "event_type string, product_id bigint, device_type string, traffic_source string, "
+    "campaign_id bigint, page_category string, session_duration_sec decimal(18,2), "
     "experiment_group string"
 )
 EVENTS = EVENTS_STAGED.replace("events_timestamp string", "events_timestamp timestamp_ntz")
 TRANSACTIONS_STAGED = (
-    "transaction_id bigint, transaction_timestamp string, customer_id int, product_id int, "
+    "transaction_id bigint, transaction_timestamp string, customer_id bigint, product_id bigint, "
     "quantity int, discount_applied decimal(4,2), gross_revenue decimal(18,2), "
-    "campaign_id int, refund_flag int"
+    "campaign_id bigint, refund_flag int"
 )
 TRANSACTIONS = TRANSACTIONS_STAGED.replace(
     "transaction_timestamp string", "transaction_timestamp timestamp_ntz"

@@ -23,6 +23,12 @@ def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_refunds_change_the_sql():
+    for name in ORACLE:
+        if name.endswith("_no_refunds") and not name.startswith("gv_"):
+            assert ORACLE[name] != ORACLE[name.removesuffix("_no_refunds")]
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 1
 

@@ -61,3 +61,11 @@ def test_top_rows_cut_ties_by_key(spark):
     assert [(r["k"], r["rank"]) for r in dense] == [("c", 1), ("a", 2), ("b", 2), ("d", 3)]
     low = top_rows(df, "v", 2, ["k"], descending=False).collect()
     assert [r["k"] for r in low] == ["d", "a"]
+
+
+@pytest.mark.parametrize("dense", [False, True])
+def test_grouped_ties_are_not_gathered(spark, largest_task, dense):
+    tied = spark.range(0, 40_000, 1, 8).selectExpr("id", "0 as g", "if(id % 2 = 0, 9999999L, id) as v")
+    total, largest = largest_task(lambda: top_ranked(tied, "v", 1, ["g"], dense=dense))
+    assert total == 20_000
+    assert largest < 5_000

@@ -88,3 +88,17 @@ def test_cumulative_share_never_falls(spark):
     shares = [r["cumulative_pct"] for r in got]
     assert shares == sorted(shares)
     assert shares[-1] == 100
+
+
+def test_half_of_the_rows_tied(spark, largest_task):
+    tied = spark.range(0, 40_000, 1, 8).selectExpr("if(id % 2 = 0, 7L, id) as o", "1 as m")
+    total, largest = largest_task(lambda: running_total(tied, "o", "m", "r"))
+    assert total == 40_000
+    assert largest < 10_000
+
+
+def test_pareto_with_equal_totals(spark, largest_task):
+    keys = spark.range(0, 40_000, 1, 8).selectExpr("id as k", "if(id % 2 = 0, 0L, id) as m")
+    total, largest = largest_task(lambda: pareto(keys, "k", "m"))
+    assert total == 40_000
+    assert largest < 10_000
