@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from retailmart.llm.decontaminate import contained_items
 from retailmart.llm.html_text import extract_text
 from retailmart.llm.mixing import mix
+from retailmart.llm.oracle import oracle_sql
 from retailmart.llm.phrase_dedup import phrase_dedup
 from retailmart.llm.quality_gam import fit_quality, score_quality
 from retailmart.llm.quality_rules import BASE, quality_verdicts
@@ -83,7 +84,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_toxicity,
     )
     return {f.__name__: f for f in found}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
