@@ -36,8 +36,8 @@ windows as (
 again as (
  select doc_id, p, row_number() over (partition by body order by doc_id, p) > 1 as seen from windows),
 covered as (
- select doc_id, word, p, coalesce(bool_or(seen) over (
-  partition by doc_id order by p rows between 19 preceding and current row), false) as gone
+ select doc_id, word, p, coalesce(p - max(case when seen then p end) over (
+  partition by doc_id order by p rows unbounded preceding) < 20, false) as gone
  from words left join again using (doc_id, p)),
 counted as (
  select doc_id, count(*) as n_words, count(*) filter (where gone) as n_removed,
@@ -86,16 +86,16 @@ _BYTES = """
 with texts as (
  select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, ''))) as n from documents),
 stretches as (
- select doc_id, n, start, substring(h, 2 * start + 1, 2 * 1199) as s
- from (select *, unnest(range(0, n, 1000)) as start from texts)),
+ select doc_id, n, start, substring(h, 2 * start + 1, 2 * 399) as s
+ from (select *, unnest(range(0, n, 200)) as start from texts)),
 bytes as (
  select doc_id, start + i as p, substring(s, 2 * i + 1, 2) as b,
-  case when start + i + 200 <= n then md5(substring(s, 2 * i + 1, 400)) end as body
- from (select *, unnest(range(0, least(1000, n - start))) as i from stretches)),
+  case when start + i + 200 <= n then md5_number(substring(s, 2 * i + 1, 400)) end as body
+ from (select *, unnest(range(0, least(200, n - start))) as i from stretches)),
 twice as (select body, true as seen from bytes where body is not null group by body having count(*) > 1),
 covered as (
- select doc_id, p, b, coalesce(bool_or(seen) over (
-  partition by doc_id order by p rows between 199 preceding and current row), false) as gone
+ select doc_id, p, b, coalesce(p - max(case when seen then p end) over (
+  partition by doc_id order by p rows unbounded preceding) < 200, false) as gone
  from bytes left join twice using (body)),
 counted as (
  select doc_id, count(*) filter (where gone) as n_removed,
