@@ -34,7 +34,7 @@ def _rows(columns, rows):
 
 
 SPARK_KIND = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
-SPARK_KIND |= {"timestamp_ntz": "TIMESTAMP"}
+SPARK_KIND |= {"timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
 def mismatch(df, con, sql) -> str | None:
