@@ -22,6 +22,7 @@ def text_of(page: str) -> str:
         ("<article>a < b</article>", "a < b"),
         ("<div><p>no article here</p></div>", "no article here"),
         ("<article>cut off in the mid", "cut off in the mid"),
+        ("<article><p class=x\">odd <a href='u' title=\"a > b\">quotes</a> <i title=\"open>stay</i></article>", "odd quotes stay"),
         ("<article>x</article><section id=comments><article class=comment>reader</article></section>", "x"),
     ],
 )
