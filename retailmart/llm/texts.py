@@ -14,6 +14,8 @@ from retailmart.sources.files import scratch_path
 
 #: Text bytes that a task works on at once. One longer text is a slice of its own.
 SLICE_BYTES = 4_000_000
+#: Equal rows that one task writes out again at once.
+COPIES = 100_000
 
 
 def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -104,8 +106,14 @@ def doc_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def numbered_copies(rows: DataFrame) -> DataFrame:
+def numbered_copies(rows: DataFrame, part: int = COPIES) -> DataFrame:
     """The rows with ``_copy``, a number from 1 among equal rows. Equal rows are counted before the shuffle, and the
-    number depends on nothing but the rows, so a task that runs again gives the same."""
+    number depends on nothing but the rows, so a task that runs again gives the same. A row found more than ``part``
+    times is written out again in parts, which are dealt to all tasks."""
     counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("_times"))
-    return counted.select(*rows.columns, F.explode(F.sequence(F.lit(1).cast("long"), "_times")).alias("_copy"))
+    few = counted.where(F.col("_times") <= part).select(*rows.columns, F.explode(F.sequence(F.lit(1).cast("long"), "_times")).alias("_copy"))
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_times - 1) div {part}"))).alias("_part")
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = counted.where(F.col("_times") > part).select(*rows.columns, "_times", parts).repartition(tasks, "_part")
+    first, last = F.col("_part") * part + 1, F.least((F.col("_part") + 1) * part, F.col("_times"))
+    return few.unionByName(many.select(*rows.columns, F.explode(F.sequence(first, last)).alias("_copy")))

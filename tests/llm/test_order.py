@@ -9,6 +9,7 @@ import pytest
 
 from retailmart.llm.mixing import cycle, lag, mix, mixed_rows
 from retailmart.llm.sharding import shard_plan, sharded_rows, write_shards
+from retailmart.llm.texts import numbered_copies
 
 
 @pytest.mark.parametrize("weights", [{"a": 1}, {"a": 1, "b": 1}, {"a": 50, **{f"s{i}": 1 for i in range(50)}}, {"a": 30, "b": 15, "c": 10, "d": 5, "rest": 40}])
@@ -78,6 +79,14 @@ def test_sharded_rows_and_files(messy, spark, tmp_path, sample):
     assert {r["doc_id"]: (r["shard"], r["slot"]) for r in back.collect()} == plan
 
 
+@pytest.mark.parametrize("part", [1, 2, 3, 100])
+def test_equal_rows_are_numbered_in_parts(spark, part):
+    rows = [(1, "a")] * 7 + [(None, None)] * 6 + [(2, "b")] * 2 + [(3, None)]
+    got = numbered_copies(spark.createDataFrame(rows, "doc_id long, source string").repartition(3), part).collect()
+    want = [(*r, k) for r, n in {(1, "a"): 7, (None, None): 6, (2, "b"): 2, (3, None): 1}.items() for k in range(1, n + 1)]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
 def test_plans_hold_no_python(sample):
     for df in (mix(sample, {"src0": 1}), mixed_rows(sample, {"src0": 1}), shard_plan(sample), sharded_rows(sample)):
         plan = df._jdf.queryExecution().executedPlan().toString()
