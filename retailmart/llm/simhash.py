@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retailmart.llm.components import connected_components
@@ -46,13 +46,18 @@ def fingerprint(text: bytes, shingle_words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
-    """(doc_id, fingerprint as bigint), one row per input row."""
+    """(doc_id, fingerprint as bigint, th: a hash of the text), one row per input row."""
+    texts = doc_texts(docs, id_col, text_col).withColumn("th", _text_hash("text"))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [fingerprint(t, shingle_words) for t in texts_of(batch.column("text"))]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64())], ["doc_id", "fp"])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64()), batch.column("th")], ["doc_id", "fp", "th"])
 
-    return map_arrow(doc_texts(docs, id_col, text_col), work, "doc_id long, fp long")
+    return map_arrow(texts, work, "doc_id long, fp long, th long")
+
+
+def _text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
 
 def simhash_classes(
@@ -71,26 +76,45 @@ def simhash_classes(
     Equal fingerprints are folded before anything is compared, so copies cost nothing. An empty table gives no
     rows. Columns other than the two named are not read.
     """
-    if not 0 <= max_distance <= 3:
-        raise ValueError("max_distance is 0 to 3")
-    prints = kept(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
-    roots = connected_components(links(classes.select("fp"), max_distance, group))
-    rooted = classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    ids = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    prints, rooted = _rooted(docs, id_col, text_col, shingle_words, max_distance, group)
+    ids = rooted.groupBy("root").agg(F.min("first.id").alias("component_id"))
     of_print = rooted.join(ids, "root").select("fp", "component_id")
     return prints.join(of_print, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """The rows whose id is the smallest of their class; rows without an id are kept as they are."""
-    classes = simhash_classes(docs, id_col, text_col, **settings)
-    stays = classes.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept_id")).distinct()
-    packed = docs.select(F.struct("*").alias("_packed"), F.col(id_col).cast("long").alias("_doc"))
-    found = packed.join(stays, F.col("_doc") == F.col("_kept_id"), "left_semi")
-    found = found.unionByName(packed.where(F.col("_doc").isNull()))
+def _rooted(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, max_distance: int, group: int) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of all rows, and (fp, first, root) of the different ones: the first row by id, those without an
+    id last, and the class."""
+    if not 0 <= max_distance <= 3:
+        raise ValueError("max_distance is 0 to 3")
+    prints = kept(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), "th")
+    classes = prints.groupBy("fp").agg(F.min(place).alias("first"))
+    roots = connected_components(links(classes.select("fp"), max_distance, group))
+    return prints, classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
+def near_dedup(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = 3,
+    max_distance: int = 3,
+    group: int = GROUP,
+) -> DataFrame:
+    """One row of each class, all columns: the one with the smallest id. Rows without an id come last, and of rows that
+    share the id but not the text one is drawn by a hash of the text. Of rows that share both, any one stays: they are
+    folded before the shuffle, so a much repeated row costs nothing."""
+    _, rooted = _rooted(docs, id_col, text_col, shingle_words, max_distance, group)
+    stays = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.no_id", F.coalesce("first.id", F.lit(0)).alias("id"), "first.th")
+    doc_id = F.col(id_col).cast("long")
+    packed = docs.select(
+        F.struct("*").alias("_packed"), doc_id.isNull().alias("no_id"), F.coalesce(doc_id, F.lit(0)).alias("id"), _text_hash(text_col).alias("th")
+    )
+    different = packed.groupBy("no_id", "id", "th").agg(F.first("_packed").alias("_packed"))
+    found = different.join(stays, ["no_id", "id", "th"], "left_semi")
     return found.select(*[F.col("_packed").getField(c).alias(c) for c in docs.columns])
 
 

@@ -66,10 +66,23 @@ def test_one_of_each_class_stays(messy, no_docs):
     assert kept.columns == messy.columns
     ids = sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect())
     assert 1 in ids and 2 not in ids and 4 in ids and 5 not in ids and 6 not in ids
+    assert 8 in ids and 12 in ids and ids.count(13) == 1 and len(ids) == len(set(ids))
+    classes = {r["fingerprint"] for r in simhash_classes(messy).collect()}
+    assert kept.count() <= len(classes) and kept.where("doc_id is null").count() == 0
     assert near_dedup(no_docs).collect() == []
     assert simhash_classes(no_docs).collect() == []
 
 
+def test_rows_without_an_id_or_with_one_id(spark):
+    a, b = "one text of its own kind here", "quite another one that shares no words"
+    rows = [(None, a), (None, a), (5, b), (5, a), (5, b), (9, "third text unlike the rest"), (0, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted((r["doc_id"], r["text"] or "") for r in near_dedup(docs).collect())
+    assert got == [(0, ""), (5, a), (5, b), (9, "third text unlike the rest")]
+    alone = near_dedup(docs.where("doc_id is null")).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in alone) == [(None, ""), (None, a)]
+
+
 def test_fingerprint_counts_repeats():
     assert fingerprint(b"a b c a b c a b c x") == fingerprint(b"A B  C\na b c a b c x")
     assert fingerprint(b"") == 0
