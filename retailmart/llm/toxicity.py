@@ -35,8 +35,14 @@ OPENING, CLOSING = "\"“”„«»‘’`", "\"“”«»‘’`"
 
 
 def edits_allowed(term: str) -> int:
-    """Short words are matched as they are."""
-    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+    """Short words are matched as they are; a second edit is for long ones, else it leads to other words."""
+    return 0 if len(term) < 5 else 1 if len(term) < 12 else 2
+
+
+def edit_cost(node: int, letter: str = "") -> int:
+    """An edit at the beginning of a word, where the trie's root is, counts as two, as misspellings keep the first letter;
+    a digit in its place counts as one."""
+    return 1 if node or letter.isdigit() else 2
 
 
 class Lexicon:
@@ -72,10 +78,11 @@ class Lexicon:
         queue = list(pairs)
         while queue:
             node, edits = queue.pop()
+            missed = edits + edit_cost(node)
             for child in self.children[node].values():
-                if edits < self.most[child] and (child, edits + 1) not in pairs:
-                    pairs.add((child, edits + 1))
-                    queue.append((child, edits + 1))
+                if missed <= self.most[child] and (child, missed) not in pairs:
+                    pairs.add((child, missed))
+                    queue.append((child, missed))
         least: dict[int, int] = {}
         for node, edits in pairs:
             least[node] = min(edits, least.get(node, edits))
@@ -92,11 +99,11 @@ class Lexicon:
         pairs = set()
         for node, edits in self.sets[state]:
             for c, child in self.children[node].items():
-                cost = edits + (c != letter)
+                cost = edits if c == letter else edits + edit_cost(node, letter)
                 if cost <= self.most[child]:
                     pairs.add((child, cost))
-            if edits < self.most[node]:
-                pairs.add((node, edits + 1))
+            if edits + edit_cost(node) <= self.most[node]:
+                pairs.add((node, edits + edit_cost(node)))
         to = self._state(pairs) if pairs else -1
         self.moves[state][letter] = to
         return to

@@ -125,23 +125,23 @@ def test_toxicity_on_held_out_rows(spark, labels, messy, no_docs):
 
 
 def test_the_automaton_equals_edit_distance():
-    terms = ["idiot", "scum", "pathetic", "worthless", "trash"]
+    terms = ["idiot", "scum", "pathetic", "worthless", "trash", "disgustingly"]
     lexicon = Lexicon(terms)
 
-    def distance(a: str, b: str) -> int:
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            row = _next(row, i, x, b)
+    def distance(word: str, term: str) -> int:
+        """Edits from term to word; those of the term's first letter count double, unless a digit stands for it."""
+        row = [0] + [j + 1 for j in range(1, len(term) + 1)]
+        for x in word:
+            out = [row[0] + 2]
+            for j, y in enumerate(term, 1):
+                left_out = out[j - 1] + (2 if j == 1 else 1)
+                other = row[j - 1] + (0 if x == y else 2 if j == 1 and not x.isdigit() else 1)
+                out.append(min(row[j] + 1, left_out, other))
+            row = out
         return row[-1]
 
-    def _next(row, i, x, b):
-        out = [i]
-        for j, y in enumerate(b, 1):
-            out.append(min(row[j] + 1, out[j - 1] + 1, row[j - 1] + (x != y)))
-        return out
-
-    words = {t[:i] + c + t[i + d :] for t in terms for i in range(len(t) + 1) for c in ("", "x", "xx") for d in (0, 1, 2)} | {"", "the"}
-    allowed = {t: 0 if len(t) < 5 else 1 if len(t) < 9 else 2 for t in terms}
+    words = {t[:i] + c + t[i + d :] for t in terms for i in range(len(t) + 1) for c in ("", "x", "xx", "1", "1x") for d in (0, 1, 2)} | {"", "the"}
+    allowed = {t: 0 if len(t) < 5 else 1 if len(t) < 12 else 2 for t in terms}
     for w in words:
         near = [(distance(w, t), t) for t in terms if distance(w, t) <= allowed[t]]
         assert lexicon.match(w) == (min(near) if near else None), w
