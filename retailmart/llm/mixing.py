@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from fractions import Fraction
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,74 +55,104 @@ def mix(
     """(doc_id, source, source_group, block, release, deadline, slot, slot_row): every row's place in the mixture.
 
     Order by (slot, slot_row) to read the mixture. ``weights`` gives whole numbers of slots in a cycle to named
-    sources; all other sources, null among them, share ``rest`` slots as one group, named null here. Rows of a source are
+    sources; all other sources that the table holds, null among them, share ``rest`` slots in equal parts: they take
+    turns, so each of them, too, has had its share to within less than one block after every slot. Sources that the
+    table does not hold get no slots. ``source_group`` is the source that a row's block belongs to. Rows of a source are
     dealt in the order of a seeded hash of id and source. No row is dropped or repeated: once a source has run out its
     slots stay empty, and the others keep their mutual shares. Equal rows are interchangeable. An empty table gives
     no rows.
 
-    The plan: one count by (source group, hashed bucket); a running sum over buckets; row numbers within buckets of
-    about ``bucket_rows``, so a source with any share of the rows is spread over many tasks.
+    The plan: one count by (source, hashed bucket); a running sum over buckets; row numbers within buckets of
+    about ``bucket_rows``, so a source with any share of the rows is spread over many tasks. The names of the sources
+    not in ``weights`` are numbered in one task.
     """
-    if any(w < 1 for w in weights.values()) or rest < 1:
-        raise ValueError("weights are whole numbers from 1")
-    group = F.when(F.col("source").isin(*weights), F.col("source")) if weights else F.lit(None).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"))
-    placed = _placed(rows, group, dict(weights), rest, block_rows, bucket_rows, seed, ["doc_id", "source"])
-    return placed.select("doc_id", "source", F.col("_group").alias("source_group"), "block", "release", "deadline", "slot", "slot_row")
+    placed = _placed(rows, dict(weights), rest, block_rows, bucket_rows, seed)
+    return placed.select("doc_id", "source", F.col("source").alias("source_group"), "block", "release", "deadline", "slot", "slot_row")
 
 
-def mixed_rows(docs: DataFrame, weights: Mapping[str, int], rest: int = 1, id_col: str = "doc_id", source_col: str = "source", **settings) -> DataFrame:
-    """The rows of ``docs``, same columns, in the order of the mixture: files and rows in them follow the slots."""
-    places = mix(docs, weights, rest, id_col, source_col, **settings)
-    places = places.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source")).agg(
-        F.min(F.struct("slot", "slot_row")).alias("_place")
-    )
-    packed = docs.select(
-        F.struct("*").alias("_packed"), F.col(id_col).cast("long").alias("_doc"), F.col(source_col).cast("string").alias("_from")
-    )
-    same = F.col("_doc").eqNullSafe(F.col("_id")) & F.col("_from").eqNullSafe(F.col("_source"))
+def mixed_rows(
+    docs: DataFrame,
+    weights: Mapping[str, int],
+    rest: int = 1,
+    id_col: str = "doc_id",
+    source_col: str = "source",
+    text_col: str | None = None,
+    place_col: str | None = None,
+    block_rows: int = BLOCK_ROWS,
+    bucket_rows: int = BUCKET_ROWS,
+    seed: int = 42,
+) -> DataFrame:
+    """The rows of ``docs``, same columns, in the order of the mixture: files and rows in them follow the slots.
+
+    Rows that share id and source have one place; with ``text_col`` only those that share the text as well.
+    ``place_col`` names a column to add (or replace): the place, slot * block_rows + slot_row.
+    """
+    keys = {"doc_id": F.col(id_col).cast("long"), "source": F.col(source_col).cast("string")}
+    if text_col is not None:
+        keys["text_hash"] = F.xxhash64(F.col(text_col).cast("string"))
+    rows = docs.select(*[c.alias(k) for k, c in keys.items()])
+    placed = _placed(rows, dict(weights), rest, block_rows, bucket_rows, seed)
+    place = F.col("slot") * block_rows + F.col("slot_row")
+    places = placed.groupBy(*[F.col(k).alias(f"_at_{k}") for k in keys]).agg(F.min(place).alias("_place"))
+    packed = docs.select(F.struct("*").alias("_packed"), *[c.alias(f"_{k}") for k, c in keys.items()])
+    same = reduce(and_, [F.col(f"_{k}").eqNullSafe(F.col(f"_at_{k}")) for k in keys])
     ordered = packed.join(places, same, "left").repartitionByRange("_place").sortWithinPartitions("_place")
-    return ordered.select(*[F.col("_packed").getField(c).alias(c) for c in docs.columns])
+    columns = [F.col("_packed").getField(c).alias(c) for c in docs.columns if c != place_col]
+    return ordered.select(*columns, *([F.col("_place").alias(place_col)] if place_col else []))
 
 
-def _placed(rows, group, weights, rest, block_rows, bucket_rows, seed, key) -> DataFrame:
-    spark = rows.sparkSession
-    buckets = max(64, -(-rows.count() // bucket_rows))
-    rows = numbered_copies(rows).withColumn("_group", group)  # numbered, as equal rows would share every hash
+def _placed(rows: DataFrame, weights: dict[str, int], rest: int, block_rows: int, bucket_rows: int, seed: int) -> DataFrame:
+    if any(w < 1 for w in weights.values()) or rest < 1:
+        raise ValueError("weights are whole numbers from 1")
+    key = rows.columns
+    named = F.coalesce(F.col("source").isin(*weights), F.lit(False)) if weights else F.lit(False)
+    total, held, others = rows.agg(F.count("*"), F.collect_set(F.when(named, F.col("source"))), F.max(~named)).first()
+    buckets = max(64, -(-total // bucket_rows))
+    rows = numbered_copies(rows)  # numbered, as equal rows would share every hash
     rows = rows.withColumn("_hash", F.xxhash64(F.lit(seed), *[F.col(c) for c in key], "_copy"))
     rows = rows.withColumn("_bucket", F.pmod(F.col("_hash"), F.lit(buckets)))
-    sizes = rows.groupBy("_group", "_bucket").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("source", "_bucket").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
-        F.col("_group").alias("_g"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
+        F.col("source").alias("_g"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
     )
-    inside = Window.partitionBy("_group", "_bucket").orderBy("_hash", *key, "_copy")
+    unnamed = sizes.where(~named).select("source").distinct()
+    turns = unnamed.select(F.col("source").alias("_s"), (F.row_number().over(Window.orderBy("source")) - 1).cast("long").alias("_turn"))
+    starts = starts.join(turns, F.col("_g").eqNullSafe(F.col("_s")), "left").crossJoin(unnamed.agg(F.count("*").alias("_unnamed")))
+    inside = Window.partitionBy("source", "_bucket").orderBy("_hash", *key, "_copy")
     numbered = rows.withColumn("_rank", F.row_number().over(inside) - 1)
-    placed = numbered.join(starts, F.col("_group").eqNullSafe(F.col("_g")) & (F.col("_bucket") == F.col("_b")))
+    placed = numbered.join(starts, F.col("source").eqNullSafe(F.col("_g")) & (F.col("_bucket") == F.col("_b")))
     index = F.col("_start") + F.col("_rank")
     placed = placed.withColumn("block", F.floor(index / block_rows)).withColumn("slot_row", F.pmod(index, F.lit(block_rows)))
-    return _scheduled(spark, placed, weights, rest)
+    shares = {f"s:{s}": w for s, w in weights.items() if s in held}
+    if others or not shares:
+        shares["rest"] = rest
+    return _scheduled(placed, F.when(named, F.concat(F.lit("s:"), F.col("source"))).otherwise("rest"), shares)
 
 
-def _scheduled(spark, placed: DataFrame, weights: dict[str, int], rest: int) -> DataFrame:
-    """Look the block's slot up in one cycle, held as an array per source group."""
-    named: dict[str | None, int] = {**weights, None: rest}
-    keys = {f"s:{s}" if s is not None else "rest": w for s, w in named.items()}
-    slots: dict[str, list[int]] = {k: [] for k in keys}
-    for source, _, slot in cycle(keys):
+def _scheduled(placed: DataFrame, key: Column, shares: dict[str, int]) -> DataFrame:
+    """Look the block's slot up in one cycle, held as an array per key of ``shares``.
+
+    Of the n sources under the key "rest", the one with turn i has the blocks i, i + n, i + 2n and so on of the key.
+    The key is less than one block off its share, a source in turn less than (n - 1) / n of a block off the nth part of
+    what the key has had, so the source is less than 1 / n + (n - 1) / n = 1 block off its own.
+    """
+    slots: dict[str, list[int]] = {k: [] for k in shares}
+    for source, _, slot in cycle(shares):
         slots[source].append(slot)
-    length = sum(keys.values())
+    length = sum(shares.values())
     per_cycle = F.create_map(*[x for k, found in slots.items() for x in (F.lit(k), _longs(found))])
-    share = F.create_map(*[x for k, w in keys.items() for x in (F.lit(k), F.lit(w).cast("long"))])
-    key = F.when(F.col("_group").isNull(), "rest").otherwise(F.concat(F.lit("s:"), F.col("_group")))
+    share = F.create_map(*[x for k, w in shares.items() for x in (F.lit(k), F.lit(w).cast("long"))])
     placed = placed.withColumn("_key", key).withColumn("_w", share[F.col("_key")])
-    whole, left = F.floor(F.col("block") / F.col("_w")), F.pmod(F.col("block"), F.col("_w"))
-    slot = whole * length + F.get(per_cycle[F.col("_key")], left.cast("int"))
+    placed = placed.withColumn("_of", F.when(F.col("_key") == "rest", F.col("_unnamed")).otherwise(F.lit(1).cast("long")))
+    placed = placed.withColumn("_block", F.col("block") * F.col("_of") + F.coalesce("_turn", F.lit(0)))
+    left = F.pmod(F.col("_block"), F.col("_w"))
     return placed.withColumns(
         {
-            "slot": slot,
-            "release": F.expr(f"block * {length} div _w"),
-            "deadline": F.expr(f"((block + 1) * {length} + _w - 1) div _w"),
+            "slot": F.expr(f"_block div _w * {length}") + F.get(per_cycle[F.col("_key")], left.cast("int")),
+            "release": F.expr(f"block * _of * {length} div _w"),
+            "deadline": F.expr(f"((block + 1) * _of * {length} + _w - 1) div _w"),
         }
     )
 

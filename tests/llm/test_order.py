@@ -91,3 +91,18 @@ def test_plans_hold_no_python(sample):
     for df in (mix(sample, {"src0": 1}), mixed_rows(sample, {"src0": 1}), shard_plan(sample), sharded_rows(sample)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "InArrow", "ExistingRDD"))
+
+
+def test_every_source_keeps_within_a_block(spark):
+    """Named or not: at each slot, no source that has rows left is a whole block off its share."""
+    sizes = {"a": 60, "b": 40, **{f"other{i}": 30 + i for i in range(7)}, None: 35}
+    docs = spark.createDataFrame([(f"{s}{i}", i, s) for s, n in sizes.items() for i in range(n)], "text string, doc_id long, source string")
+    rows = mix(docs, {"a": 4, "b": 3, "not there": 50}, rest=5, block_rows=1).collect()
+    assert len(rows) == sum(sizes.values()) == len({(r["slot"], r["slot_row"]) for r in rows})
+    share = {s: {"a": 4 / 12, "b": 3 / 12}.get(s, 5 / 8 / 12) for s in sizes}
+    for source, n in sizes.items():
+        at = sorted(r["slot"] for r in rows if r["source"] == source)
+        assert len(at) == n
+        for k, slot in enumerate(at):  # before the block's slot k blocks are done, after it k + 1
+            assert abs(k - share[source] * slot) < 1 and abs(k + 1 - share[source] * (slot + 1)) < 1
+    assert min(r["slot"] for r in rows if r["source"] == "b") < 12
