@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from retailmart.llm import queries
 from retailmart.llm.decontaminate import decontaminate
-from retailmart.llm.mixing import mixed_rows
+from retailmart.llm.mixing import BLOCK_ROWS, mixed_rows
 from retailmart.llm.quality_rules import quality_filter
 from retailmart.llm.sharding import sharded_rows
 from retailmart.llm.simhash import near_dedup
 from retailmart.llm.texts import kept, table
 
+#: Places of the mixture that are shuffled together: those of one cycle.
+STRETCH = (sum(queries.MIX_WEIGHTS.values()) + queries.MIX_REST) * BLOCK_ROWS
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule rejects."""
@@ -31,13 +34,13 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of the mixture."""
-    return mixed_rows(docs, queries.MIX_WEIGHTS, queries.MIX_REST)
+    """All documents, in the order of the mixture, with their place in it as ``mix_place``."""
+    return mixed_rows(docs, queries.MIX_WEIGHTS, queries.MIX_REST, text_col="text", place_col="mix_place")
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their shard and their place in it."""
-    return sharded_rows(docs, shards=8)
+    """All documents with their shard and their place in it: shuffled within stretches of the mixture, which it keeps."""
+    return sharded_rows(docs, shards=8, order_col="mix_place", stretch=STRETCH)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -3,7 +3,7 @@
 Pass one scatters the rows over buckets that fit in memory, by seeded hashes. Pass two shuffles each bucket with
 Fisher-Yates (Spark's ``shuffle`` of an array, seeded) and writes it. The shard of a row depends on its id and the
 number of shards alone (rendezvous hashing: the shard with the largest hash wins), so one more shard takes rows only
-into itself.
+into itself. Rows that come in an order worth keeping, such as a mixture, are shuffled within stretches of it.
 """
 
 from __future__ import annotations
@@ -51,13 +51,14 @@ def shard_plan(
     )
 
 
-def _shuffled(rows: DataFrame, shards: int, total: int, bucket_rows: int, seed: int) -> DataFrame:
-    """The rows with their shard and slot."""
+def _shuffled(rows: DataFrame, shards: int, total: int, bucket_rows: int, seed: int, bucket: Column | None = None) -> DataFrame:
+    """The rows with their shard and slot; ``bucket`` takes the place of the seeded scatter."""
     buckets = max(8, -(-total // (shards * bucket_rows)))
     fields = rows.columns
     rows = numbered_copies(rows)  # else equal rows would share a bucket
-    spot = F.xxhash64(F.lit(seed + 1), *rows.columns)
-    scattered = rows.withColumn("shard", shard_of(F.col("doc_id"), shards, seed)).withColumn("_bucket", F.pmod(spot, F.lit(buckets)).cast("int"))
+    if bucket is None:
+        bucket = F.pmod(F.xxhash64(F.lit(seed + 1), *rows.columns), F.lit(buckets)).cast("int")
+    scattered = rows.withColumn("shard", shard_of(F.col("doc_id"), shards, seed)).withColumn("_bucket", bucket)
     held = scattered.groupBy("shard", "_bucket").agg(F.array_sort(F.collect_list(F.struct(*rows.columns))).alias("_rows"))
     # The seeded shuffle draws on from row to row of a partition: sorted, a task that runs again draws the same.
     sorted_buckets = held.sortWithinPartitions("shard", "_bucket")
@@ -70,12 +71,26 @@ def _shuffled(rows: DataFrame, shards: int, total: int, bucket_rows: int, seed:
     return dealt.select(*[F.col(f"_row.{c}") for c in fields], "shard", (F.col("_start") + F.col("_pos")).alias("slot"))
 
 
-def sharded_rows(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = BUCKET_ROWS, seed: int = 42) -> DataFrame:
+def sharded_rows(
+    docs: DataFrame,
+    shards: int = 8,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    bucket_rows: int = BUCKET_ROWS,
+    seed: int = 42,
+    order_col: str | None = None,
+    stretch: int = BUCKET_ROWS,
+) -> DataFrame:
     """All columns of ``docs`` with ``shard`` and ``slot``, in the order of the shards: ready to be written.
 
     Rows that share an id and a text share the least slot of them. A column of ``docs`` named ``shard`` or ``slot``
-    is replaced.
+    is replaced. With ``order_col``, whole numbers from 0 that no two rows share, the buckets are the stretches of
+    ``stretch`` numbers in a row instead of a scatter: a shard's rows are shuffled inside each stretch, and the
+    stretches follow each other, so what holds for every stretch of the input holds for those of each shard but for
+    the chance of the ids.
     """
+    if order_col is not None:
+        return _in_stretches(docs, shards, id_col, seed, order_col, stretch)
     plan = shard_plan(docs, shards, id_col, text_col, bucket_rows, seed)
     slots = plan.groupBy(F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc")).agg(
         F.min("slot").alias("_slot"), F.first("shard").alias("_shard")
@@ -88,6 +103,17 @@ def sharded_rows(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_
     return ordered.select(*columns, F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
 
 
+def _in_stretches(docs: DataFrame, shards: int, id_col: str, seed: int, order_col: str, stretch: int) -> DataFrame:
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(order_col).cast("long").alias("place"))
+    plan = _shuffled(rows, shards, 0, 1, seed, F.expr(f"place div {stretch}"))
+    slots = plan.groupBy(F.col("doc_id").alias("_id"), F.col("place").alias("_place")).agg(F.min("slot").alias("_slot"), F.first("shard").alias("_shard"))
+    packed = docs.select(F.struct("*").alias("_packed"), F.col(id_col).cast("long").alias("_doc"), F.col(order_col).cast("long").alias("_at"))
+    joined = packed.join(slots, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_at") == F.col("_place")))
+    ordered = joined.repartitionByRange("_shard", "_slot").sortWithinPartitions("_shard", "_slot")
+    columns = [F.col("_packed").getField(c).alias(c) for c in docs.columns if c not in ("shard", "slot")]
+    return ordered.select(*columns, F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
+
+
 def write_shards(docs: DataFrame, path: str, shards: int = 8, **settings) -> None:
     """Write the shards as parquet folders ``shard=0`` and on; each file's rows stand in the order of their slots."""
     sharded_rows(docs, shards, **settings).write.partitionBy("shard").parquet(path)

@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import pytest
 
+import corpus_pipeline
 from retailmart.llm.mixing import cycle, lag, mix, mixed_rows
 from retailmart.llm.sharding import shard_plan, sharded_rows, write_shards
 from retailmart.llm.texts import numbered_copies
@@ -106,3 +107,25 @@ def test_every_source_keeps_within_a_block(spark):
         for k, slot in enumerate(at):  # before the block's slot k blocks are done, after it k + 1
             assert abs(k - share[source] * slot) < 1 and abs(k + 1 - share[source] * (slot + 1)) < 1
     assert min(r["slot"] for r in rows if r["source"] == "b") < 12
+
+
+def test_the_mixture_survives_into_the_shards(spark):
+    """A hot source holds most rows; still each shard begins with the shares of the mixture, whatever the ids."""
+    sizes = {"hot": 9000, "src0": 1600, "src1": 800}
+    rows = [(i if s != "hot" or i % 3 else None, f"{s} {i}", s) for s, n in sizes.items() for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = corpus_pipeline.source_mixing(spark, docs, "")
+    got = corpus_pipeline.sharding(spark, mixed, "").collect()
+    assert sorted(r["text"] for r in got) == sorted(t for _, t, _ in rows)
+    assert len({(r["shard"], r["slot"]) for r in got}) == len(got)
+    by_shard = defaultdict(list)
+    for r in sorted(got, key=lambda r: r["slot"]):
+        by_shard[r["shard"]].append(r["source"])
+    assert len(by_shard) == 8
+    # Slots 30 src0 : 15 src1 : 40 all others; the first 4000 places of the mixture hold all three.
+    first = [s for found in by_shard.values() for s in found[: len(found) * 4 // 11]]
+    assert abs(first.count("src0") / len(first) - 30 / 85) < 0.06 and abs(first.count("src1") / len(first) - 15 / 85) < 0.05
+    for found in by_shard.values():
+        if len(found) < 2000:  # the shard of the rows without an id has hot rows only beside its own
+            part = found[:200]
+            assert part.count("src0") > 0.25 * len(part) and part.count("src1") > 0.1 * len(part)
