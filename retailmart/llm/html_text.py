@@ -30,10 +30,13 @@ INLINE = frozenset(
 FRAME = frozenset("nav header footer aside form button dialog menu head fieldset".split())
 OWN = frozenset("article main".split())
 FRAME_CLASSES = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert "
-    "popup modal overlay newsletter subscribe subscription signup login nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer "
-    "masthead comment comments reply replies respond discussion disqus share sharing social related recommended widget pagination pager toolbar skip".split()
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored cookie cookies gdpr popup modal newsletter subscribe nav navbar "
+    "navigation menu breadcrumb breadcrumbs sidebar footer masthead comment comments disqus pagination pager toolbar".split()
 )
+#: Class names that begin so tell what an element has, not what it is.
+MODIFIERS = frozenset("has no non not with without".split())
+#: Never frame for a class or an attribute.
+WHOLE = ("html", "body", "main")
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|=|[^>=]++)*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 SPACE = re.compile(r"\s+")
@@ -41,45 +44,74 @@ CLASS_WORD = re.compile(r"[a-z]+")
 
 
 class Line(NamedTuple):
-    """A block of text; ``place`` is "own" inside an article, "frame" inside an element known as frame, else "open"."""
+    """A block of text; ``place`` is "own" inside an article, "frame" inside an element known as frame, "classed" inside one
+    that only a class or id names so, else "open"."""
 
     text: str
     place: str
 
 
 def is_frame(name: str, attributes: str) -> bool:
+    """Whether an element is frame by its name, its role, or as it is hidden."""
     if name in FRAME:
         return True
-    if not attributes or "=" not in attributes and "hidden" not in attributes:
+    if name in WHOLE or not attributes or "=" not in attributes and "hidden" not in attributes:
         return False
-    for key, a, b, c in ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), html.unescape(a or b or c).lower()
+    for key, value in _attributes(attributes):
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
             return True
         if key == "role" and value in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu"):
             return True
-        if key in ("class", "id") and any(_frame_name(part) for part in value.split()):
-            return True
     return False
 
 
+def is_classed(name: str, attributes: str) -> bool:
+    """Whether a class or id names an element as frame."""
+    if name in WHOLE or "=" not in attributes:
+        return False
+    return any(key in ("class", "id") and any(map(_frame_name, value.split())) for key, value in _attributes(attributes))
+
+
+def _attributes(attributes: str) -> Iterator[tuple[str, str]]:
+    for key, a, b, c in ATTRIBUTE.findall(attributes):
+        yield key.lower(), html.unescape(a or b or c).lower()
+
+
 def _frame_name(name: str) -> bool:
     """Whether the first or the last word of a class name is a frame word: ``ad-slot``, ``cookie_notice``, ``page-footer``."""
     words = CLASS_WORD.findall(name)
-    return bool(words) and (words[0] in FRAME_CLASSES or words[-1] in FRAME_CLASSES)
+    return bool(words) and words[0] not in MODIFIERS and (words[0] in FRAME_CLASSES or words[-1] in FRAME_CLASSES)
+
+
+class _Open(NamedTuple):
+    """An open element; ``classed`` is its number among the elements classed as frame, or -1."""
+
+    name: str
+    frame: bool
+    classed: int
 
 
 def lines_of(page: str) -> list[Line]:
-    """The blocks of a page in order, character references decoded, white space folded; empty blocks are left out."""
-    lines: list[Line] = []
+    """The blocks of a page in order, character references decoded, white space folded; empty blocks are left out.
+
+    An element classed as frame is none if it holds an article, unless that is so classed as well and the page has
+    another one.
+    """
+    blocks: list[tuple[str, str, tuple[int, ...]]] = []
     parts: list[str] = []
-    open_tags: list[tuple[str, bool]] = []
-    frames = own = 0
+    open_tags: list[_Open] = []
+    frames = own = made = 0
+    plain = False
+    cleared: set[int] = set()
+    clear_if_alone: set[int] = set()
+
+    def around() -> tuple[int, ...]:
+        return tuple([x.classed for x in open_tags if x.classed >= 0])
 
     def flush() -> None:
         text = SPACE.sub(" ", html.unescape("".join(parts))).strip()
         if text:
-            lines.append(Line(text, "frame" if frames else "own" if own else "open"))
+            blocks.append((text, "frame" if frames else "own" if own else "open", around()))
         parts.clear()
 
     at, end = 0, len(page)
@@ -103,12 +135,12 @@ def lines_of(page: str) -> list[Line]:
         if name not in INLINE:
             flush()
         if tag[1]:
-            if any(n == name for n, _ in open_tags):
+            if any(x.name == name for x in open_tags):
                 while open_tags:
-                    last, was_frame = open_tags.pop()
-                    frames -= was_frame
-                    own -= last in OWN
-                    if last == name:
+                    last = open_tags.pop()
+                    frames -= last.frame
+                    own -= last.name in OWN
+                    if last.name == name:
                         break
             continue
         if name in RAW:
@@ -117,23 +149,27 @@ def lines_of(page: str) -> list[Line]:
             continue
         if name in VOID or tag[3].rstrip().endswith("/"):
             continue
-        if name in INLINE and not is_frame(name, tag[3]) or name == "p" and not tag[3]:
+        frame, classed = is_frame(name, tag[3]), is_classed(name, tag[3])
+        if name in INLINE and not frame and not classed or name == "p" and not tag[3]:
             continue  # often left open, and nothing hangs on them
         # Headings of an article may stand in a header of its own.
-        frame = is_frame(name, tag[3]) and not (name == "header" and own and not frames)
-        if name in OWN and _comment_like(tag[3]):
-            frame = True
-        if frame:
+        frame = frame and not (name == "header" and own and not frames)
+        if frame or classed:
             flush()
-        open_tags.append((name, frame))
+        if name in OWN and not frame and not frames:
+            if classed:
+                clear_if_alone.update(around(), [made])
+            else:
+                plain = True
+                cleared.update(around())
+        open_tags.append(_Open(name, frame, made if classed else -1))
+        made += classed
         frames += frame
         own += name in OWN
     flush()
-    return lines
-
-
-def _comment_like(attributes: str) -> bool:
-    return bool(attributes) and is_frame("article", attributes)
+    if not plain:
+        cleared |= clear_if_alone
+    return [Line(text, place if place == "frame" or cleared.issuperset(held) else "classed") for text, place, held in blocks]
 
 
 def shared_lines(a: list[str], b: list[str]) -> tuple[set[int], set[int]]:
@@ -174,6 +210,12 @@ def shared_lines(a: list[str], b: list[str]) -> tuple[set[int], set[int]]:
     return own, other
 
 
+def _compared(lines: list[Line]) -> list[Line]:
+    """What known frame leaves; if that is nothing, what only a class names as frame."""
+    body = [x for x in lines if x.place in ("own", "open")]
+    return body or [Line(x.text, "open") for x in lines if x.place == "classed"]
+
+
 def main_text(lines: list[Line], partner: list[Line] | None) -> str:
     """The lines that are left, joined by a space.
 
@@ -181,10 +223,10 @@ def main_text(lines: list[Line], partner: list[Line] | None) -> str:
     well. If a page without an article has nothing of its own beside what it shares, it is a copy of its partner and
     keeps its open lines.
     """
-    body = [x for x in lines if x.place != "frame"]
+    body = _compared(lines)
     if any(x.place == "own" for x in body):
         return " ".join(x.text for x in body if x.place == "own")
-    shared = shared_lines([x.text for x in body], [x.text for x in partner if x.place != "frame"])[0] if partner else set()
+    shared = shared_lines([x.text for x in body], [x.text for x in _compared(partner)])[0] if partner else set()
     left = [x.text for i, x in enumerate(body) if i not in shared]
     return " ".join(left or [x.text for x in body])
 

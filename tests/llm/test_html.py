@@ -68,3 +68,18 @@ def test_all_pages_of_the_sample(spark):
         blocks = [re.sub(r"\s+", " ", html.unescape(re.sub(r"</?b>", "", x))).strip() for x in re.split(r"</?(?:p|h1|br)>", inner)]
         assert got[r["page_id"]]["text"] == " ".join(x for x in blocks if x)
         assert got[r["page_id"]]["n_chars"] == len(got[r["page_id"]]["text"])
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ('<body class="has-sidebar sticky-footer"><div id="page" class="with-comments"><p>text</p></div></body>', "text"),
+        ('<article class="post has-comments"><p>text</p><section id="discussion">chapter</section></article>', "text chapter"),
+        ('<div class="sidebar-left"><div class="ad">Buy</div><article>text</article></div><div class="ad">Buy</div>', "Buy text"),
+        ('<article class="promo comment">text</article><div class="comments">no</div>', "text"),
+        ('<main class="menu">text</main>', "text"),
+        ('<div class="comments">nothing else</div>', "nothing else"),
+    ],
+)
+def test_class_words_never_empty_a_page(page, want):
+    assert text_of(page).removeprefix("Buy ") == want.removeprefix("Buy ")
