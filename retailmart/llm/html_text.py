@@ -23,9 +23,12 @@ from pyspark.sql import functions as F
 
 # Elements of HTML, and common words in classes and ids.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "title", "svg", "math", "object", "select", "xmp", "noembed", "noframes")
+RAW = frozenset("script style noscript template textarea iframe title svg select xmp noembed noframes annotation annotation-xml".split())
+#: Without a closing tag, only these go on to the page's end.
+TO_THE_END = ("script", "style")
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "object math semantics mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mtable mtr mtd mstyle mpadded menclose".split()
 )
 FRAME = frozenset("nav header footer aside form button dialog menu head fieldset".split())
 OWN = frozenset("article main".split())
@@ -104,6 +107,7 @@ def lines_of(page: str) -> list[Line]:
     plain = False
     cleared: set[int] = set()
     clear_if_alone: set[int] = set()
+    unclosed: set[str] = set()
 
     def around() -> tuple[int, ...]:
         return tuple([x.classed for x in open_tags if x.classed >= 0])
@@ -143,11 +147,14 @@ def lines_of(page: str) -> list[Line]:
                     if last.name == name:
                         break
             continue
-        if name in RAW:
-            close = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            at = close.end() if close else end
+        closed = tag[3].rstrip().endswith("/")
+        if name in RAW and not (closed and name == "svg"):
+            close = None if name in unclosed else re.compile(rf"</{name}\s*>", re.I).search(page, at)
+            if close is None:
+                unclosed.add(name)
+            at = close.end() if close else end if name in TO_THE_END else at
             continue
-        if name in VOID or tag[3].rstrip().endswith("/"):
+        if name in VOID or closed:
             continue
         frame, classed = is_frame(name, tag[3]), is_classed(name, tag[3])
         if name in INLINE and not frame and not classed or name == "p" and not tag[3]:

@@ -83,3 +83,18 @@ def test_all_pages_of_the_sample(spark):
 )
 def test_class_words_never_empty_a_page(page, want):
     assert text_of(page).removeprefix("Buy ") == want.removeprefix("Buy ")
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ('<article><p>a</p><svg class="icon"/><p>rest</p></article>', "a rest"),
+        ("<article><p>a</p><svg><title>t</title></svg><p>rest</p></article>", "a rest"),
+        ("<article>a<math/> b<p>c</article>", "a b c"),
+        ("<article>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds <object data=u><param name=n>fallback</object></article>", "so x=2 holds fallback"),
+        ("<article>a<select><p>b</p><noscript><p>c</p></article>", "a b c"),
+        ("<article>a<script>never closed<p>b</article>", "a"),
+    ],
+)
+def test_text_after_open_or_closed_elements_stays(page, want):
+    assert text_of(page) == want
