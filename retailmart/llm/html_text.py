@@ -20,6 +20,7 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # Elements of HTML, and common words in classes and ids.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -223,7 +224,7 @@ def _compared(lines: list[Line]) -> list[Line]:
     return body or [Line(x.text, "open") for x in lines if x.place == "classed"]
 
 
-def main_text(lines: list[Line], partner: list[Line] | None) -> str:
+def main_text(lines: list[Line], partner: list[Line] | None, other: list[Line] | None = None) -> str:
     """The lines that are left, joined by a space.
 
     Shared lines go, but for those of an article. If the page has an article, open lines outside of it are frame as
@@ -262,24 +263,36 @@ class _Page(NamedTuple):
     host: str
     path: str
     lines: list[Line]
+    span: int = 0
+    #: -1 and 1 for the pages next to a range that another range puts out.
+    side: int = 0
 
 
-def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+#: Pages in a range, about, and keys drawn per range to set its bounds.
+RANGE_PAGES, DRAWN = 20_000, 64
+PAGE = "page_id long, url string, html string, host string, path string"
+
+
+def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", range_pages: int = RANGE_PAGES) -> DataFrame:
     """(page_id, url, text, n_chars), one row per input row; ``n_chars`` counts code points.
 
     Null or empty html gives an empty text. Pages are sorted by host and path over ranges, not gathered by host, so a
-    host of any size is spread over tasks; a task holds three parsed pages at a time, and the first and last page of a
-    range have one neighbour there. Pages without a url are paired among themselves. Ties in the path are ordered by
-    url, id and a hash of the html. A page alone on its host has no partner and keeps its open lines. An empty table gives no rows.
-    Other columns are not read.
+    host of any size is spread over tasks; a task holds three parsed pages at a time. The bounds of the ranges are set
+    first, from a sample of keys that the driver draws, and the pages next to each range, one before and one after it,
+    are handed to it, so the neighbours do not depend on the ranges. Pages without a url are paired among themselves. Ties
+    in the path are ordered by url, id and a hash of the html. A page alone on its host has no partner and keeps its open
+    lines. An empty table gives no rows. Other columns are not read.
     """
     rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html")
     )
     host, path = url_parts(F.col("url"))
     rows = rows.withColumn("host", host).withColumn("path", path)
-    order = ["host", "path", "url", "page_id", F.xxhash64("html")]
-    dealt = rows.repartitionByRange("host", "path", "url", "page_id").sortWithinPartitions(*order)
+    bounds = _bounds(rows, range_pages)
+    span = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("_key"))) if bounds else F.lit(0)
+    keyed = rows.withColumn("_key", _key()).withColumn("span", span).withColumn("side", F.lit(0))
+    dealt = keyed.unionByName(_next_to_ranges(keyed, bounds)) if bounds else keyed
+    dealt = dealt.repartitionByRange(len(bounds) + 1, "span").sortWithinPartitions("span", "side", "_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, urls, texts, size = [], [], [], 0
@@ -288,10 +301,10 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
             columns = [pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             return pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 
-        for page, partner in _paired(_parsed(batches)):
+        for page, *near in _paired(_parsed(batches)):
             ids.append(page.page_id)
             urls.append(page.url)
-            texts.append(main_text(page.lines, partner.lines if partner else None))
+            texts.append(main_text(page.lines, *(p.lines if p else None for p in near)))
             size += len(texts[-1])
             if size > 4_000_000:
                 yield out()
@@ -302,29 +315,86 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     return dealt.mapInArrow(run, "page_id long, url string, text string, n_chars long")
 
 
+def _key() -> Column:
+    """The pages' order as one string: host, path, url, id, hash of the html."""
+    fields = [F.col("host"), F.col("path"), F.coalesce(F.concat(F.lit("u"), "url"), F.lit("")), F.coalesce(F.format_string("%020d", "page_id"), F.lit(""))]
+    return F.concat_ws("\u0001", *fields, F.hex(F.xxhash64("html")))
+
+
+def _bounds(rows: DataFrame, range_pages: int) -> list[str]:
+    """The keys that begin a range, but for the first: quantiles of a sample drawn by hash."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(tasks, -(-rows.count() // range_pages))
+    keys = rows.select(_key().alias("_key"))
+    drawn = sorted(r["_key"] for r in keys.orderBy(F.xxhash64("_key")).limit(DRAWN * ranges).collect())
+    return sorted({drawn[k * len(drawn) // ranges] for k in range(1, ranges)}) if drawn else []
+
+
+def _next_to_ranges(keyed: DataFrame, bounds: list[str]) -> DataFrame:
+    """For each range the last page with text before it and the first one after it, as rows of that range.
+
+    A task keeps the first and the last page with text that it meets of each range, and parses only pages that may be
+    one. Ranges without such pages are passed over.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ends: dict[tuple[int, int], tuple[str, tuple]] = {}
+        for batch in batches:
+            keys, spans = batch.column("_key").to_pylist(), batch.column("span").to_pylist()
+            for k, (key, span) in enumerate(zip(keys, spans)):
+                first, last = ends.get((span, 1)), ends.get((span, -1))
+                sides = [s for s, better in ((1, first is None or key < first[0]), (-1, last is None or key > last[0])) if better]
+                if sides and lines_of(batch.column("html")[k].as_py()):
+                    row = tuple(batch.column(c)[k].as_py() for c in ("page_id", "url", "html", "host", "path"))
+                    ends.update({(span, side): (key, row) for side in sides})
+        found = [(*row, key, span, side) for (span, side), (key, row) in ends.items()]
+        names = ["page_id", "url", "html", "host", "path", "_key", "span", "side"]
+        kinds = [pa.int64(), *[pa.string()] * 5, pa.int32(), pa.int32()]
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found), kinds)], names)
+
+    ends = keyed.mapInArrow(run, f"{PAGE}, _key string, span int, side int")
+    page = F.struct("_key", "page_id", "url", "html", "host", "path")
+    per_range = ends.groupBy("span").agg(
+        F.min(F.when(F.col("side") == 1, page)).alias("first"), F.max(F.when(F.col("side") == -1, page)).alias("last")
+    )
+    spans = keyed.sparkSession.range(len(bounds) + 1).select(F.col("id").cast("int").alias("span"))
+    ordered = Window.orderBy("span")
+    before = F.last("last", ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.first("first", ignorenulls=True).over(ordered.rowsBetween(1, Window.unboundedFollowing))
+    sides = spans.join(per_range, "span", "left").select("span", before.alias("before"), after.alias("after"))
+    parts = [sides.where(f"{c} is not null").select(f"{c}.*", "span", F.lit(side).alias("side")) for c, side in (("before", -1), ("after", 1))]
+    return parts[0].unionByName(parts[1])
+
+
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[_Page]:
     for batch in batches:
-        columns = [batch.column(c) for c in ("page_id", "url", "host", "path", "html")]
+        columns = [batch.column(c) for c in ("page_id", "url", "host", "path", "html", "span", "side")]
         for k in range(batch.num_rows):
-            page_id, url, host, path, text = (c[k].as_py() for c in columns)
-            yield _Page(page_id, url, host, path, lines_of(text))
+            page_id, url, host, path, text, span, side = (c[k].as_py() for c in columns)
+            yield _Page(page_id, url, host, path, lines_of(text), span, side)
 
 
-def _paired(pages: Iterator[_Page]) -> Iterator[tuple[_Page, _Page | None]]:
-    """Each page with the neighbour on its host whose path is nearer; the one before wins a tie. Pages without text are
-    nobody's neighbour."""
+def _paired(pages: Iterator[_Page]) -> Iterator[tuple[_Page, _Page | None, _Page | None]]:
+    """Each page of a range with its neighbours on its host: the one whose path is nearer, then the other. The one before
+    wins a tie. Pages without text are nobody's neighbour."""
     before, page = None, None
     for after in pages:
         if not after.lines:
-            yield after, None
+            yield after, None, None
             continue
-        if page is not None:
-            yield page, _nearer(page, before, after)
+        if page is not None and page.span != after.span:
+            if not page.side:
+                yield page, *_near(page, before, None)
+            before, page = None, None
+        if page is not None and not page.side:
+            yield page, *_near(page, before, after)
         before, page = page, after
-    if page is not None:
-        yield page, _nearer(page, before, None)
+    if page is not None and not page.side:
+        yield page, *_near(page, before, None)
 
 
-def _nearer(page: _Page, before: _Page | None, after: _Page | None) -> _Page | None:
+def _near(page: _Page, before: _Page | None, after: _Page | None) -> tuple[_Page | None, _Page | None]:
     near = [p for p in (before, after) if p is not None and p.host == page.host]
-    return max(near, key=lambda p: _alike(p.path, page.path), default=None)
+    near.sort(key=lambda p: -_alike(p.path, page.path))
+    return (*near, None, None)[:2]

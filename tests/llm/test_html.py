@@ -98,3 +98,17 @@ def test_class_words_never_empty_a_page(page, want):
 )
 def test_text_after_open_or_closed_elements_stays(page, want):
     assert text_of(page) == want
+
+
+@pytest.mark.parametrize("range_pages", [1, 2, 1000])
+def test_neighbours_do_not_depend_on_ranges(spark, range_pages):
+    rows = []
+    for h in range(12):
+        for k in range(2):
+            rows.append((2 * h + k, f"http://host{h}.example/{k}", f"<div>Site {h}</div><div>text {h} {k}</div>"))
+        rows.append((100 + h, f"http://host{h}.example/0a", "<script>no text</script>"))
+    rows += [(None, None, f"<p>no url</p><p>text {k}</p>") for k in range(3)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = sorted((str(r["page_id"]), r["text"]) for r in extract_text(frame, range_pages=range_pages).collect())
+    want = [(str(2 * h + k), f"text {h} {k}") for h in range(12) for k in range(2)] + [(str(100 + h), "") for h in range(12)]
+    assert got == sorted(want + [("None", f"text {k}") for k in range(3)])
