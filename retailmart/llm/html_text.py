@@ -2,18 +2,16 @@
 
 A page is cut into lines: one per block of text, with the place it stands in. The pages of a host are laid out by URL
 path, and each is paired with the neighbour whose path shares the longest beginning. The lines of a pair are aligned by
-their longest common subsequence: what two articles share is the host's frame, and it is deleted. Elements that HTML
-itself names as frame (menus, headers, footers, sidebars, forms, scripts, styles) or that are classed as adverts,
-notices or comments are frame without a partner too; lines of an ``article`` or ``main`` are never frame for being shared,
-as pages may carry the same article.
+their longest common subsequence: what two pages share is the host's frame, and it is deleted. Lines of an ``article`` or
+``main`` go if both neighbours share them; pages that are copies of each other keep them. Elements that HTML itself names
+as frame (menus, headers, footers, sidebars, forms, scripts, styles) or that are classed as adverts, cookie notices or
+comments are frame without a partner too.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_left
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -180,42 +178,69 @@ def lines_of(page: str) -> list[Line]:
     return [Line(text, place if place == "frame" or cleared.issuperset(held) else "classed") for text, place, held in blocks]
 
 
+#: Bits of the table that an alignment holds; a larger one is cut in two.
+TABLE_BITS = 1 << 26
+
+
 def shared_lines(a: list[str], b: list[str]) -> tuple[set[int], set[int]]:
-    """The places in ``a`` and in ``b`` of their longest common subsequence.
+    """The places in ``a`` and in ``b`` of their longest common subsequence, repeated lines included.
 
-    The k-th time a line stands in one list is matched with the k-th time in the other, so the places in ``b`` that
-    follow the order of ``a`` are distinct numbers, and a longest rising run of them is the alignment.
+    Bit-parallel: a row of the table is one whole number, its bit j unset where line j of ``b`` makes the subsequence longer.
     """
-    seen: Counter = Counter()
-    where = {}
-    for j, line in enumerate(b):
-        where[line, seen[line]] = j
-        seen[line] += 1
-    seen.clear()
-    pairs = []
-    for i, line in enumerate(a):
-        j = where.get((line, seen[line]))
-        seen[line] += 1
-        if j is not None:
-            pairs.append((i, j))
-    tails: list[int] = []
-    ends: list[int] = []
-    before = [-1] * len(pairs)
-    for k, (_, j) in enumerate(pairs):
-        n = bisect_left(tails, j)
-        before[k] = ends[n - 1] if n else -1
-        if n == len(tails):
-            tails.append(j)
-            ends.append(k)
-        else:
-            tails[n], ends[n] = j, k
-    own, other = set(), set()
-    k = ends[-1] if ends else -1
-    while k >= 0:
-        own.add(pairs[k][0])
-        other.add(pairs[k][1])
-        k = before[k]
-    return own, other
+    in_both = set(a).intersection(b)
+    at, to = ([i for i, x in enumerate(lines) if x in in_both] for lines in (a, b))
+    pairs = _aligned([a[i] for i in at], [b[j] for j in to])
+    return {at[i] for i, _ in pairs}, {to[j] for _, j in pairs}
+
+
+def _rows(a: list[str], b: list[str]) -> Iterator[int]:
+    places: dict[str, int] = {}
+    for j, x in enumerate(b):
+        places[x] = places.get(x, 0) | 1 << j
+    every = (1 << len(b)) - 1
+    row = every
+    for x in a:
+        met = row & places.get(x, 0)
+        row = (row + met | row - met) & every
+        yield row
+
+
+def _aligned(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    first = 0
+    while first < min(len(a), len(b)) and a[first] == b[first]:
+        first += 1
+    pairs = [(k, k) for k in range(first)]
+    a, b = a[first:], b[first:]
+    if not a or not b:
+        return pairs
+    if len(a) > 1 and len(a) * len(b) > TABLE_BITS:  # Hirschberg: the best cut of b for a's halves
+        half = len(a) // 2
+        front = _lengths(a[:half], b)
+        back = _lengths(a[half:][::-1], b[::-1])[::-1]
+        cut = max(range(len(b) + 1), key=lambda j: front[j] + back[j])
+        found = _aligned(a[:half], b[:cut]) + [(i + half, j + cut) for i, j in _aligned(a[half:], b[cut:])]
+    else:
+        rows = list(_rows(a, b))
+        found, i, j = [], len(a), len(b)
+        while i and j:
+            if rows[i - 1] >> (j - 1) & 1:
+                j -= 1
+                continue
+            i -= 1
+            if not i or rows[i - 1] >> (j - 1) & 1:
+                j -= 1
+                found.append((i, j))
+        found.reverse()
+    return pairs + [(i + first, j + first) for i, j in found]
+
+
+def _lengths(a: list[str], b: list[str]) -> list[int]:
+    """The length of the longest common subsequence of ``a`` and each beginning of ``b``."""
+    *_, row = _rows(a, b)
+    lengths = [0]
+    for bit in reversed(format(row, f"0{len(b)}b")):
+        lengths.append(lengths[-1] + (bit == "0"))
+    return lengths
 
 
 def _compared(lines: list[Line]) -> list[Line]:
@@ -224,19 +249,31 @@ def _compared(lines: list[Line]) -> list[Line]:
     return body or [Line(x.text, "open") for x in lines if x.place == "classed"]
 
 
+def _size(lines: list[Line]) -> int:
+    return sum(len(x.text) for x in lines)
+
+
 def main_text(lines: list[Line], partner: list[Line] | None, other: list[Line] | None = None) -> str:
     """The lines that are left, joined by a space.
 
-    Shared lines go, but for those of an article. If the page has an article, open lines outside of it are frame as
-    well. If a page without an article has nothing of its own beside what it shares, it is a copy of its partner and
-    keeps its open lines.
+    Lines shared with the partner go; those of an article only if the other neighbour on the host, where there is one,
+    shares them too, as two articles may have a line in common. If less than half of an article's text would be left, or
+    nothing of a page without one, the pages are copies of each other, and their lines stay. Then the structure is
+    looked at: beside an article, open lines are frame unless they hold more text than it.
     """
     body = _compared(lines)
-    if any(x.place == "own" for x in body):
-        return " ".join(x.text for x in body if x.place == "own")
-    shared = shared_lines([x.text for x in body], [x.text for x in _compared(partner)])[0] if partner else set()
-    left = [x.text for i, x in enumerate(body) if i not in shared]
-    return " ".join(left or [x.text for x in body])
+    texts = [x.text for x in body]
+    shared, again = (shared_lines(texts, [x.text for x in _compared(page)])[0] if page else set() for page in (partner, other))
+    gone = {i for i in shared if body[i].place == "open" or not other or i in again}
+    own = [x for x in body if x.place == "own"]
+    own_left = [x for i, x in enumerate(body) if x.place == "own" and i not in gone]
+    if 2 * _size(own_left) < _size(own):
+        gone = {i for i in gone if body[i].place == "open"}
+        own_left = own
+    left = [x for i, x in enumerate(body) if i not in gone]
+    if own_left and _size(left) <= 2 * _size(own_left):
+        left = own_left
+    return " ".join(x.text for x in left or body)
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:

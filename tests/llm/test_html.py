@@ -112,3 +112,34 @@ def test_neighbours_do_not_depend_on_ranges(spark, range_pages):
     got = sorted((str(r["page_id"]), r["text"]) for r in extract_text(frame, range_pages=range_pages).collect())
     want = [(str(2 * h + k), f"text {h} {k}") for h in range(12) for k in range(2)] + [(str(100 + h), "") for h in range(12)]
     assert got == sorted(want + [("None", f"text {k}") for k in range(3)])
+
+
+def test_alignment_of_repeated_lines(monkeypatch):
+    import random
+
+    draw = random.Random(5)
+    for bits in (1 << 26, 4):
+        monkeypatch.setattr("retailmart.llm.html_text.TABLE_BITS", bits)
+        for _ in range(500):
+            a, b = ([draw.choice(x) for _ in range(draw.randint(0, 12))] for x in ("abc", "abcd"))
+            best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+            for i, x in enumerate(a):
+                for j, y in enumerate(b):
+                    best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+            own, other = shared_lines(a, b)
+            assert [a[i] for i in sorted(own)] == [b[j] for j in sorted(other)] and len(own) == best[-1][-1]
+
+
+def test_lines_a_host_repeats_in_articles_go(spark):
+    def page(own):
+        return f"<article><p>Share this</p><p>{own}</p><p>By the staff</p></article>"
+
+    copy = "an article that stands on the host three times and is much longer than its frame"
+    rows = [(k, f"http://h.example/a/{k}", page(f"text number {k} of the host, long enough")) for k in range(5)]
+    rows += [(10 + k, f"http://copies.example/{k}", f"<article><p>{copy}</p></article>") for k in range(3)]
+    teaser = "<div>Site name</div><div>the page's text stands in a plain element, number {}</div><article>teaser</article>"
+    rows += [(20 + k, f"http://plain.example/{k}", teaser.format(k)) for k in range(3)]
+    got = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == f"text number {k} of the host, long enough" for k in range(5))
+    assert all(got[10 + k] == copy for k in range(3))
+    assert all(f"the page's text stands in a plain element, number {k}" in got[20 + k] and "Site name" not in got[20 + k] for k in range(3))
