@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailmart.llm.texts import kept, map_arrow, texts_of
-from retailmart.llm.windows import BLOCK_BYTES, DOC, GROUP, WordUnits, doc_rows, folded, map_groups, recurring, removed, with_bodies
+from retailmart.llm.windows import BLOCK_BYTES, DOC, GROUP, WordUnits, doc_rows, folded, folded_rows, map_groups, recurring, removed, with_bodies
 
 SPANS = "doc_id long, th int, lo int, n int"
 
@@ -137,19 +137,19 @@ def phrase_dedup(
     as one text and have one result. Null texts are empty. An empty table gives no rows. Columns other than the two
     named are not read.
     """
-    rows = doc_rows(docs, id_col, text_col)
+    rows, repeats = folded_rows(doc_rows(docs, id_col, text_col), counted=False)
     spans = phrase_spans(rows, length, gram, group, block_bytes)
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-    return removed(rows, spans, WordUnits(length, gram), _finish, schema)
+    return removed(rows, spans, WordUnits(length, gram), _finish, schema, repeats)
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 20, gram: int = 6, group: int = GROUP, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, kept): the words that stay, joined by one space."""
-    rows = doc_rows(docs, id_col, text_col)
+    rows, repeats = folded_rows(doc_rows(docs, id_col, text_col), counted=False)
 
     def finish(data, starts, ends, firsts, gone) -> list[pa.Array]:
         spans = zip(firsts[:-1].tolist(), firsts[1:].tolist())
         return [pa.array([_left(data, starts, ends, a, b, gone).decode() for a, b in spans])]
 
     spans = phrase_spans(rows, length, gram, group, block_bytes)
-    return removed(rows, spans, WordUnits(length, gram), finish, "doc_id long, kept string")
+    return removed(rows, spans, WordUnits(length, gram), finish, "doc_id long, kept string", repeats)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailmart.llm.texts import buffer_of, kept, map_arrow
-from retailmart.llm.windows import BLOCK_BYTES, DOC, GROUP, ByteUnits, doc_rows, folded, map_groups, recurring, removed, with_bodies
+from retailmart.llm.windows import BLOCK_BYTES, DOC, GROUP, ByteUnits, doc_rows, folded, folded_rows, map_groups, recurring, removed, with_bodies
 
 SPANS = "doc_id long, th int, lo int, n int"
 
@@ -178,15 +178,15 @@ def suffix_dedup(
     """
     if length < gram or gram % 8:
         raise ValueError("grams are a multiple of 8 bytes, and no longer than the strings")
-    rows = doc_rows(docs, id_col, text_col)
+    rows, repeats = folded_rows(doc_rows(docs, id_col, text_col))
     spans = dedup_spans(rows, length, gram, group, block_bytes)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return removed(rows, spans, ByteUnits(length, gram), _finish, schema)
+    return removed(rows, spans, ByteUnits(length, gram), _finish, schema, repeats)
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, gram: int = 48, group: int = GROUP, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, kept as binary): the bytes that stay. Cuts may fall inside a character, hence binary."""
-    rows = doc_rows(docs, id_col, text_col)
+    rows, repeats = folded_rows(doc_rows(docs, id_col, text_col))
 
     def finish(data, starts, ends, firsts, gone) -> list[pa.Array]:
         whole = np.frombuffer(data, np.uint8)
@@ -194,4 +194,4 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return [pa.array(left, pa.binary())]
 
     spans = dedup_spans(rows, length, gram, group, block_bytes)
-    return removed(rows, spans, ByteUnits(length, gram), finish, "doc_id long, kept binary")
+    return removed(rows, spans, ByteUnits(length, gram), finish, "doc_id long, kept binary", repeats)

@@ -6,7 +6,8 @@ lies in exactly one passage, and there are far fewer passages than windows. Equa
 same key, so all further work goes on inside groups of passages with one key. Where a passage holds its least gram
 more than once (``again``), windows may also recur inside it.
 
-Texts are known by id and a hash of the text, so rows that share an id but not a text stay apart.
+Texts are known by id and a hash of the text, so rows that share an id but not a text stay apart. Rows that repeat both
+are folded to one with a count first, and its result is written out as often at the end.
 """
 
 from __future__ import annotations
@@ -20,10 +21,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailmart.llm.texts import buffer_of, doc_texts, kept, map_arrow, mixed, sliding_min
+from retailmart.llm.texts import COPIES, buffer_of, doc_texts, kept, map_arrow, mixed, sliding_min
 
 DOC = ("doc_id", "th")
-PASSAGES = "key long, body_hash long, doc_id long, th int, lo int, n int, again boolean"
+PASSAGES = "key long, body_hash long, doc_id long, th int, lo int, n int, again boolean, copies long"
 #: Different passages with one key that one task compares; larger groups are settled window by window.
 GROUP = 4000
 #: Bytes of passages that a task indexes at once. A group of one key is never cut.
@@ -133,10 +134,28 @@ def doc_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return texts.select("doc_id", F.hash(text).alias("th"), text.alias("text"))
 
 
+def folded_rows(rows: DataFrame, counted: bool = True) -> tuple[DataFrame, bool]:
+    """(doc_id, th, text, copies), one row for all that repeat id and text, and whether there are any such.
+
+    ``copies`` is the number of occurrences that a row stands for, ``rows`` how often it was found; the first is 1 unless
+    ``counted``. Only texts of repeated rows are shuffled, folded before that; they are written once.
+    """
+    often = kept(rows.groupBy(*DOC).agg(F.count("*").alias("c")).where("c > 1").select(*DOC), "repeated-rows")
+    one = F.lit(1).cast("long")
+    if often.isEmpty():
+        return rows.withColumns({"copies": one, "rows": one}), False
+    named = often.withColumnsRenamed({c: f"_{c}" for c in DOC})
+    same = rows["doc_id"].eqNullSafe(named["_doc_id"]) & (rows["th"] == named["_th"])
+    single = rows.join(named, same, "left_anti").withColumns({"copies": one, "rows": one})
+    times = rows.join(named, same, "left_semi").groupBy(*DOC, "text").agg(F.count("*").alias("rows"))
+    more = kept(times.select(*DOC, "text", (F.col("rows") if counted else one).alias("copies"), "rows"), "folded-rows")
+    return single.unionByName(more), True
+
+
 def found_passages(rows: DataFrame, units: Units, keys_only: bool = False) -> DataFrame:
-    """Every passage of every text: key, hash of its units, document, first window, number of windows, again.
+    """Every passage of every text: key, hash of its units, document, first window, number of windows, again, copies.
 
-    ``keys_only`` gives key and again alone.
+    ``keys_only`` gives key, again and copies alone.
     """
     length = units.length
     width = length - units.gram + 1
@@ -162,8 +181,9 @@ def found_passages(rows: DataFrame, units: Units, keys_only: bool = False) -> Da
         inside = begin <= firsts[doc + 1] - length
         begin, n, doc = begin[inside], n[inside], doc[inside]
         key, again = pa.array(least[begin].view(np.int64)), pa.array(_again(grams, least[begin], begin, n, width))
+        copies = batch.column("copies").take(pa.array(doc))
         if keys_only:
-            return pa.RecordBatch.from_arrays([key, again], ["key", "again"])
+            return pa.RecordBatch.from_arrays([key, again, copies], ["key", "again", "copies"])
         digest = xxhash.xxh3_64_intdigest
         spans = zip(starts[begin].tolist(), ends[begin + n + length - 2].tolist())
         bodies = np.array([digest(data[a:b]) for a, b in spans], np.uint64)
@@ -176,10 +196,11 @@ def found_passages(rows: DataFrame, units: Units, keys_only: bool = False) -> Da
             pa.array((begin - firsts[doc]).astype(np.int32)),
             pa.array(n.astype(np.int32)),
             again,
+            copies,
         ]
-        return pa.RecordBatch.from_arrays(columns, ["key", "body_hash", "doc_id", "th", "lo", "n", "again"])
+        return pa.RecordBatch.from_arrays(columns, ["key", "body_hash", "doc_id", "th", "lo", "n", "again", "copies"])
 
-    return map_arrow(rows, work, "key long, again boolean" if keys_only else PASSAGES, SLICE)
+    return map_arrow(rows, work, "key long, again boolean, copies long" if keys_only else PASSAGES, SLICE)
 
 
 def _again(grams: np.ndarray, key: np.ndarray, begin: np.ndarray, n: np.ndarray, width: int) -> np.ndarray:
@@ -199,7 +220,7 @@ def _again(grams: np.ndarray, key: np.ndarray, begin: np.ndarray, n: np.ndarray,
 def recurring(rows: DataFrame, units: Units) -> DataFrame:
     """The passages whose key occurs twice or more, in one text or several: two scans, the first for a count of keys."""
     passages = found_passages(rows, units)
-    twice = found_passages(rows, units, keys_only=True).groupBy("key").agg(F.count("*").alias("c"), F.max("again").alias("again")).where("c > 1 or again").select("key")
+    twice = found_passages(rows, units, keys_only=True).groupBy("key").agg(F.sum("copies").alias("c"), F.max("again").alias("again")).where("c > 1 or again").select("key")
     return kept(passages.join(twice, "key", "left_semi"), "passages")
 
 
@@ -207,7 +228,7 @@ def folded(passages: DataFrame) -> DataFrame:
     """One row per different passage: times, first occurrence (by id, text, place), and ``kinds``, the number of different
     passages of its key, where one that repeats its gram counts as two."""
     each = passages.groupBy("key", "body_hash").agg(
-        F.count("*").alias("times"), F.min(F.struct("doc_id", "th", "lo", "n")).alias("first"), F.max("again").alias("again")
+        F.sum("copies").alias("times"), F.min(F.struct("doc_id", "th", "lo", "n")).alias("first"), F.max("again").alias("again")
     )
     each = kept(each.select("key", "body_hash", "times", "first.*", "again"), "folded")
     kinds = each.groupBy("key").agg(F.sum(F.when(F.col("again"), 2).otherwise(1)).alias("kinds"))
@@ -273,8 +294,9 @@ def map_groups(frame: DataFrame, work: Callable[[pa.Table], pa.RecordBatch | Non
     return dealt.mapInArrow(run, schema)
 
 
-def removed(rows: DataFrame, spans: DataFrame, units: Units, finish: Callable, schema: str) -> DataFrame:
-    """``finish`` for each text with a mask of its units that ``spans`` (doc_id, th, lo, n windows) cover."""
+def removed(rows: DataFrame, spans: DataFrame, units: Units, finish: Callable, schema: str, repeats: bool) -> DataFrame:
+    """``finish`` for each text with a mask of its units that ``spans`` (doc_id, th, lo, n windows) cover; with ``repeats``,
+    written out as often as the row was found, in parts dealt to all tasks."""
     length = units.length
     per_doc = spans.groupBy(*DOC).agg(F.collect_list(F.struct("lo", "n")).alias("spans"))
     joined = _by_doc(rows, per_doc, "left")
@@ -291,6 +313,12 @@ def removed(rows: DataFrame, spans: DataFrame, units: Units, finish: Callable, s
         np.add.at(depth, begin + flat.field("n").to_numpy() + length - 1, -1)
         gone = np.cumsum(depth[:-1]) > 0
         columns = finish(data, starts, ends, firsts, gone)
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], [f.split()[0] for f in schema.split(", ")])
-
-    return map_arrow(joined, work, schema, SLICE)
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns, batch.column("rows")], [*names, "rows"])
+
+    names = [f.split()[0] for f in schema.split(", ")]
+    done = map_arrow(joined, work, f"{schema}, rows long", SLICE)
+    if not repeats:
+        return done.drop("rows")
+    parts = done.withColumn("_part", F.explode(F.expr(f"sequence(0L, (rows - 1) div {COPIES})")))
+    dealt = parts.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *parts.columns)
+    return dealt.select(*names, F.explode(F.expr(f"sequence(1L, least({COPIES}L, rows - _part * {COPIES}))")).alias("_copy")).drop("_copy")

@@ -116,3 +116,27 @@ def test_grams_depend_on_their_units_only():
         moved = units.grams(units.read(pa.array(["zz zz ", text])))
         assert (moved[-len(alone) :] == alone).all()
         assert len(np.unique(alone)) > 1
+
+
+def test_repeated_rows_are_folded(spark, monkeypatch):
+    """Rows without an id and with one text: one row of work, the result as often as the row was found."""
+    from retailmart.llm import windows
+
+    monkeypatch.setattr(windows, "COPIES", 7)
+    text = " ".join(f"word{i * 7919 % 10007}" for i in range(300))
+    rows = [(None, text)] * 60 + [(1, "short")] * 3 + [(2, text + " end"), (3, "alone " * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    folded, repeats = windows.folded_rows(windows.doc_rows(docs))
+    assert repeats and sorted(r["rows"] for r in folded.collect()) == [1, 1, 3, 60]
+    units = windows.ByteUnits(200, 48)
+    passages = windows.found_passages(folded, units).collect()
+    assert len({(r["doc_id"], r["th"], r["lo"]) for r in passages}) == len(passages)
+    got = suffix_dedup.suffix_dedup(docs).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(d) for d, _ in rows)
+    assert {(r["doc_id"], r["n_removed"]) for r in got} == {(None, len(text)), (1, 0), (2, len(text)), (3, 0)}
+    words = phrase_dedup.phrase_dedup(docs).collect()
+    assert sorted(str(r["doc_id"]) for r in words) == sorted(str(d) for d, _ in rows)
+    assert {(r["doc_id"], r["n_removed"]) for r in words} == {(None, 0), (1, 0), (2, 300), (3, 0)}
+    only = spark.createDataFrame([(None, text)] * 20, "doc_id long, text string")
+    assert {r["n_removed"] for r in suffix_dedup.suffix_dedup(only).collect()} == {len(text)}
+    assert {r["n_removed"] for r in phrase_dedup.phrase_dedup(only).collect()} == {0}
