@@ -10,22 +10,28 @@ of hits are weighed by a logistic model.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retailmart.llm.labelled import TRAIN_ROWS, held_out, training_texts
 from retailmart.llm.texts import doc_texts, kept, map_arrow, mixed, texts_of
 
 WORD = re.compile(r"\w+")
+#: Words that signs run through, as in ``id*ot`` or ``st@pid``; they are read whole, beside their pieces.
+MASKED = re.compile(r"\w+(?:[*@$#%&+!|^~.·•-]+\w+)+")
 #: Words on either side of a hit that are looked at.
 WINDOW = 5
 #: A word joins the lexicon if its log-likelihood ratio and its share of toxic texts reach these.
 LEAST_RATIO, LEAST_SHARE = 24.0, 0.7
+#: A word near a term is known as proper if its ratio against LEAST_SHARE reaches this: the 1 % level, as few words are
+#: near a term. That takes three texts, none of them toxic.
+LEAST_KNOWN = 6.63
 KINDS = ("exact", "exact_quoted", "exact_addressed", "near", "near_quoted", "near_addressed")
 SIGNALS = ("abuse", "amount", "near_only", "quoted_only", "addressed")
 # Fixed word lists: address, and words about words.
@@ -124,24 +130,31 @@ class Lexicon:
 
 
 def hits(text: str, lexicon: Lexicon, cache: dict[str, int]) -> Counter:
-    """Numbers of hits by kind; ``cache`` has the edits (or -1) of words met before."""
+    """Numbers of hits by kind; ``cache`` has the edits (or -1) of words met before. A word with signs inside is a hit as
+    a whole if none of its pieces is one."""
     lower = text.lower()
     words = WORD.findall(lower)
-    for w in set(words).difference(cache):
+    masked = list(MASKED.finditer(lower))
+    for w in {*words, *(m[0] for m in masked)}.difference(cache):
         found = lexicon.match(w)
         cache[w] = -1 if found is None else found[0]
     counts: Counter = Counter()
     at = [i for i, e in enumerate(map(cache.__getitem__, words)) if e >= 0]
-    if not at:
+    masked = [m for m in masked if cache[m[0]] >= 0]
+    if not at and not masked:
         return counts
     spans = [m.span() for m in WORD.finditer(lower)]
-    for i in at:
-        around = words[max(0, i - WINDOW) : i + WINDOW + 1]
-        begin, end = spans[i]
+    found = [(i, i, *spans[i], cache[words[i]]) for i in at]
+    for m in masked:
+        first, last = bisect_left(spans, m.span()[:1]), bisect_left(spans, (m.end(),)) - 1
+        if all(cache[w] < 0 for w in words[first : last + 1]):
+            found.append((first, last, *m.span(), cache[m[0]]))
+    for first, last, begin, end, edits in found:
+        around = words[max(0, first - WINDOW) : last + WINDOW + 1]
         quoted = lower[begin - 1 : begin] in set(OPENING) and lower[end : end + 1] in set(CLOSING)
         quoted = quoted or not MENTION.isdisjoint(around)
         addressed = not ADDRESS.isdisjoint(around) or lower[end : end + 1] == "!"
-        kind = "exact" if cache[words[i]] == 0 else "near"
+        kind = "exact" if edits == 0 else "near"
         counts[kind + ("_quoted" if quoted else "_addressed" if addressed else "")] += 1
     return counts
 
@@ -190,12 +203,13 @@ def without_copies(texts: DataFrame) -> DataFrame:
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, toxic texts, all texts) over training texts."""
+    """(word, toxic texts, all texts) over training texts; words with signs inside are counted whole as well."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         toxic, total = Counter(), Counter()
         for label, text in zip(batch.column("label").to_pylist(), texts_of(batch.column("text"))):
-            own = set(WORD.findall(text.decode().lower()))
+            lower = text.decode().lower()
+            own = {*WORD.findall(lower), *MASKED.findall(lower)}
             total.update(own)
             if label:
                 toxic.update(own)
@@ -225,11 +239,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows:
     total, toxic = alone.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     rate = (toxic + 0.5) / (total + 1)
     t, n = F.col("toxic").cast("double"), F.col("total").cast("double")
-    part = lambda k, share: F.when(k > 0, k * F.log(k / (n * share))).otherwise(0.0)
-    ratio = 2 * (part(t, F.lit(rate)) + part(n - t, F.lit(1 - rate)))
-    chosen = counted.where((ratio >= LEAST_RATIO) & (t / n >= LEAST_SHARE) & (F.length("word") > 2)).select("word")
+    chosen = counted.where((_ratio(t, n, rate) >= LEAST_RATIO) & (t / n >= LEAST_SHARE) & (F.length("word") > 2)).select("word")
     terms = sorted(r["word"] for r in chosen.collect())
-    near = _near_words(counted.where("total > toxic"), terms)
+    # A misspelled term would have a term's share; one quotation or wrong label does not tell otherwise.
+    near = _near_words(counted.where((_ratio(t, n, LEAST_SHARE) >= LEAST_KNOWN) & (t / n < LEAST_SHARE)), terms)
     known = sorted(r["word"] for r in near.collect() if r["word"] not in set(terms))
     found = sorted(_hit_rows(texts, terms, known).collect(), key=lambda r: (r["doc_id"], r["label"], r["signals"]))
     x = np.array([[1.0, *r["signals"]] for r in found]).reshape(len(found), len(SIGNALS) + 1)
@@ -237,6 +250,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows:
     return Model(terms, known, fit_logistic(x, y).tolist())
 
 
+def _ratio(toxic: Column, total: Column, share: float) -> Column:
+    """Log-likelihood ratio of a word's own share of toxic texts against ``share``."""
+    part = lambda k, expected: F.when(k > 0, k * F.log(k / (total * expected))).otherwise(0.0)
+    return 2 * (part(toxic, share) + part(total - toxic, 1 - share))
+
+
 def _near_words(words: DataFrame, terms: list[str]) -> DataFrame:
     def run(batches):
         lexicon = Lexicon(terms)

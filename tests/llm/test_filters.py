@@ -155,6 +155,28 @@ def test_quotation_is_told_from_abuse():
     assert hits("what an idiot he is", lexicon, {}) == {"exact": 1}
 
 
+def test_one_text_makes_no_word_known(spark):
+    """A misspelling quoted once in a text that is not toxic stays a hit; a proper word found in several does not."""
+    import random
+
+    draw = random.Random(3)
+    fill = lambda i: " ".join(f"w{draw.randrange(400)}" for _ in range(12))
+    texts = [(f"you stupid {fill(i)}", 1) for i in range(60)] + [(fill(i), 0) for i in range(300)]
+    texts += [(f"he wrote stupit {fill(1)}", 0)] + [(f"the stupic {fill(i * 13)}", 0) for i in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(texts)], "doc_id long, toxic int")
+    model = fit_toxicity(docs, labels)
+    assert "stupid" in model.terms and "stupit" not in model.known and "stupic" in model.known
+
+
+def test_terms_masked_by_a_sign():
+    lexicon = Lexicon(["idiot", "stupid"])
+    assert hits("what an id*ot he is", lexicon, {}) == {"near": 1}
+    assert hits("you st@pid one", lexicon, {}) == {"near_addressed": 1}
+    assert hits("that idiot-like well-known thing", lexicon, {}) == {"exact": 1}
+    assert hits('the "stu-pid" there', lexicon, {}) == {"near_quoted": 1}
+
+
 def test_pipeline_equals_its_stages(spark, tmp_path):
     """Against the documents that brute force leaves after the filters, and the laws of the last two stages."""
     from tests.llm.test_simhash import brute_print, roots
