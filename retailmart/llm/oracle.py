@@ -107,10 +107,40 @@ select doc_id, n as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spa
 from texts left join counted using (doc_id)"""
 
 
+_COPIES = r"""
+with texts as (
+ select doc_id, length(coalesce(text, '')) as n_chars,
+  regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as body from documents),
+ranked as (
+ select *, row_number() over own as place, first_value(doc_id) over own as keep_id
+ from texts window own as (partition by body order by n_chars desc, doc_id))
+select doc_id, keep_id, count(*) over (partition by body) as group_size, place = 1 as kept, sha256(body) as text_sha256
+from ranked"""
+
+_FIM = """
+with texts as (
+ select doc_id, coalesce(text, '') as t, length(coalesce(text, '')) as n, sha256('1:' || doc_id) as d from documents),
+drawn as (
+ select doc_id, t, n, ('0x' || d[1:8])::bigint % (n + 1) as a, ('0x' || d[9:16])::bigint % (n + 1) as b,
+  case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>')
+   or ('0x' || d[17:24])::bigint % 100 >= 90 then 'plain'
+  when ('0x' || d[25:32])::bigint % 100 < 20 then 'spm' else 'psm' end as form from texts),
+cut as (
+ select doc_id, t, n, form, least(a, b) as p, greatest(a, b) - least(a, b) as m,
+  substring(t, 1, p) as prefix, substring(t, p + 1, m) as middle, substring(t, p + m + 1) as suffix from drawn)
+select doc_id, n, form, case when form <> 'plain' then p end as prefix_chars,
+ case when form <> 'plain' then m end as middle_chars,
+ sha256(case form when 'plain' then t when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+  else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+ sha256(t) as restored_sha256 from cut"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_benchmark_decontamination": _CONTAINED,
         "op2_suffix_array_dedup": _BYTES,
         "op7_substring_dedup": _PHRASES,
         "op8_quality_rules": _RULES,
+        "op12_exact_dedup": _COPIES,
+        "op13_fill_in_middle": _FIM,
     }

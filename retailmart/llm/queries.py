@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailmart.llm.decontaminate import contained_items
+from retailmart.llm.exact_dedup import exact_dedup
+from retailmart.llm.fill_middle import fill_in_middle, restored
 from retailmart.llm.html_text import extract_text
 from retailmart.llm.mixing import mix
 from retailmart.llm.oracle import oracle_sql
@@ -16,6 +18,7 @@ from retailmart.llm.quality_gam import fit_quality, score_quality
 from retailmart.llm.quality_rules import BASE, quality_verdicts
 from retailmart.llm.sharding import shard_plan
 from retailmart.llm.simhash import simhash_classes
+from retailmart.llm.spelling import spelling_variants
 from retailmart.llm.suffix_dedup import suffix_dedup
 from retailmart.llm.texts import table
 from retailmart.llm.toxicity import fit_toxicity, score_toxicity
@@ -70,6 +73,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")), threshold=0.5)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its more frequent spelling."""
+    return spelling_variants(table(spark, sf_dir, "documents"), min_length=6, min_times=5, ratio=5)
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one that stays of its group of equal texts."""
+    return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's form for training, with hashes of its output and of the text rebuilt from that."""
+    rows = restored(fill_in_middle(table(spark, sf_dir, "documents")))
+    hashes = [F.sha2("output", 256).alias("output_sha256"), F.sha2("text", 256).alias("restored_sha256")]
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *hashes)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_benchmark_decontamination,
@@ -82,5 +102,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality_rules,
         op9_html_extraction,
         op10_toxicity,
+        op11_spelling_variants,
+        op12_exact_dedup,
+        op13_fill_in_middle,
     )
     return {f.__name__: f for f in found}
