@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Day-first text dates; one-digit days, months and hours are accepted.
 DMY_DATE = "d/M/yyyy"
-DMY_TIMESTAMP = r"^\d{1,2}/\d{1,2}/\d{4}([ T]+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( *[AaPp][Mm])?)?$"
+# Groups: day, month, year, time up to microseconds, A or P. Matches any text, so that its replacement always stands for
+# the whole of it: without a date all groups are empty.
+DMY_TIMESTAMP = (
+    r"(?s)^(?:(\d{1,2})/(\d{1,2})/(\d{4})"
+    r"(?:[ T]+(\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)(?:(?<=\.\d{6})\d+)?(?: *([AaPp])[Mm])?)?$|.*$)"
+)
 
 
 def parse_dmy_date(c: Column) -> Column:
@@ -15,22 +22,32 @@ def parse_dmy_date(c: Column) -> Column:
     return F.try_to_date(c, DMY_DATE)
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often ``use`` names it: a column that is named twice is
+    copied into the plan, a lambda's variable is not."""
+    return F.transform(F.array(value), use)[0]
+
+
 def parse_dmy_timestamp(c: Column) -> Column:
     """Day-first text to zone-free timestamp; NULL when the text is no such time.
 
     A text without a time is midnight. A ``T`` may stand before the time and AM or PM
-    behind it; fractions of any length are cut to microseconds. The text is put in ISO
-    order and cast, so no time zone is involved.
+    behind it; fractions of any length are cut to microseconds. One regular expression
+    puts the text in ISO order, to be cast, so no time zone is involved.
     """
-    text = F.when(c.rlike(DMY_TIMESTAMP), c)
-    iso = F.regexp_replace(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$2-$1")
-    time = F.regexp_replace(iso, r" *[AaPp][Mm]$|(?<=\d)[ T]+(?=\d+:)", " ")
-    parsed = F.trim(time).try_cast("timestamp_ntz")
-    half = F.upper(F.substring(text, -2, 2))
-    hour, half_day = F.hour(parsed), F.expr("interval 12 hours")
-    noon = F.when(hour == 12, parsed).when(hour.between(1, 11), parsed + half_day)
-    morning = F.when(hour == 12, parsed - half_day).when(hour.between(1, 11), parsed)
-    return F.when(half == "PM", noon).when(half == "AM", morning).otherwise(parsed)
+    noon = F.expr("interval 12 hours")
+
+    def halved(half: Column, time: Column) -> Column:
+        hour = F.hour(time)
+        pm = F.when(hour == 12, time).when(hour.between(1, 11), time + noon)
+        am = F.when(hour == 12, time - noon).when(hour.between(1, 11), time)
+        return F.when(half == "|", time).when(half == "P", pm).when(half == "A", am)
+
+    def timed(text: Column) -> Column:
+        iso = F.trim(F.substring_index(text, "|", -1)).try_cast("timestamp_ntz")
+        return once(iso, lambda time: halved(F.upper(F.substring(text, 1, 1)), time))
+
+    return once(F.regexp_replace(c, DMY_TIMESTAMP, "$5|$3-$2-$1 $4"), timed)
 
 
 def month_start(c: Column) -> Column:

@@ -112,6 +112,15 @@ def test_dates(spark):
     assert value(spark, days_between(F.lit(dt.date(2023, 5, 1)), day)) == 16
 
 
+def test_a_text_time_is_read_once(spark):
+    """Each piece of the parser stands in the plan once."""
+    df = spark.range(1).select(F.col("id").cast("string").alias("t")).select(parse_dmy_timestamp(F.col("t")).alias("x"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1
+    assert "RLIKE" not in plan.upper()
+    assert plan.count("as timestamp_ntz") == 1
+
+
 def test_rounding_is_half_away_from_zero(spark):
     assert value(spark, percent_text(F.lit(Decimal("1234.565")))) == "1,234.57 %"
     assert value(spark, percent_text(F.lit(Decimal("-0.125")))) == "-0.13 %"
@@ -138,6 +147,21 @@ def test_zero_divisor_is_null(spark):
         ("26/03/2023 02:30", dt.datetime(2023, 3, 26, 2, 30)),
         ("01/02/2023 13:05 PM", None),
         ("01/02/2023 25:00", None),
+        ("01/02/2023 12:00 PM", dt.datetime(2023, 2, 1, 12)),
+        ("01/02/2023 00:05 AM", None),
+        ("01/02/2023 10:11:123", None),
+        ("01/02/2023 10:11:12.1234567 pm", dt.datetime(2023, 2, 1, 22, 11, 12, 123456)),
+        ("01/02/2023 1:05PM", dt.datetime(2023, 2, 1, 13, 5)),
+        ("01/02/2023 10:11:12.", None),
+        ("01/02/2023 10:11 xm", None),
+        ("P|2023-02-01 10:11", None),
+        ("|2023-02-01", None),
+        ("2023-02-01", None),
+        ("a\n01/02/2023", None),
+        ("30/02/2023 10:11", None),
+        ("29/02/2024", dt.datetime(2024, 2, 29)),
+        ("0/1/2023", None),
+        (None, None),
     ],
 )
 def test_day_first_times_need_no_zone(spark, given, want):
