@@ -19,16 +19,18 @@ from retailmart.operators import cleaning as cl
 from retailmart.operators import quality as dq
 from retailmart.operators.funnels import funnel
 from retailmart.operators.ranking import top_ranked
-from retailmart.operators.running import pareto
+from retailmart.operators.running import pareto, running_total
 from retailmart.plans import cafe
 from retailmart.plans import ecommerce as shop_plan
 from retailmart.plans import ecommerce_analyses as an
 from retailmart.plans.ecommerce import Ecommerce
 from retailmart.sources import bindings, schemas
 from retailmart.sources.files import (
+    REPLACE_PARTITIONS,
     csv_ingest,
     register_views,
     scratch_path,
+    staged_types,
     type_staging,
     write_table,
 )
@@ -184,6 +186,25 @@ def _type_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TYPED_RULES = {"transaction_timestamp": parse_dmy_timestamp, "quantity": "int"}
+
+
+@query("in_typed_rows")
+def _typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staged_types(bindings.broken_transactions(spark, sf_dir), TYPED_RULES).typed
+
+
+@query("in_typed_rejects")
+def _typed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejects = staged_types(bindings.broken_transactions(spark, sf_dir), TYPED_RULES).rejects
+    return rejects.withColumn("failed_columns", F.concat_ws(",", "failed_columns"))
+
+
+@query("in_typed_counts")
+def _typed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staged_types(bindings.broken_transactions(spark, sf_dir), TYPED_RULES).counts()
+
+
 @query("in_write_table")
 def _write_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = shop_plan.clean_transactions(bindings.transactions(spark, sf_dir))
@@ -192,6 +213,38 @@ def _write_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@query("in_write_table_again")
+def _write_table_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load up to 1996, load March 1996 again without refunds (twice: a load that is repeated), then the later months."""
+    fact = shop_plan.clean_transactions(bindings.transactions(spark, sf_dir))
+    fact = fact.withColumn("month", F.trunc(F.col("transaction_timestamp").cast("date"), "MM"))
+    path = scratch_path(spark, "table")
+    march = F.lit("1996-03-01").cast("date")
+    loads = [
+        F.year("month") <= 1996,
+        (F.col("month") == march) & (F.col("refund_flag") == 0),
+        (F.col("month") == march) & (F.col("refund_flag") == 0),
+        F.year("month") > 1996,
+    ]
+    for rows in loads:
+        write_table(fact.filter(rows), path, ["month"], mode=REPLACE_PARTITIONS)
+    return spark.read.schema(fact.schema).parquet(path)
+
+
+@query("in_bucketed_join")
+def _bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spend per customer from fact and dimension stored by customer: neither is shuffled again."""
+    shop = clean_shop(spark, sf_dir)
+    names = []
+    for frame in (shop.transactions, shop.customers):
+        path = scratch_path(spark, "bucketed")
+        names.append(path.rsplit("/", 1)[-1].replace("-", "_"))
+        write_table(frame, path, bucket_by=["customer_id"], buckets=8, name=names[-1])
+    fact, customers = (spark.table(n) for n in names)
+    spend = fact.groupBy("customer_id").agg(F.sum("gross_revenue").alias("spent"), F.count("*").alias("orders"))
+    return customers.hint("merge").join(spend, "customer_id").select("customer_id", "country", "spent", "orders")
+
+
 @query("in_register_views")
 def _register_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_views(shop_plan.gold_views(clean_shop(spark, sf_dir)))
@@ -710,3 +763,28 @@ _on_shop(
     "customer_pareto",
     lambda s: pareto(s.transactions, "customer_id", "gross_revenue"),
 )
+_on_typed(
+    "running_revenue_by_time",
+    lambda s: running_total(
+        s.transactions.select("transaction_id", "transaction_timestamp", "gross_revenue"),
+        "transaction_timestamp",
+        "gross_revenue",
+        "running_revenue",
+    ),
+)
+query("running_price_by_name")(
+    lambda spark, sf_dir: running_total(
+        bindings.part_prices(spark, sf_dir), "name", "price", "running_price", descending=True, before="price_ahead"
+    )
+)
+_on_typed(
+    "running_events_by_duration",
+    lambda s: running_total(
+        s.events.select(
+            "event_id", F.col("session_duration_sec").cast("double").alias("duration"), F.lit(1).cast("bigint").alias("one")
+        ),
+        "duration",
+        "one",
+        "events_so_far",
+    ),
+)

@@ -9,16 +9,19 @@ from pyspark.sql import types as T
 from retailmart.functions import percent
 from retailmart.operators.joins import HOT_KEYS, hot_key_join
 from retailmart.operators.totals import exact_sum, grand_totals, group_totals
+from retailmart.sources.files import stored
 
 # Positions are 64-bit integers cut into 22 + 21 + 21 bits, so that no window
 # below sees more than 2**22 rows, whatever the data.
 LOW_BITS = 21
 MID_BITS = 21
 NULL_POSITION = 2**62
+# Different values of any other order that one range holds, and one window sees.
+RANGE_VALUES = 2**20
 
 
-def order_position(df: DataFrame, order: str, descending: bool) -> Column:
-    """An integer that sorts like ``order``; NULLs come first ascending, last descending."""
+def order_position(df: DataFrame, order: str, descending: bool) -> Column | None:
+    """An integer that sorts like ``order``; NULLs come first ascending, last descending. None for types without one."""
     dtype = df.schema[order].dataType
     c = F.col(order)
     if isinstance(dtype, T.DateType):
@@ -28,7 +31,7 @@ def order_position(df: DataFrame, order: str, descending: bool) -> Column:
     elif isinstance(dtype, T.IntegralType):
         position = c.cast("bigint")
     else:
-        raise TypeError(f"running totals need a date, integer or decimal order, not {dtype}")
+        return None
     if descending:
         return F.coalesce(-position, F.lit(NULL_POSITION))
     return F.coalesce(position, F.lit(-NULL_POSITION))
@@ -52,6 +55,10 @@ def running_total(
     taken at three levels of ever coarser positions, each in windows of bounded
     size, and the offsets of the coarser levels are joined back; rows of frequent
     positions meet a broadcast, so that no tie is gathered in one task.
+
+    Dates, whole numbers and decimals have such positions. Any other order that sorts
+    (timestamps, text, doubles) is cut into ranges at values that Spark samples, see
+    ``_over_ranges``.
     """
     dtype = df.agg(exact_sum(df, measure).alias("s")).schema["s"].dataType
     if calendar_order:
@@ -63,7 +70,10 @@ def running_total(
             added[before] = (F.sum(measure).over(upto) - F.sum(measure).over(ties)).cast(dtype)
         return df.withColumns(added)
 
-    placed = df.withColumn("_pos", order_position(df, order, descending))
+    position = order_position(df, order, descending)
+    if position is None:
+        return _over_ranges(df, order, measure, out, descending, before, dtype)
+    placed = df.withColumn("_pos", position)
     low = (
         placed.groupBy("_pos")
         .agg(exact_sum(placed, measure).alias("_step"), F.count("*").alias("_rows"))
@@ -101,6 +111,39 @@ def running_total(
     return hot_key_join(placed, steps, "_pos", "inner", hot=hot).drop("_pos")
 
 
+def _over_ranges(
+    df: DataFrame, order: str, measure: str, out: str, descending: bool, before: str | None, dtype: T.DataType
+) -> DataFrame:
+    """The running total by an order of any type: ranges of values, a sum ahead of each range, a window in each.
+
+    Ties are folded to one row per value, and the values are written with the number of their range, so that what
+    follows sees the same ranges. A range holds about ``RANGE_VALUES`` values, however frequent one is; the sums ahead
+    are one row per range and are broadcast. NULLs sort first ascending and last descending, NaN above all numbers.
+    """
+    by = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_first()
+    folded = df.groupBy(order).agg(exact_sum(df, measure).alias("_step"), F.count("*").alias("_rows"))
+    folded = stored(folded, "running-values")
+    n_values, n_rows = folded.agg(F.count("*"), F.sum("_rows")).first()
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(tasks, -(-n_values // RANGE_VALUES))
+    steps = folded.repartitionByRange(ranges, by).withColumn("_range", F.spark_partition_id())
+    steps = stored(steps, "running-ranges")
+
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = steps.groupBy("_range").agg(F.sum("_step").alias("_sum"))
+    ahead = sums.select("_range", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_ahead"))
+    inside = F.sum("_step").over(Window.partitionBy("_range").orderBy(by))
+    upto = F.col("_ahead") + F.coalesce(inside, F.lit(0))
+    totals = steps.join(F.broadcast(ahead), "_range").select(
+        order,
+        upto.cast(dtype).alias(out),
+        *([(upto - F.coalesce("_step", F.lit(0))).cast(dtype).alias(before)] if before else []),
+    )
+    hot = folded.filter(F.col("_rows") * HOT_KEYS > (n_rows or 0)).select(order)
+    joined = hot_key_join(df, totals, order, "inner", null_safe=True, hot=hot)
+    return joined.select(*df.columns, out, *([before] if before else []))
+
+
 def pareto(
     df: DataFrame,
     key: str,

@@ -423,6 +423,74 @@ oracle(
     " cast(date_trunc('month', transaction_timestamp) as date) as month from transactions_k",
     "transactions_k",
 )
+# Staged transactions with broken values; what does not convert is spelled out.
+CTES["broken_t"] = (
+    ("transactions_t",),
+    """
+select *, transaction_id % 11 = 0 or transaction_id % 13 = 0 as bad_time, transaction_id % 17 = 0 as bad_quantity,
+ strftime(transaction_timestamp, '%d/%m/%Y %H:%M:%S.%f') as time_text
+from transactions_t""",
+)
+oracle(
+    "in_typed_rows",
+    f"select {_STAGED.replace(_TEXT_TIME, 'transaction_timestamp')} from broken_t where not bad_time and not bad_quantity",
+    "broken_t",
+)
+oracle(
+    "in_typed_rejects",
+    "select "
+    + _STAGED.replace(
+        _TEXT_TIME,
+        "case when transaction_id % 11 = 0 then '31/02/2023 10:00' when transaction_id % 13 = 0 then 'x' || time_text"
+        " else time_text end as transaction_timestamp",
+    ).replace(
+        "quantity::bigint as quantity",
+        "quantity::varchar || case when bad_quantity then ' pcs' else '' end as quantity",
+    )
+    + ", case when bad_time and bad_quantity then 'transaction_timestamp,quantity' when bad_time"
+    " then 'transaction_timestamp' else 'quantity' end as failed_columns from broken_t where bad_time or bad_quantity",
+    "broken_t",
+)
+oracle(
+    "in_typed_counts",
+    "select 'transaction_timestamp' as column_name, count(*) filter (where bad_time) as lost_values from broken_t"
+    " union all select 'quantity', count(*) filter (where bad_quantity) from broken_t",
+    "broken_t",
+)
+oracle(
+    "in_write_table_again",
+    _ORACLE["in_write_table"]
+    + " where refund_flag = 0 or date_trunc('month', transaction_timestamp) <> date '1996-03-01'",
+)
+oracle(
+    "in_bucketed_join",
+    "select customer_id::bigint as customer_id, country, sum(gross_revenue)::double as spent, count(*) as orders"
+    " from transactions_k join customers_k using (customer_id) group by customer_id, country",
+    "transactions_k",
+    "customers_k",
+)
+oracle(
+    "running_revenue_by_time",
+    "select transaction_id::bigint as transaction_id, transaction_timestamp, gross_revenue::double as gross_revenue,"
+    " (sum(gross_revenue) over (order by transaction_timestamp nulls first))::double as running_revenue"
+    " from transactions_t",
+    "transactions_t",
+)
+oracle(
+    "running_price_by_name",
+    "select product_id, name, price::double as price, coalesce(upto, 0)::double as running_price,"
+    " coalesce(upto - ties, 0)::double as price_ahead from (select *,"
+    " sum(price) over (order by name desc nulls last) as upto,"
+    " sum(price) over (order by name desc nulls last range between current row and current row) as ties"
+    " from (select p_partkey::bigint as product_id, case when p_partkey % 7 <> 0 then p_name end as name,"
+    " p_retailprice::decimal(18,2) as price from part))",
+)
+oracle(
+    "running_events_by_duration",
+    "select event_id::bigint as event_id, session_duration_sec::double as duration, 1::bigint as one,"
+    " (count(*) over (order by session_duration_sec::double nulls first))::bigint as events_so_far from events_t",
+    "events_t",
+)
 oracle(
     "in_register_views",
     "select category, count(*) as products, sum(total_units_sold)::bigint as units_sold"

@@ -241,3 +241,27 @@ def staged_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             "campaign_id": _zero_for_null,
         },
     )
+
+
+def broken_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged transactions, quantities as text too, some with values that do not convert."""
+    key, time = F.col("transaction_id"), F.col("transaction_timestamp")
+    pieces = F.col("quantity").cast("string")
+    return staged_transactions(spark, sf_dir).withColumns(
+        {
+            "transaction_timestamp": F.when(key % 11 == 0, "31/02/2023 10:00")
+            .when(key % 13 == 0, F.concat(F.lit("x"), time))
+            .otherwise(time),
+            "quantity": F.when(key % 17 == 0, F.concat(pieces, F.lit(" pcs"))).otherwise(pieces),
+        }
+    )
+
+
+def part_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products by name, every seventh without one."""
+    key = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select(
+        key.cast("bigint").alias("product_id"),
+        _null_every(7, key, F.col("p_name")).alias("name"),
+        F.col("p_retailprice").cast("decimal(18,2)").alias("price"),
+    )

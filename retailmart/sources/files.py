@@ -5,8 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from tempfile import mkdtemp
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,23 +71,134 @@ def type_staging(
     return df.select(*[typed(c) for c in df.columns])
 
 
+class Staged(NamedTuple):
+    """Rows whose values all converted, the others as they were staged, and how many values each column lost."""
+
+    typed: DataFrame
+    rejects: DataFrame
+    lost: dict[str, int]
+
+    def counts(self) -> DataFrame:
+        """``lost`` as (column_name, lost_values)."""
+        spark = self.typed.sparkSession
+        return spark.createDataFrame(list(self.lost.items()), "column_name string, lost_values bigint")
+
+
+class ConversionError(ValueError):
+    """Values that do not convert, where none may be lost."""
+
+
+def _free(prefix: str, columns: Sequence[str]) -> str:
+    """``prefix``, made longer until no column begins with it."""
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
+def with_losses(
+    df: DataFrame, rules: Mapping[str, str | Callable[[Column], Column]], mark: str = "_staging_"
+) -> DataFrame:
+    """``type_staging`` with the columns of ``rules`` as they were, named with ``mark`` in front, and ``mark`` itself: the
+    names of the columns that lost a value. Conversions stand in the plan once."""
+    ruled = [c for c in df.columns if c in rules]
+    both = type_staging(df.select("*", *[F.col(c).alias(mark + c) for c in ruled]), rules)
+    lost = [F.when(F.col(mark + c).isNotNull() & F.col(c).isNull(), F.lit(c)) for c in ruled]
+    return both.withColumn(mark, F.filter(F.array(*lost), lambda x: x.isNotNull()))
+
+
+def staged_types(
+    df: DataFrame,
+    rules: Mapping[str, str | Callable[[Column], Column]],
+    path: str | None = None,
+    failed: str = "failed_columns",
+    strict: bool = False,
+) -> Staged:
+    """``type_staging`` that loses no value unseen: typed rows, rejects, and the values lost per column.
+
+    A value is lost when it is not NULL and its conversion is. ``df`` is read once: its rows are written to ``path`` (a
+    new scratch folder if not given) with their typed values, and those that lost a value also as they were staged; the
+    counts are observed on the way. Both frames read what was written, so they agree with the counts, and row groups
+    without rejects are skipped when rejects are read. ``rejects`` holds the staged columns and ``failed``, the names of
+    those that did not convert, in the order of ``df``. ``strict`` raises ``ConversionError`` instead of returning
+    rejects, as a plain conversion would stop. An empty frame gives empty frames and counts of 0.
+    """
+    unknown = [c for c in rules if c not in df.columns]
+    if unknown:
+        raise ValueError(f"no such columns: {unknown}")
+    ruled = [c for c in df.columns if c in rules]
+    mark = _free("_staging_", df.columns)
+    rejected = f"{mark}_rejected"
+    marked = with_losses(df, rules, mark).withColumn(rejected, F.size(mark) > 0)
+    seen = Observation()
+    counts = [F.count_if(F.array_contains(mark, c)).alias(f"c{i}") for i, c in enumerate(ruled)]
+    watched = marked.observe(seen, F.count("*").alias("rows"), *counts)
+    raw = [F.when(F.col(rejected), F.col(mark + c)).alias(mark + c) for c in ruled]
+    written = watched.select(rejected, mark, *df.columns, *raw)
+    path = path or scratch_path(df.sparkSession, "staged")
+    written.write.parquet(path)
+    found = {c: int(seen.get[f"c{i}"]) for i, c in enumerate(ruled)}
+    if strict and any(found.values()):
+        raise ConversionError(f"values that do not convert: { {c: n for c, n in found.items() if n} }")
+    back = df.sparkSession.read.schema(written.schema).parquet(path)
+    staged = [F.col(mark + c).alias(c) if c in rules else F.col(c) for c in df.columns]
+    return Staged(
+        back.filter(~F.col(rejected)).select(*df.columns),
+        back.filter(F.col(rejected)).select(*staged, F.col(mark).alias(failed)),
+        found,
+    )
+
+
+#: Mode of ``write_table`` by which a load can be run again.
+REPLACE_PARTITIONS = "replace_partitions"
+
+
 def write_table(
     df: DataFrame,
     path: str,
     partition_by: Sequence[str] = (),
     mode: str = "errorifexists",
+    bucket_by: Sequence[str] = (),
+    buckets: int = 0,
+    name: str | None = None,
 ) -> str:
     """Write parquet. Partitioned tables are rebalanced by partition value first.
 
     The rebalance lets Spark split a large partition value over several tasks and
     put small ones together, which gives files of sound size on skewed dates.
+
+    ``mode="replace_partitions"`` makes a load repeatable: the partitions found in ``df`` (NULL is one) are put in place
+    of those that ``path`` holds, all others stay, and new ones are added. The new files become visible when the job
+    commits; a load that failed on the way is run again. A partition without rows in ``df`` is left as it was.
+
+    ``bucket_by`` deals the rows into ``buckets`` by a hash of these columns, sorted in each. Spark knows about buckets
+    through its catalog, so the table gets a ``name`` there; joins and groupings by these columns then need no shuffle
+    between tables of as many buckets.
     """
-    if partition_by:
-        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    together = [*partition_by, *bucket_by]
+    if together:
+        df = df.hint("rebalance", *[F.col(c) for c in together])
+    writer = df.write
+    if mode == REPLACE_PARTITIONS:
+        if not partition_by:
+            raise ValueError(f"{REPLACE_PARTITIONS} needs partition_by")
+        writer, mode = writer.option("partitionOverwriteMode", "dynamic"), "overwrite"
+    writer = writer.mode(mode).partitionBy(*partition_by)
+    if not bucket_by:
+        writer.parquet(path)
+        return path
+    if not name or buckets < 1:
+        raise ValueError("a bucketed table needs a name and a number of buckets")
+    writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by).saveAsTable(name, format="parquet", path=path)
     return path
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to a scratch folder and read back: later steps neither repeat nor change it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def register_views(frames: Mapping[str, DataFrame]) -> None:
     """Give SQL users the frames by name."""
     for name, frame in frames.items():

@@ -6,14 +6,18 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from retailmart.functions import parse_dmy_date
+from retailmart.functions import parse_dmy_date, parse_dmy_timestamp
 from retailmart.plans.ecommerce import UNKNOWN_CAMPAIGN, clean_campaigns
 from retailmart.sources.files import (
+    REPLACE_PARTITIONS,
+    ConversionError,
     add_unknown_member,
     csv_ingest,
     register_views,
     scratch_path,
+    staged_types,
     type_staging,
+    with_losses,
     write_table,
 )
 
@@ -87,6 +91,114 @@ def test_written_table_reads_back_by_month(spark, rows, tmp_path):
     assert "PartitionFilters: [isnotnull(month" in one._jdf.queryExecution().toString()
 
 
+RULES = {"d": parse_dmy_date, "u": "decimal(5,2)", "n": "int"}
+STAGED = [
+    (1, "31/12/2023", 0.153, "7", None),
+    (2, "bad", None, "x", "kept"),
+    (3, None, 12345.0, "8", None),
+    (4, "1/2/2023", 1.0, "", None),
+    (5, None, None, None, None),
+]
+
+
+def test_no_value_is_lost_unseen(spark, rows):
+    df = spark.createDataFrame(STAGED, "k int, d string, u double, n string, _staging_d string")
+    got = staged_types(df, RULES)
+    assert got.lost == {"d": 1, "u": 1, "n": 2}
+    assert rows(got.counts()) == [("d", 1), ("n", 2), ("u", 1)]
+    assert rows(got.typed, "k", "d", "u", "n") == [
+        (1, dt.date(2023, 12, 31), Decimal("0.15"), 7),
+        (5, None, None, None),
+    ]
+    assert rows(got.rejects) == [
+        (2, "bad", None, "x", "kept", ["d", "n"]),
+        (3, None, 12345.0, "8", None, ["u"]),
+        (4, "1/2/2023", 1.0, "", None, ["n"]),
+    ]
+    assert got.typed.schema == type_staging(df, RULES).schema
+    assert got.rejects.schema[:-1] == df.schema
+
+
+def test_the_source_is_read_once(spark):
+    """Rows, rejects and counts come from one run of the input."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame(STAGED, "k int, d string, u double, n string, s string").mapInArrow(
+        counted, "k int, d string, u double, n string, s string"
+    )
+    got = staged_types(df, RULES)
+    assert (got.typed.count(), got.rejects.count(), sum(got.lost.values())) == (2, 3, 4)
+    assert seen.value == len(STAGED)
+
+
+def test_each_conversion_stands_in_the_plan_once(spark):
+    df = spark.createDataFrame([("1/2/2023 10:00", "7")], "t string, n string")
+    marked = with_losses(df, {"t": parse_dmy_timestamp, "n": "int"}, "f_").withColumn("r", F.size("f_") > 0)
+    plan = marked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1
+
+
+def test_strict_typing_stops(spark):
+    df = spark.createDataFrame(STAGED, "k int, d string, u double, n string, s string")
+    with pytest.raises(ConversionError, match="'n': 2"):
+        staged_types(df, RULES, strict=True)
+    assert staged_types(df.filter("k in (1, 5)"), RULES, strict=True).typed.count() == 2
+    assert staged_types(df.limit(0), RULES, strict=True).lost == {"d": 0, "u": 0, "n": 0}
+    with pytest.raises(ValueError, match="no such columns"):
+        staged_types(df, {"x": "int"})
+
+
+def monthly(spark, rows_of):
+    return spark.createDataFrame(rows_of, "id int, month date")
+
+
+def test_a_load_can_be_run_again(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    jan, feb, mar = (dt.date(2023, m, 1) for m in (1, 2, 3))
+    load = monthly(spark, [(1, jan), (2, feb), (3, feb), (4, None)])
+    for _ in range(2):
+        write_table(load, path, ["month"], mode=REPLACE_PARTITIONS)
+        assert rows(spark.read.parquet(path), "id", "month") == rows(load)
+    write_table(monthly(spark, [(5, feb), (6, mar), (7, None)]), path, ["month"], mode=REPLACE_PARTITIONS)
+    back = spark.read.parquet(path)
+    assert rows(back, "id", "month") == [(1, jan), (5, feb), (6, mar), (7, None)]
+    write_table(load.limit(0), path, ["month"], mode=REPLACE_PARTITIONS)
+    assert rows(spark.read.parquet(path)) == rows(back)
+    with pytest.raises(ValueError, match="partition_by"):
+        write_table(load, path, mode=REPLACE_PARTITIONS)
+
+
+def test_a_failed_load_leaves_the_table(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    load = monthly(spark, [(k, dt.date(2023, 1 + k % 3, 1)) for k in range(30)])
+    write_table(load, path, ["month"], mode=REPLACE_PARTITIONS)
+    broken = load.withColumn("id", F.when(F.col("id") == 29, F.raise_error(F.lit("stop")).cast("int")).otherwise(-1))
+    with pytest.raises(Exception, match="stop"):
+        write_table(broken, path, ["month"], mode=REPLACE_PARTITIONS)
+    assert rows(spark.read.parquet(path), "id", "month") == rows(load)
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, rows, tmp_path):
+    fact = spark.range(0, 3000, 1, 4).selectExpr("if(id % 3 = 0, 7L, id % 50) as k", "id as v")
+    dim = spark.range(50).selectExpr("id as k", "concat('n', id) as name")
+    for frame, name in ((fact, "bucketed_fact"), (dim, "bucketed_dim")):
+        write_table(frame, str(tmp_path / name), bucket_by=["k"], buckets=4, name=name)
+    spend = spark.table("bucketed_fact").groupBy("k").agg(F.sum("v").alias("v"))
+    joined = spend.hint("merge").join(spark.table("bucketed_dim"), "k")
+    joined.collect()
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert rows(joined) == rows(fact.groupBy("k").agg(F.sum("v").alias("v")).join(dim, "k"))
+    for name in ("bucketed_fact", "bucketed_dim"):
+        spark.sql(f"drop table {name}")
+    with pytest.raises(ValueError, match="name"):
+        write_table(fact, str(tmp_path / "x"), bucket_by=["k"], buckets=4)
+
+
 def test_views(spark):
     register_views({"some_numbers": spark.range(4)})
     assert spark.sql("select sum(id) from some_numbers").first()[0] == 6

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 import pytest
 
+from retailmart.operators import running
 from retailmart.operators.running import pareto, running_total
 
 
@@ -53,10 +54,66 @@ def test_plain_window_and_levels_agree(spark, rows):
     assert rows(plain, "month", "r", "b") == rows(levels, "month", "r", "b")
 
 
-def test_other_orders_are_refused(spark):
-    df = spark.createDataFrame([("a", 1)], "o string, m int")
-    with pytest.raises(TypeError):
-        running_total(df, "o", "m")
+def any_order(kind, seed):
+    rng = random.Random(seed)
+    pools = {
+        "timestamp_ntz": [dt.datetime(2023, 1, 1, i % 24, i % 60, 0, i) for i in range(60)],
+        "timestamp": [dt.datetime(1901, 1, 1) + dt.timedelta(days=400 * i, microseconds=i) for i in range(60)],
+        "string": ["", " ", "a", "A", "a ", "Zürich", "zebra", "漢字", *(f"name {i}" for i in range(40))],
+        "double": [0.0, -0.0, 1.5, -1.5, 1e300, -1e300, float("inf"), float("-inf"), *(i / 7 for i in range(40))],
+        "boolean": [True, False],
+    }
+    return [
+        (k, None if rng.random() < 0.05 else rng.choice(pools[kind]), Decimal(rng.randrange(-500, 1000)) / 100)
+        for k in range(400)
+    ]
+
+
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "string", "double", "boolean"])
+def test_any_order_against_brute_force(spark, monkeypatch, kind, descending):
+    monkeypatch.setattr(running, "RANGE_VALUES", 5)
+    data = any_order(kind, 3)
+    df = spark.createDataFrame(data, f"k int, o {kind}, m decimal(18,2)")
+    got = running_total(df, "o", "m", "r", descending=descending, before="b")
+    assert got.columns == ["k", "o", "m", "r", "b"]
+    values = sorted({o for _, o, _ in data if o is not None})
+    numbered = [(k, None if o is None else values.index(o), m) for k, o, m in data]
+    assert sorted((r.k, r.r, r.b) for r in got.collect()) == brute(numbered, descending)
+
+
+def test_not_a_number_sorts_last(spark):
+    df = spark.createDataFrame([(1, 2.0, 1), (2, float("nan"), 2), (3, None, 4), (4, float("nan"), 8)], "k int, o double, m int")
+    assert {r.k: r.r for r in running_total(df, "o", "m", "r").collect()} == {3: 4, 1: 5, 2: 15, 4: 15}
+
+
+def test_any_order_of_nothing(spark):
+    df = spark.createDataFrame([], "k int, o string, m decimal(18,2)")
+    assert running_total(df, "o", "m", "r").collect() == []
+    nulls = spark.createDataFrame([(1, None, None), (2, "a", None)], "k int, o string, m decimal(18,2)")
+    assert [r.r for r in running_total(nulls, "o", "m", "r").collect()] == [0, 0]
+
+
+def test_ranges_bound_the_windows(spark, monkeypatch):
+    """A third of the rows tied; no range holds much more than its share of the different values."""
+    seen = []
+    real = running.stored
+    monkeypatch.setattr(running, "RANGE_VALUES", 500)
+    monkeypatch.setattr(running, "stored", lambda df, name: seen.append(real(df, name)) or seen[-1])
+    df = spark.range(0, 60_000, 1, 8).selectExpr("if(id % 3 = 0, 'tie', concat('v', id)) as o", "1 as m")
+    got = running_total(df, "o", "m", "r")
+    assert got.agg({"r": "max"}).first()[0] == 60_000
+    sizes = [r["count"] for r in seen[-1].groupBy("_range").count().collect()]
+    assert len(sizes) > 60 and max(sizes) < 2500
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan
+
+
+def test_any_order_half_of_the_rows_tied(spark, largest_task):
+    tied = spark.range(0, 40_000, 1, 8).selectExpr("if(id % 2 = 0, 'x', concat('v', id)) as o", "1 as m")
+    total, largest = largest_task(lambda: running_total(tied, "o", "m", "r"))
+    assert total == 40_000
+    assert largest < 10_000
 
 
 def items(spark):
