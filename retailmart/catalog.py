@@ -28,6 +28,7 @@ from retailmart.sources import bindings, schemas
 from retailmart.sources.files import (
     REPLACE_PARTITIONS,
     csv_ingest,
+    csv_ingest_traced,
     register_views,
     scratch_path,
     staged_types,
@@ -178,6 +179,25 @@ def _csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("in_csv_reject_reasons")
+def _csv_reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files without a header in which refunds have no whole quantity and some lines lack their last field."""
+    staged = bindings.staged_transactions(spark, sf_dir)
+    pieces = F.col("quantity").cast("string")
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in staged.columns]
+    fields[staged.columns.index("quantity")] = F.when(F.col("refund_flag") == 1, F.concat(pieces, F.lit(" pcs"))).otherwise(pieces)
+    short = F.col("transaction_id") % 101 == 0
+    line = F.when(short, F.concat_ws(",", *fields[:-1])).otherwise(F.concat_ws(",", *fields))
+    path = scratch_path(spark, "csv")
+    staged.select(line.alias("value")).write.text(path)
+    rows, rejects = csv_ingest_traced(spark, path, schemas.TRANSACTIONS_STAGED, header=False)
+    placed = F.col("file").contains(path.rsplit("/", 1)[-1]) & (F.col("block_start") >= 0)
+    traced = rejects.groupBy("reason").agg(F.count("*").alias("n_rows"), F.count_if(placed).alias("n_placed"))
+    return traced.unionByName(rows.select(F.lit("good").alias("reason"), F.lit(0).alias("n_placed")).groupBy("reason").agg(
+        F.count("*").alias("n_rows"), F.sum("n_placed").alias("n_placed")
+    ))
+
+
 @query("in_type_staging")
 def _type_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return type_staging(
@@ -451,6 +471,17 @@ for _name, (_table, _column, _where, _desc) in FREQUENCIES.items():
         ),
     )
 
+# The frequencies of each table in one scan.
+for _name in TABLES:
+    _on_typed(
+        f"dq_profile_frequencies_{_name}",
+        lambda s, t=_name: dq.profile_frequencies(
+            getattr(s, t),
+            {n: (c, F.expr(w) if w else None) for n, (table, c, w, _) in FREQUENCIES.items() if table == t},
+        ),
+    )
+    _on_typed(f"dq_profile_{_name}", lambda s, t=_name: dq.profile(getattr(s, t), getattr(s, t).columns))
+
 _on_typed(
     "dq_distinct_values_country", lambda s: dq.distinct_values(s.customers, ["country"])
 )
@@ -475,6 +506,31 @@ for _name, (_table, _columns) in DISTINCT_COUNTS.items():
         lambda s, t=_table, c=_columns: dq.distinct_count(getattr(s, t), c),
     )
 
+
+
+@query("dq_sketch_customers_by_month")
+def _sketch_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and products per month: exact, and whether the stored sketches, united for all months, come within five
+    standard errors."""
+    fact = bindings.transactions(spark, sf_dir)
+    month = F.trunc(F.col("transaction_timestamp").cast("date"), "MM").alias("month")
+    counted = ["customer_id", "product_id"]
+    path = scratch_path(spark, "sketches")
+    write_table(dq.distinct_sketches(fact, [month], counted), path, ["month"], mode=REPLACE_PARTITIONS)
+    stored = spark.read.schema("customer_id binary, product_id binary, month date").parquet(path)
+    no_month = F.lit(None).cast("date").alias("month")
+    exact = [F.count_distinct(c).alias(c) for c in counted]
+    monthly = fact.groupBy(month).agg(*exact).unionByName(fact.agg(*exact).select(no_month, *counted))
+    united = dq.united_distinct_count(stored, counted, ["month"]).unionByName(
+        dq.united_distinct_count(stored, counted).select(no_month, *counted)
+    )
+    near = [
+        (F.abs(F.col(f"e.{c}") - F.col(c)) <= 5 * dq.sketch_error() * F.col(c)).alias(f"{c}_near") for c in counted
+    ]
+    guesses = united.select(F.col("month").alias("_month"), F.struct(*counted).alias("e"))
+    return monthly.join(guesses, monthly["month"].eqNullSafe(guesses["_month"])).select("month", *counted, *near)
+
+
 # name: (fact, dimension, key)
 FOREIGN_KEYS = {
     "transaction_customer": ("transactions", "customers", "customer_id"),
@@ -491,6 +547,37 @@ for _name, (_fact, _dim, _key) in FOREIGN_KEYS.items():
     )
 
 
+# The checks above find nothing where the tables are sound; here every seventh row of a table is there twice, and every
+# fifth row of a dimension is missing.
+_on_cafe_raw(
+    "dq_duplicate_keys_cafe_repeated",
+    lambda df: dq.duplicate_keys(
+        df.unionByName(df.filter(F.substring("Transaction_ID", -1, 1) == "7")), ["Transaction_ID"]
+    ),
+)
+for _name, _key in (("campaigns", "campaign_id"), ("events", "event_id")):
+    _on_typed(
+        f"dq_duplicate_keys_{_name}_repeated",
+        lambda s, t=_name, k=_key: dq.duplicate_keys(
+            getattr(s, t).unionByName(getattr(s, t).filter(F.col(k) % 7 == 0)), [k]
+        ),
+    )
+for _name, _key in (("customers", "customer_id"), ("products", "product_id")):
+    _on_typed(
+        f"dq_duplicate_rows_{_name}_repeated",
+        lambda s, t=_name, k=_key: dq.duplicate_rows(
+            getattr(s, t).unionByName(getattr(s, t).filter(F.col(k) % 7 == 0)), [k], [k]
+        ),
+    )
+for _name, (_fact, _dim, _key) in FOREIGN_KEYS.items():
+    _on_typed(
+        f"dq_orphan_keys_{_name}_lacking",
+        lambda s, f=_fact, d=_dim, k=_key: dq.orphan_keys(
+            getattr(s, f), getattr(s, d).filter(F.col(k) % 5 != 0), k
+        ),
+    )
+
+
 @query("dq_orphan_keys_default_campaign")
 def _orphan_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What replacing missing keys by 0 would break, were there no unknown member."""
@@ -788,3 +875,38 @@ _on_typed(
         "events_so_far",
     ),
 )
+
+# Text under the server's collation
+
+
+def collated_shop(spark: SparkSession, sf_dir: str) -> _Shop:
+    """The cleaned shop with loosely spelled channels and event types that compare as on the server."""
+    shop = clean_shop(spark, sf_dir)
+    loose = bindings.loosely_spelled_campaigns(spark, sf_dir)
+    events = bindings.loosely_spelled_events(spark, sf_dir)
+    shop.campaigns = shop_plan.clean_campaigns(schemas.server_collated(loose, ["channel"]))
+    shop.events = shop_plan.clean_events(schemas.server_collated(events, ["event_type"]))
+    return shop
+
+
+def _collated_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = schemas.server_collated(bindings.loosely_spelled_cafe(spark, sf_dir), ["Item", "Location"])
+    return cafe.gold_cafe_sales(cafe.cafe_silver(raw))
+
+
+for _name, _fn in (
+    ("gv_campaign_performance", shop_plan.campaign_performance),
+    ("channel_share", an.channel_share),
+    ("funnel_conversion", an.funnel_conversion),
+):
+    query(f"{_name}_collated")(
+        lambda spark, sf_dir, fn=_fn: schemas.plain_text(fn(collated_shop(spark, sf_dir)))
+    )
+for _name, _fn in (
+    ("cl_cafe_silver", lambda gold: gold),
+    ("payment_by_location", cafe.payment_by_location),
+    ("location_aov", cafe.location_aov),
+):
+    query(f"{_name}_collated")(
+        lambda spark, sf_dir, fn=_fn: schemas.plain_text(fn(_collated_gold(spark, sf_dir)))
+    )

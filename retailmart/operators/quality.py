@@ -128,6 +128,56 @@ def category_frequency(
     return counted.orderBy(F.col(out).desc() if descending else F.col(out).asc(), column)
 
 
+def profile_frequencies(
+    df: DataFrame, columns: Sequence[str] | Mapping[str, tuple[str, Column | None]], out: str = "n_rows"
+) -> DataFrame:
+    """The frequencies of many columns from one scan: (column_name, value, ``out``), values as text, NULL one of them.
+
+    ``columns`` are names, or {name: (column, filter)} to count a column under conditions of its own. Each row is
+    unpivoted where it is and folded in its task, so that one row per column and value leaves it; the rows equal those
+    of ``category_frequency`` column by column.
+    """
+    if not isinstance(columns, Mapping):
+        columns = {c: (c, None) for c in columns}
+    counted = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.col(column).cast("string").alias("value"),
+            (F.lit(True) if where is None else F.coalesce(where, F.lit(False))).alias("kept"),
+        )
+        for name, (column, where) in columns.items()
+    ]
+    pairs = F.array(*counted)
+    if any(where is not None for _, where in columns.values()):
+        pairs = F.filter(pairs, lambda pair: pair["kept"])
+    unpivoted = df.select(F.explode(pairs).alias("pair"))
+    return unpivoted.groupBy(F.col("pair.column_name"), F.col("pair.value")).agg(F.count("*").alias(out))
+
+
+def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per column, from one scan: rows, missing and different values, the most frequent value and its rows.
+
+    Of equally frequent values the first in text order is shown. An empty frame has no rows.
+    """
+    n, value = F.col("n_rows"), F.col("value")
+    known = value.isNotNull()
+    first = F.min(F.when(known, F.struct((-n).alias("less"), value.alias("value")))).alias("_first")
+    folded = profile_frequencies(df, columns).groupBy("column_name").agg(
+        F.sum(n).alias("total_rows"),
+        F.coalesce(F.sum(F.when(~known, n)), F.lit(0)).alias("missing"),
+        F.count_if(known).alias("distinct_values"),
+        first,
+    )
+    return folded.select(
+        "column_name",
+        "total_rows",
+        "missing",
+        "distinct_values",
+        F.col("_first.value").alias("top_value"),
+        (-F.col("_first.less")).alias("top_rows"),
+    )
+
+
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*columns).distinct()
 
@@ -144,6 +194,30 @@ def distinct_count(
     return df.agg(*[count(F.col(c)).alias(c) for c in columns])
 
 
+# Registers of a sketch as a power of two: 16,384 give a relative standard error of 0.8 %.
+SKETCH_BITS = 14
+
+
+def sketch_error(bits: int = SKETCH_BITS) -> float:
+    """The relative standard error of a sketch's estimate."""
+    return 1.04 / 2 ** (bits / 2)
+
+
+def distinct_sketches(
+    df: DataFrame, by: Sequence[str | Column], columns: Sequence[str], bits: int = SKETCH_BITS
+) -> DataFrame:
+    """Per ``by`` group a sketch of the different non-NULL values of each column, as binary under the column's name.
+
+    Sketches are small whatever the group, can be stored, e.g. one row a month, and united later without the rows.
+    """
+    return df.groupBy(*by).agg(*[F.hll_sketch_agg(F.col(c), F.lit(bits)).alias(c) for c in columns])
+
+
+def united_distinct_count(sketches: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Estimated different values over all groups of stored sketches, overall or per ``by``."""
+    return sketches.groupBy(*by).agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(c) for c in columns])
+
+
 def orphan_keys(
     fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None, out: str = "n_rows"
 ) -> DataFrame:

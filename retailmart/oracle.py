@@ -1391,3 +1391,114 @@ oracle(
     " group by customer_id having sum(gross_revenue) is not null))",
     "transactions_k",
 )
+
+# Profiles in one scan
+for _table in ("campaigns", "customers", "products", "events", "transactions"):
+    _parts = [
+        f"select '{_name}' as column_name, cast({_column} as varchar) as value, count(*) as n_rows from {_from} t {_where}"
+        f" group by t.{_column}"
+        for _name, (_from, _column, _where) in _FREQUENCIES.items()
+        if _from == f"{_table}_t"
+    ]
+    oracle(f"dq_profile_frequencies_{_table}", " union all ".join(_parts), f"{_table}_t")
+_DATES = {"start_date", "end_date", "signup_date", "launch_date"}
+_TIMES = {"transaction_timestamp", "events_timestamp"}
+
+
+def _as_text(column: str) -> str:
+    """A value as Spark shows it: times without a fraction of zeros."""
+    if column in _TIMES:
+        return f"regexp_replace(regexp_replace(strftime({column}, '%Y-%m-%d %H:%M:%S.%f'), '0+$', ''), '\\.$', '')"
+    return f"cast({column} as varchar)"
+
+
+for _table, _names in {
+    "campaigns": "campaign_id channel objective start_date end_date target_segment expected_uplift",
+    "customers": "customer_id signup_date country age gender loyalty_tier acquisition_channel",
+    "products": "product_id category brand base_price launch_date is_premium",
+    "events": "event_id events_timestamp customer_id session_id event_type product_id device_type traffic_source"
+    " campaign_id page_category session_duration_sec experiment_group",
+    "transactions": "transaction_id transaction_timestamp customer_id product_id quantity discount_applied gross_revenue"
+    " campaign_id refund_flag",
+}.items():
+    _parts = [
+        f"select '{_column}' as column_name, {_as_text(_column)} as value, count(*) as n from {_table}_t group by {_column}"
+        for _column in _names.split()
+    ]
+    oracle(
+        f"dq_profile_{_table}",
+        "select column_name, sum(n)::bigint as total_rows, coalesce(sum(n) filter (where value is null), 0)::bigint"
+        " as missing, count(value) as distinct_values,"
+        " (arg_min(value, struct_pack(a := -n, b := value)) filter (where value is not null)) as top_value,"
+        " (max(n) filter (where value is not null))::bigint as top_rows"
+        f" from ({' union all '.join(_parts)}) group by column_name",
+        f"{_table}_t",
+    )
+oracle(
+    "dq_sketch_customers_by_month",
+    "select month, customer_id, product_id, 1::bigint as customer_id_near, 1::bigint as product_id_near from ("
+    " select cast(date_trunc('month', transaction_timestamp) as date) as month,"
+    "  count(distinct customer_id) as customer_id, count(distinct product_id) as product_id"
+    "  from transactions_t group by grouping sets ((1), ()))",
+    "transactions_t",
+)
+oracle(
+    "in_csv_reject_reasons",
+    "select reason, count(*) as n_rows, (case when reason = 'good' then 0 else count(*) end)::bigint as n_placed from ("
+    " select case when transaction_id % 101 = 0 then 'number of fields'"
+    "  when refund_flag = 1 then 'quantity: ' || quantity::varchar || ' pcs' else 'good' end as reason"
+    " from transactions_t) group by reason",
+    "transactions_t",
+)
+
+# Checks on tables with faults
+oracle(
+    "dq_duplicate_keys_cafe_repeated",
+    "select Transaction_ID, 2::bigint as duplicate_count, 0::bigint as null_key from cafe_raw"
+    " where Transaction_ID like '%7'",
+    "cafe_raw",
+)
+for _table, _key in (("campaigns", "campaign_id"), ("events", "event_id")):
+    oracle(
+        f"dq_duplicate_keys_{_table}_repeated",
+        f"select {_key}::bigint as {_key}, 2::bigint as duplicate_count, 0::bigint as null_key from {_table}_t"
+        f" where {_key} % 7 = 0",
+        f"{_table}_t",
+    )
+for _table, _key in (("customers", "customer_id"), ("products", "product_id")):
+    oracle(
+        f"dq_duplicate_rows_{_table}_repeated",
+        f"select {_key}::bigint as {_key}, 2::bigint as duplicate_count from {_table}_t, range(2) where {_key} % 7 = 0",
+        f"{_table}_t",
+    )
+for _name in ("transaction_customer", "transaction_product", "transaction_campaign", "event_customer", "event_product", "event_campaign"):
+    _from, _key = f"{_name.split('_')[0]}s_t", f"{_name.split('_')[1]}_id"
+    _dim = f"{_name.split('_')[1]}s_t"
+    oracle(
+        f"dq_orphan_keys_{_name}_lacking",
+        f"select f.{_key}::bigint as {_key}, count(*) as n_rows from {_from} f where f.{_key} is not null"
+        f" and f.{_key} not in (select {_key} from {_dim} where {_key} % 5 <> 0) group by f.{_key}",
+        _from,
+        _dim,
+    )
+
+# Text under the server's collation: letter case and trailing blanks do not count
+_KNOWN = "(select * replace (lower(channel) as channel) from campaign_performance where campaign_id % 10 <> 7)"
+oracle(
+    "gv_campaign_performance_collated",
+    _ORACLE["gv_campaign_performance"] .replace("from campaign_performance", f"from {_KNOWN}"),
+)
+oracle(
+    "channel_share_collated",
+    "select channel, campaigns, r::double as total_revenue,"
+    f" {raw_share('r', 'w')} as revenue_share_pct from ({_CHANNELS.replace('from campaign_performance', f'from {_KNOWN}')})",
+    "campaign_performance",
+)
+oracle("funnel_conversion_collated", _ORACLE["funnel_conversion"])
+oracle(
+    "cl_cafe_silver_collated",
+    f"select * replace (lower(Item) as Item, lower(Location) as Location) from (select {CAFE_COLUMNS} from gold)",
+    "gold",
+)
+oracle("payment_by_location_collated", f"select * replace (lower(Location) as Location) from ({_ORACLE['payment_by_location']})")
+oracle("location_aov_collated", f"select * replace (lower(Channel) as Channel) from ({_ORACLE['location_aov']})")

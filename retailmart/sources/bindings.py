@@ -265,3 +265,27 @@ def part_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         _null_every(7, key, F.col("p_name")).alias("name"),
         F.col("p_retailprice").cast("decimal(18,2)").alias("price"),
     )
+
+
+def _spelled(key: Column, text: Column) -> Column:
+    """One text in several spellings that a database server takes for equal."""
+    return F.when(key % 3 == 0, F.concat(F.upper(text), F.lit("  "))).when(key % 3 == 1, F.lower(text)).otherwise(text)
+
+
+def loosely_spelled_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Campaigns whose channels are spelled in several ways, every tenth unknown."""
+    key = F.col("campaign_id")
+    channel = F.when(key % 10 == 7, "unknown").otherwise(F.col("channel"))
+    return campaigns(spark, sf_dir).withColumn("channel", _spelled(key, channel))
+
+
+def loosely_spelled_cafe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cafe's raw sales with items, places and placeholders spelled in several ways."""
+    key = F.col("Quantity") + F.length("Transaction_ID")
+    raw = cafe_raw(spark, sf_dir)
+    return raw.withColumns({c: _spelled(F.coalesce(key, F.lit(1)), F.col(c)) for c in ("Item", "Location")})
+
+
+def loosely_spelled_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose types are spelled in several ways."""
+    return events(spark, sf_dir).withColumn("event_type", _spelled(F.col("event_id"), F.col("event_type")))

@@ -14,6 +14,22 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 
 
+def _csv(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, sep: str, header: bool, date_format: str
+) -> DataFrame:
+    """The lines of CSV files by ``schema``, with the text of those that do not fit it."""
+    return (
+        spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
+        .option("header", header)
+        .option("enforceSchema", not header)
+        .option("sep", sep)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("dateFormat", date_format)
+        .csv(path)
+    )
+
+
 def csv_ingest(
     spark: SparkSession,
     path: str | list[str],
@@ -31,16 +47,7 @@ def csv_ingest(
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    read = (
-        spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
-        .option("header", header)
-        .option("enforceSchema", not header)
-        .option("sep", sep)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("dateFormat", date_format)
-        .csv(path)
-    )
+    read = _csv(spark, path, schema, sep, header, date_format)
     # Always true, but reads every column: Spark converts only the columns a query
     # needs and would take a line for good whose other fields are broken.
     every = F.xxhash64(*[f.name for f in schema.fields])
@@ -52,6 +59,61 @@ def csv_ingest(
     return good, rejects
 
 
+class Ingested(NamedTuple):
+    """Rows that fit the schema, and the other lines with their place and what is wrong with them."""
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def csv_ingest_traced(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: str | T.StructType,
+    *,
+    sep: str = ",",
+    header: bool = True,
+    date_format: str = "yyyy-MM-dd",
+    store: str | None = None,
+) -> Ingested:
+    """``csv_ingest`` from one parse, with rejects that can be traced: line, file, block_start, reason.
+
+    The parsed lines are written once, to ``store`` or a scratch folder, and both frames read them there. ``block_start``
+    is the byte at which the part of the file begins in which the line stands. ``reason`` names the columns that do not
+    convert with their values, or says that the number of fields is wrong.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    read = _csv(spark, path, schema, sep, header, date_format)
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block_start"))
+    parsed = read.select(
+        F.struct(*[f.name for f in schema.fields]).alias("row"),
+        F.col(CORRUPT).alias("line"),
+        F.when(F.col(CORRUPT).isNotNull(), place).alias("place"),
+    )
+    store = store or scratch_path(spark, "ingested")
+    parsed.write.parquet(store)
+    back = spark.read.schema(parsed.schema).parquet(store)
+
+    texts = ", ".join(f"`{name}` string" for name in [*schema.names, CORRUPT])
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    bad = back.filter(F.col("line").isNotNull()).select("line", "place.*", F.from_csv("line", texts, options).alias("_t"))
+
+    def converted(f: T.StructField) -> Column:
+        value = F.col(f"_t.{f.name}")
+        return F.try_to_date(value, date_format) if isinstance(f.dataType, T.DateType) else value.try_cast(f.dataType)
+
+    wrong = [
+        F.when(F.col(f"_t.{f.name}").isNotNull() & converted(f).isNull(), F.concat(F.lit(f"{f.name}: "), F.col(f"_t.{f.name}")))
+        for f in schema.fields
+    ]
+    named = F.concat_ws("; ", *wrong)
+    reason = F.when(F.col(f"_t.{CORRUPT}").isNotNull(), "number of fields").when(named != "", named).otherwise("not readable")
+    return Ingested(
+        back.filter(F.col("line").isNull()).select("row.*"), bad.select("line", "file", "block_start", reason.alias("reason"))
+    )
+
+
 def type_staging(
     df: DataFrame, rules: Mapping[str, str | Callable[[Column], Column]]
 ) -> DataFrame:

@@ -13,6 +13,7 @@ from retailmart.sources.files import (
     ConversionError,
     add_unknown_member,
     csv_ingest,
+    csv_ingest_traced,
     register_views,
     scratch_path,
     staged_types,
@@ -59,6 +60,32 @@ def test_csv_rejects_whatever_is_selected(spark, rows, tmp_path):
     assert rows(good, "id") == [(2,)]
 
 
+def test_csv_rejects_can_be_traced(spark, rows, tmp_path):
+    write(tmp_path / "a.csv", 'id,amount,day,note\n1,2.50,2023-01-31,"a,b"\n2,n/a,2023-01-31,x\n3,1.00\n')
+    write(tmp_path / "b.csv", "id,amount,day,note\n4,,,\nx,1.00,31/01/2023,y\n5,1.00,2023-01-01,x,more\n")
+    got = csv_ingest_traced(spark, str(tmp_path / "*.csv"), SCHEMA)
+    assert rows(got.rows) == [(1, Decimal("2.50"), dt.date(2023, 1, 31), "a,b"), (4, None, None, None)]
+    found = [(line, file.rsplit("/", 1)[-1], start, reason) for line, file, start, reason in rows(got.rejects)]
+    assert found == [
+        ("2,n/a,2023-01-31,x", "a.csv", 0, "amount: n/a"),
+        ("3,1.00", "a.csv", 0, "number of fields"),
+        ("5,1.00,2023-01-01,x,more", "b.csv", 0, "number of fields"),
+        ("x,1.00,31/01/2023,y", "b.csv", 0, "id: x; day: 31/01/2023"),
+    ]
+    good, rejects = csv_ingest(spark, str(tmp_path / "*.csv"), SCHEMA)
+    assert rows(good) == rows(got.rows) and rows(rejects) == rows(got.rejects, "line")
+
+
+def test_traced_ingest_reads_the_files_once(spark, rows, tmp_path):
+    """What was parsed is kept: rows and rejects stay after the files are gone."""
+    path = tmp_path / "a.csv"
+    write(path, "1;2\nx;4\n")
+    got = csv_ingest_traced(spark, str(path), "a int, b int", sep=";", header=False, store=str(tmp_path / "kept"))
+    path.unlink()
+    assert rows(got.rows) == [(1, 2)]
+    assert rows(got.rejects, "line", "reason") == [("x;4", "a: x")]
+
+
 def test_csv_with_crlf(spark, rows, tmp_path):
     path = write(tmp_path / "a.csv", "id,amount,day,note\r\n1,1.00,,first\r\n2,2.00,,last\r\n")
     good, rejects = csv_ingest(spark, path, SCHEMA)

@@ -120,3 +120,54 @@ def test_row_with_global_stats(df, rows):
 
 def test_group_count_extremes(df, rows):
     assert rows(dq.group_count_extremes(df, "k")) == [(1, 2, 2, 1), (2, 1, 2, 1), (3, 1, 2, 1)]
+
+
+def profiled(spark):
+    data = [(1, "a", 2.5), (2, "b", None), (3, "a", 2.5), (4, None, 1.0), (5, "b", None)]
+    return spark.createDataFrame(data, "k int, t string, v double")
+
+
+def test_frequencies_of_all_columns_equal_those_of_each(spark, rows):
+    df = profiled(spark)
+    got = dq.profile_frequencies(df, ["k", "t", "v"])
+    for column in df.columns:
+        one = dq.category_frequency(df, column).select(F.col(column).cast("string"), "n_rows")
+        assert rows(got.filter(F.col("column_name") == column), "value", "n_rows") == rows(one)
+    some = dq.profile_frequencies(df, {"x": ("t", F.col("v") > 1), "y": ("t", None)})
+    assert rows(some) == [("x", "a", 2), ("y", "a", 2), ("y", "b", 2), ("y", None, 1)]
+
+
+def test_a_profile_is_one_scan(spark, rows, tmp_path):
+    profiled(spark).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    got = dq.profile(df, df.columns)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert rows(got) == [
+        ("k", 5, 0, 5, "1", 1),
+        ("t", 5, 1, 2, "a", 2),
+        ("v", 5, 2, 2, "2.5", 2),
+    ]
+    assert dq.profile(df.limit(0), ["k"]).collect() == []
+    nothing = dq.profile(df.select(F.lit(None).cast("string").alias("n")), ["n"])
+    assert rows(nothing) == [("n", 5, 5, 0, None, None)]
+
+
+def test_a_hot_value_is_folded_where_it_is(spark, largest_task):
+    df = spark.range(0, 40_000, 1, 8).selectExpr("if(id % 3 = 0, id, 7) as k", "'x' as t")
+    counted = dq.profile_frequencies(df, ["k", "t"])
+    assert counted.filter("value = 'x'").first()["n_rows"] == 40_000
+    assert "partial_count" in counted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_united_sketches_come_near_the_whole(spark, tmp_path):
+    df = spark.range(0, 60_000, 1, 8).selectExpr("id % 12 as month", "id % 20000 as k", "if(id % 5 = 0, null, concat('t', id)) as t")
+    sketches = dq.distinct_sketches(df, ["month"], ["k", "t"])
+    sketches.write.parquet(str(tmp_path / "s"))
+    stored = spark.read.parquet(str(tmp_path / "s"))
+    assert stored.count() == 12
+    got = dq.united_distinct_count(stored, ["k", "t"]).first()
+    bound = 5 * dq.sketch_error()
+    assert abs(got["k"] - 20_000) <= bound * 20_000 and abs(got["t"] - 48_000) <= bound * 48_000
+    half = dq.united_distinct_count(stored.filter("month < 3"), ["k"], ["month"]).count()
+    assert half == 3
