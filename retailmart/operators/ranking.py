@@ -40,13 +40,22 @@ def top_ranked(
     by: Sequence[str] = (),
     rank: str = "rank",
     dense: bool = False,
+    few_rows: bool = False,
 ) -> DataFrame:
     """All rows whose rank by falling ``order`` is at most ``n``, overall or per ``by`` group.
 
     Ties may make this many more than ``n`` rows, so the rows are never gathered
     to be ranked. The ranks are settled on the leading values alone: those take
-    ``n`` rows per group, as every value ahead of rank ``n`` is among them.
+    ``n`` rows per group, as every value ahead of rank ``n`` is among them; for that
+    ``df`` is read again.
+
+    ``few_rows`` states that ``df`` holds few rows whatever the data, say one per member
+    of a small dimension. It is then read once, and ranked in a plain window.
     """
+    if few_rows:
+        falling = Window.partitionBy(*by).orderBy(F.col(order).desc())
+        place = (F.dense_rank() if dense else F.rank()).over(falling)
+        return df.withColumn(rank, place.cast("bigint")).filter(F.col(rank) <= n)
     if by:
         return _top_ranked_by(df, order, n, by, rank, dense)
     values = df.select(order)

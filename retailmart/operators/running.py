@@ -45,13 +45,16 @@ def running_total(
     descending: bool = False,
     calendar_order: bool = False,
     before: str | None = None,
+    few_rows: bool = False,
 ) -> DataFrame:
     """Add the sum of ``measure`` over all rows up to this one in ``order``.
 
     Rows that tie in ``order`` share one value; ``before`` names a further column
     for the sum ahead of the tie. ``calendar_order`` says that
     ``order`` is a calendar period with one row each: the calendar bounds the
-    number of rows, and a plain ordered window is enough. Otherwise the sum is
+    number of rows, and a plain ordered window is enough. ``few_rows`` states the same of
+    rows that are few for another reason, say one per member of a small dimension; rows
+    may tie there. Otherwise the sum is
     taken at three levels of ever coarser positions, each in windows of bounded
     size, and the offsets of the coarser levels are joined back; rows of frequent
     positions meet a broadcast, so that no tie is gathered in one task.
@@ -61,7 +64,7 @@ def running_total(
     ``_over_ranges``.
     """
     dtype = df.agg(exact_sum(df, measure).alias("s")).schema["s"].dataType
-    if calendar_order:
+    if calendar_order or few_rows:
         by = F.col(order).desc() if descending else F.col(order).asc()
         upto = Window.orderBy(by)
         added = {out: F.sum(measure).over(upto).cast(dtype)}
@@ -154,13 +157,15 @@ def pareto(
     threshold: float | None = None,
     leave_out: str | None = None,
     digits: int = 2,
+    few_keys: bool = False,
 ) -> DataFrame:
     """Total per key, its share and the cumulative share by falling total.
 
     Keys with equal totals share one cumulative value. With ``threshold`` only
     the leading keys are kept that are needed to reach that cumulative share.
     Keys without any measure are dropped, and so is the key ``leave_out`` (and
-    NULL with it).
+    NULL with it). ``few_keys`` states that there are few different keys whatever the
+    data; a plain window over their totals is then enough.
     """
     totals = group_totals(df, [key], {total: measure})
     counted = F.col(total)
@@ -170,7 +175,7 @@ def pareto(
         counted = F.when(F.col(key) != leave_out, counted)
     totals = totals.filter(counted.isNotNull())
     whole = grand_totals(totals, [total])
-    ranked = running_total(totals, total, total, "_running", descending=True, before="_before")
+    ranked = running_total(totals, total, total, "_running", descending=True, before="_before", few_rows=few_keys)
     if threshold is not None:
         ranked = ranked.filter(percent(F.col("_before"), whole[total], None) < threshold)
     return ranked.select(

@@ -227,6 +227,7 @@ def payment_aov(gold: DataFrame) -> DataFrame:
 
 
 def item_pareto(gold: DataFrame, threshold: float | None = None) -> DataFrame:
+    """The items of a menu are few, however many are sold."""
     return pareto(
         gold,
         "Item",
@@ -236,6 +237,7 @@ def item_pareto(gold: DataFrame, threshold: float | None = None) -> DataFrame:
         "Cumulative_Revenue_Pct",
         threshold,
         leave_out=NA,
+        few_keys=True,
     ).orderBy(F.col("Item_Revenue").desc(), "Item")
 
 

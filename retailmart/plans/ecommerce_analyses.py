@@ -299,7 +299,7 @@ def campaign_efficiency(shop: Ecommerce, n: int = 3) -> DataFrame:
         ratio(F.col("total_revenue"), days, 2).alias("revenue_per_day"),
         ratio(F.col("total_revenue"), days).alias("_per_day"),
     )
-    return top_ranked(per_day, "_per_day", n, ["channel"], rank="channel_rank").drop("_per_day")
+    return top_ranked(per_day, "_per_day", n, ["channel"], rank="channel_rank", few_rows=True).drop("_per_day")
 
 
 def _calendar_share(days: DataFrame, key: str, prefix: str) -> DataFrame:

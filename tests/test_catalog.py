@@ -40,7 +40,7 @@ def gathered(plan: str) -> list[str]:
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             operators = (x.lstrip(" :+-|*()0123456789") for x in lines[i + 1 :])
-            found.append(next(x for x in operators if not x.startswith(("Project", "Sort "))))
+            found.append(next(x for x in operators if not x.startswith(("Project", "Sort ", "Filter"))))
     return found
 
 

@@ -36,6 +36,16 @@ def test_all_ties_up_to_rank_n(spark, n, grouped, dense):
     assert sorted((r["id"], r["rank"]) for r in got.collect()) == brute(data, n, grouped, dense)
 
 
+@pytest.mark.parametrize("dense", [False, True])
+@pytest.mark.parametrize("grouped", [False, True])
+def test_few_rows_give_the_same_from_one_run(spark, grouped, dense):
+    _, df = frame(spark, 5)
+    by = ["g"] if grouped else []
+    plain, few = (top_ranked(df, "v", 3, by, dense=dense, few_rows=x) for x in (False, True))
+    assert few._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+    assert sorted(map(str, plain.collect())) == sorted(map(str, few.collect()))
+
+
 def test_nulls_rank_last(spark):
     df = spark.createDataFrame([(1, 5), (2, None), (3, None)], "id int, v int")
     got = {r["id"]: r["rank"] for r in top_ranked(df, "v", 2).collect()}

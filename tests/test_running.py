@@ -137,6 +137,13 @@ def test_pareto_threshold_keeps_whole_ties(spark, threshold, kept):
     assert {r["item"] for r in got} == kept
 
 
+def test_few_keys_give_the_same(spark, rows):
+    rng = random.Random(8)
+    data = [(i % 40, Decimal(rng.randrange(-2, 4))) for i in range(80)]
+    df = spark.createDataFrame(data, "item int, revenue decimal(18,2)")
+    assert rows(pareto(df, "item", "revenue", few_keys=True)) == rows(pareto(df, "item", "revenue"))
+
+
 def test_cumulative_share_never_falls(spark):
     rng = random.Random(5)
     data = [(i % 60, Decimal(rng.randrange(1, 10**6)) / 100) for i in range(900)]
