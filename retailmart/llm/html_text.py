@@ -3,23 +3,28 @@
 A page is cut into lines: one per block of text, with the place it stands in. The pages of a host are laid out by URL
 path, and each is paired with the neighbour whose path shares the longest beginning. The lines of a pair are aligned by
 their longest common subsequence: what two pages share is the host's frame, and it is deleted. Lines of an ``article`` or
-``main`` go if both neighbours share them; pages that are copies of each other keep them. Elements that HTML itself names
-as frame (menus, headers, footers, sidebars, forms, scripts, styles) or that are classed as adverts, cookie notices or
-comments are frame without a partner too.
+``main`` go only if the alignments of half of the host's pages find them shared; pages that are copies of each other keep
+them. Elements that HTML itself names as frame (menus, headers, footers, sidebars, forms, scripts, styles) or that are
+classed as adverts, cookie notices or comments are frame without a partner too.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from retailmart.llm.texts import kept
+from retailmart.operators.joins import HOT_KEYS, hot_key_join
+
 # Elements of HTML, and common words in classes and ids.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea iframe title svg select xmp noembed noframes annotation annotation-xml".split())
@@ -35,6 +40,24 @@ FRAME_CLASSES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored cookie cookies gdpr popup modal newsletter subscribe nav navbar "
     "navigation menu breadcrumb breadcrumbs sidebar footer masthead comment comments disqus pagination pager toolbar".split()
 )
+#: Of these, the names of readers' comments.
+COMMENT_CLASSES = frozenset("comment comments disqus".split())
+#: Start tags that end an open paragraph, and those that end open elements of their own kind, as HTML has it.
+ENDS_P = frozenset(
+    "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main "
+    "menu nav ol p pre search section summary table ul".split()
+)
+ENDS_ALIKE = {
+    "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "optgroup": ("option", "optgroup"), "td": ("td", "th"), "th": ("td", "th"),
+    "tr": ("tr",), "tbody": ("tbody", "thead", "tfoot"), "thead": ("tbody", "thead", "tfoot"), "tfoot": ("tbody", "thead", "tfoot"),
+}
+#: Open elements that such a tag does not look beyond.
+P_LIMITS = ("table", "td", "th", "caption", "button", "object", "template")
+LIST_LIMITS = (
+    *("ul", "ol", "menu", "dl", "article", "section", "aside", "nav", "main", "header", "footer", "form", "fieldset", "blockquote", "figure", "details"),
+    *P_LIMITS,
+)
+TABLE_LIMITS = ("table", "template")
 #: Class names that begin so tell what an element has, not what it is.
 MODIFIERS = frozenset("has no non not with without".split())
 #: Never frame for a class or an attribute.
@@ -67,11 +90,19 @@ def is_frame(name: str, attributes: str) -> bool:
     return False
 
 
-def is_classed(name: str, attributes: str) -> bool:
-    """Whether a class or id names an element as frame."""
+def classed(name: str, attributes: str) -> str:
+    """"comments" or "frame" if a class or id names an element so, else empty."""
     if name in WHOLE or "=" not in attributes:
-        return False
-    return any(key in ("class", "id") and any(map(_frame_name, value.split())) for key, value in _attributes(attributes))
+        return ""
+    found = ""
+    for key, value in _attributes(attributes):
+        if key in ("class", "id"):
+            for word in value.split():
+                if _frame_name(word):
+                    if not COMMENT_CLASSES.isdisjoint(CLASS_WORD.findall(word)):
+                        return "comments"
+                    found = "frame"
+    return found
 
 
 def _attributes(attributes: str) -> Iterator[tuple[str, str]]:
@@ -86,37 +117,77 @@ def _frame_name(name: str) -> bool:
 
 
 class _Open(NamedTuple):
-    """An open element; ``classed`` is its number among the elements classed as frame, or -1."""
+    """An open element; ``around`` is the number of the innermost element classed as frame around it, or -1."""
 
     name: str
     frame: bool
-    classed: int
+    around: int
+
+
+class _Classed:
+    """Elements classed as frame, numbered in order, each with the one around it."""
+
+    def __init__(self) -> None:
+        self.outer: list[int] = []
+        self.comments: list[bool] = []
+        self.holds_article: set[int] = set()
+
+    def add(self, outer: int, comments: bool) -> int:
+        self.outer.append(outer)
+        self.comments.append(comments)
+        return len(self.outer) - 1
+
+    def mark(self, k: int) -> None:
+        """Note that element ``k`` and all around it hold an article; what is noted is not walked again."""
+        while k >= 0 and k not in self.holds_article:
+            self.holds_article.add(k)
+            k = self.outer[k]
+
+    def hidden(self, blocks: list[tuple[str, str, int]]) -> list[bool]:
+        """For each element whether its text is frame. Those that hold an article are not, unless the page has text of
+        an article outside of all: a tenth as much at least, or any at all where comments are concerned."""
+        outside = sum(len(t) for t, place, k in blocks if place == "own" and k < 0)
+        inside = sum(len(t) for t, place, k in blocks if place == "own" and k in self.holds_article)
+        out: list[bool] = []
+        for k, around in enumerate(self.outer):
+            kept = k in self.holds_article and (not outside if self.comments[k] else 10 * outside < inside)
+            out.append(not kept or around >= 0 and out[around])
+        return out
 
 
 def lines_of(page: str) -> list[Line]:
     """The blocks of a page in order, character references decoded, white space folded; empty blocks are left out.
 
-    An element classed as frame is none if it holds an article, unless that is so classed as well and the page has
-    another one.
+    Each tag is worked through in bounded time, whatever is open. End tags that HTML lets an author leave out are
+    supplied. An element classed as frame is none if it holds the page's article.
     """
-    blocks: list[tuple[str, str, tuple[int, ...]]] = []
+    blocks: list[tuple[str, str, int]] = []
     parts: list[str] = []
-    open_tags: list[_Open] = []
-    frames = own = made = 0
-    plain = False
-    cleared: set[int] = set()
-    clear_if_alone: set[int] = set()
+    stack: list[_Open] = []
+    places: dict[str, list[int]] = {}  # by name, where in the stack it is open
+    marked = _Classed()
+    frames = own = 0
+    around = -1
     unclosed: set[str] = set()
 
-    def around() -> tuple[int, ...]:
-        return tuple([x.classed for x in open_tags if x.classed >= 0])
-
     def flush() -> None:
         text = SPACE.sub(" ", html.unescape("".join(parts))).strip()
         if text:
-            blocks.append((text, "frame" if frames else "own" if own else "open", around()))
+            blocks.append((text, "frame" if frames else "own" if own else "open", around))
         parts.clear()
 
+    def close(size: int) -> None:
+        nonlocal frames, own, around
+        while len(stack) > size:
+            last = stack.pop()
+            places[last.name].pop()
+            frames -= last.frame
+            own -= last.name in OWN
+            around = last.around
+
+    def innermost(names: Sequence[str]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=-1)
+
     at, end = 0, len(page)
     while at < end:
         begin = page.find("<", at)
@@ -138,44 +209,44 @@ def lines_of(page: str) -> list[Line]:
         if name not in INLINE:
             flush()
         if tag[1]:
-            if any(x.name == name for x in open_tags):
-                while open_tags:
-                    last = open_tags.pop()
-                    frames -= last.frame
-                    own -= last.name in OWN
-                    if last.name == name:
-                        break
+            if places.get(name):
+                if name in INLINE:
+                    flush()
+                close(places[name][-1])
             continue
-        closed = tag[3].rstrip().endswith("/")
-        if name in RAW and not (closed and name == "svg"):
-            close = None if name in unclosed else re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            if close is None:
+        self_closed = tag[3].rstrip().endswith("/")
+        if name in RAW and not (self_closed and name == "svg"):
+            found = None if name in unclosed else re.compile(rf"</{name}\s*>", re.I).search(page, at)
+            if found is None:
                 unclosed.add(name)
-            at = close.end() if close else end if name in TO_THE_END else at
+            at = found.end() if found else end if name in TO_THE_END else at
             continue
-        if name in VOID or closed:
+        if name in ENDS_P and innermost(("p",)) > innermost(P_LIMITS):
+            close(places["p"][-1])
+        if name in ENDS_ALIKE:
+            alike = innermost(ENDS_ALIKE[name])
+            if alike > innermost(LIST_LIMITS if name in ("li", "dt", "dd") else TABLE_LIMITS):
+                close(alike)
+        if name in VOID or self_closed:
             continue
-        frame, classed = is_frame(name, tag[3]), is_classed(name, tag[3])
-        if name in INLINE and not frame and not classed or name == "p" and not tag[3]:
+        frame, named = is_frame(name, tag[3]), classed(name, tag[3])
+        if name in INLINE and not frame and not named or name == "p" and not tag[3]:
             continue  # often left open, and nothing hangs on them
         # Headings of an article may stand in a header of its own.
         frame = frame and not (name == "header" and own and not frames)
-        if frame or classed:
+        if frame or named:
             flush()
+        places.setdefault(name, []).append(len(stack))
+        stack.append(_Open(name, frame, around))
+        if named:
+            around = marked.add(around, named == "comments")
         if name in OWN and not frame and not frames:
-            if classed:
-                clear_if_alone.update(around(), [made])
-            else:
-                plain = True
-                cleared.update(around())
-        open_tags.append(_Open(name, frame, made if classed else -1))
-        made += classed
+            marked.mark(around)
         frames += frame
         own += name in OWN
     flush()
-    if not plain:
-        cleared |= clear_if_alone
-    return [Line(text, place if place == "frame" or cleared.issuperset(held) else "classed") for text, place, held in blocks]
+    hidden = marked.hidden(blocks)
+    return [Line(text, "classed" if place != "frame" and k >= 0 and hidden[k] else place) for text, place, k in blocks]
 
 
 #: Bits of the table that an alignment holds; a larger one is cut in two.
@@ -253,29 +324,36 @@ def _size(lines: list[Line]) -> int:
     return sum(len(x.text) for x in lines)
 
 
-def main_text(lines: list[Line], partner: list[Line] | None, other: list[Line] | None = None) -> str:
+def compared(body: list[Line], digests: list[bytes], partner: list[bytes] | None, other: list[bytes] | None) -> tuple[set[int], set[int]]:
+    """What the alignments with the neighbours find shared: open lines, which go, and lines of an article, which go if the
+    host's pages bear it out. The latter must be shared with both neighbours, where there are two."""
+    shared, again = (shared_lines(digests, page)[0] if page else set() for page in (partner, other))
+    gone = {i for i in shared if body[i].place == "open"}
+    return gone, {i for i in shared - gone if not other or i in again}
+
+
+def finished(body: list[Line], gone: set[int], borne_out: set[int] = frozenset()) -> str:
     """The lines that are left, joined by a space.
 
-    Lines shared with the partner go; those of an article only if the other neighbour on the host, where there is one,
-    shares them too, as two articles may have a line in common. If less than half of an article's text would be left, or
-    nothing of a page without one, the pages are copies of each other, and their lines stay. Then the structure is
-    looked at: beside an article, open lines are frame unless they hold more text than it.
+    If less than half of an article's text would be left, or nothing of a page without one, the pages are copies of each
+    other, and their lines stay. Then the structure is looked at: beside an article, open lines are frame unless they hold
+    more text than it.
     """
-    body = _compared(lines)
-    texts = [x.text for x in body]
-    shared, again = (shared_lines(texts, [x.text for x in _compared(page)])[0] if page else set() for page in (partner, other))
-    gone = {i for i in shared if body[i].place == "open" or not other or i in again}
     own = [x for x in body if x.place == "own"]
-    own_left = [x for i, x in enumerate(body) if x.place == "own" and i not in gone]
+    own_left = [x for i, x in enumerate(body) if x.place == "own" and i not in borne_out]
     if 2 * _size(own_left) < _size(own):
-        gone = {i for i in gone if body[i].place == "open"}
-        own_left = own
-    left = [x for i, x in enumerate(body) if i not in gone]
+        borne_out, own_left = frozenset(), own
+    left = [x for i, x in enumerate(body) if i not in gone and i not in borne_out]
     if own_left and _size(left) <= 2 * _size(own_left):
         left = own_left
     return " ".join(x.text for x in left or body)
 
 
+def main_text(lines: list[Line]) -> str:
+    """The text of a page by itself."""
+    return finished(_compared(lines), set())
+
+
 def url_parts(url: Column) -> tuple[Column, Column]:
     """(host in lower case, path without query and fragment); null urls have the empty host."""
     text = F.coalesce(url.cast("string"), F.lit(""))
@@ -294,144 +372,205 @@ def _alike(a: str, b: str) -> int:
     return n
 
 
+#: Share of a host's pages, and their number, on which the alignment must find a line of an article shared.
+COMMON_SHARE, COMMON_PAGES = 0.5, 3
+
+SCANNED = "page_id long, url string, host string, path string, tie long, texts array<string>, own array<boolean>"
+#: ``side`` is 0 for a page between its neighbours, 1 for the first page of a range, 2 for the last, 3 for the only one.
+#: ``text`` is final; without it, ``gone`` and ``asked`` are the shared lines, and ``near_*`` the neighbour inside the range.
+PAIRED = (
+    "span int, side int, page_id long, url string, host string, path string, text string, texts array<string>, own array<boolean>,"
+    " gone array<int>, asked array<int>, digests array<binary>, near_path string, near_digests array<binary>"
+)
+KINDS = [
+    *(pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.bool_())),
+    *(pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.string(), pa.list_(pa.binary())),
+]
+NAMES = [c.split()[0] for c in PAIRED.split(", ")]
+#: Characters of text after which a task passes on what it has.
+PASSED = 4_000_000
+
+
+class _Near(NamedTuple):
+    """What is looked at of a neighbour: host, path, digests of its lines."""
+
+    host: str
+    path: str
+    digests: list[bytes]
+
+
 class _Page(NamedTuple):
     page_id: int | None
     url: str | None
     host: str
     path: str
-    lines: list[Line]
-    span: int = 0
-    #: -1 and 1 for the pages next to a range that another range puts out.
-    side: int = 0
-
+    body: list[Line]
+    digests: list[bytes]
 
-#: Pages in a range, about, and keys drawn per range to set its bounds.
-RANGE_PAGES, DRAWN = 20_000, 64
-PAGE = "page_id long, url string, html string, host string, path string"
+    def near(self) -> _Near:
+        return _Near(self.host, self.path, self.digests)
 
 
-def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", range_pages: int = RANGE_PAGES) -> DataFrame:
+def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", ranges: int | None = None) -> DataFrame:
     """(page_id, url, text, n_chars), one row per input row; ``n_chars`` counts code points.
 
-    Null or empty html gives an empty text. Pages are sorted by host and path over ranges, not gathered by host, so a
-    host of any size is spread over tasks; a task holds three parsed pages at a time. The bounds of the ranges are set
-    first, from a sample of keys that the driver draws, and the pages next to each range, one before and one after it,
-    are handed to it, so the neighbours do not depend on the ranges. Pages without a url are paired among themselves. Ties
-    in the path are ordered by url, id and a hash of the html. A page alone on its host has no partner and keeps its open
-    lines. An empty table gives no rows. Other columns are not read.
+    Null or empty html gives an empty text. The pages are read once; what is kept of them are their lines, sorted by host
+    and path over ``ranges`` (default: the number of shuffle partitions) that Spark sets. A host of any size is spread
+    over tasks; a task holds three pages at a time. The first and the last page of each range are joined with their
+    neighbours in the next, so the neighbours do not depend on the ranges. Pages without a url are paired among
+    themselves; pages without text are nobody's neighbour. Ties in the path are ordered by url, id and a hash of the html.
+    A page alone on its host has no partner and keeps its open lines. An empty table gives no rows. Other columns are not
+    read.
     """
     rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html")
     )
     host, path = url_parts(F.col("url"))
-    rows = rows.withColumn("host", host).withColumn("path", path)
-    bounds = _bounds(rows, range_pages)
-    span = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("_key"))) if bounds else F.lit(0)
-    keyed = rows.withColumn("_key", _key()).withColumn("span", span).withColumn("side", F.lit(0))
-    dealt = keyed.unionByName(_next_to_ranges(keyed, bounds)) if bounds else keyed
-    dealt = dealt.repartitionByRange(len(bounds) + 1, "span").sortWithinPartitions("span", "side", "_key")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, urls, texts, size = [], [], [], 0
-
-        def out() -> pa.RecordBatch:
-            columns = [pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
-
-        for page, *near in _paired(_parsed(batches)):
-            ids.append(page.page_id)
-            urls.append(page.url)
-            texts.append(main_text(page.lines, *(p.lines if p else None for p in near)))
-            size += len(texts[-1])
-            if size > 4_000_000:
-                yield out()
-                ids, urls, texts, size = [], [], [], 0
-        if ids:
-            yield out()
+    rows = rows.select("page_id", "url", host.alias("host"), path.alias("path"), F.xxhash64("html").alias("tie"), "html")
+    lines = kept(rows.mapInArrow(_scan, SCANNED), "page-lines")
+    order = ["host", "path", "url", "page_id", "tie"]
+    ranges = ranges or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lines.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    paired = kept(dealt.mapInArrow(_pair, PAIRED), "page-pairs")
+    edges = kept(_joined_edges(paired.where("side > 0")).mapInArrow(_settle_edges, PAIRED), "page-edges")
+
+    settled = paired.where("side = 0").unionByName(edges)
+    asking = settled.where("text is null")
+    # How many pages of the host find a line shared; a line's digest stands for it.
+    asked = asking.select("host", F.explode(F.array_distinct(F.transform("asked", lambda i: F.get("digests", i)))).alias("digest"))
+    found = asked.groupBy("host", "digest").agg(F.count("*").alias("n"))
+    sizes = paired.where("size(texts) > 0 or text <> ''").groupBy("host").agg(F.count("*").alias("pages"))
+    enough = (F.col("n") >= COMMON_SHARE * F.col("pages")) & (F.col("n") >= COMMON_PAGES)
+    common = found.join(sizes, "host").where(enough).groupBy("host").agg(F.collect_list("digest").alias("common"))
+    hot = sizes.where(F.col("pages") * HOT_KEYS > sizes.agg(F.sum("pages")).scalar()).select("host")
+    borne = hot_key_join(asking.drop("near_path", "near_digests"), kept(common, "common-lines"), "host", "left", hot=hot)
+    last = borne.select("page_id", "url", "texts", "own", "gone", "asked", "digests", "common").mapInArrow(_finish, "page_id long, url string, text string")
+    done = settled.where("text is not null").select("page_id", "url", "text").unionByName(last)
+    return done.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["page_id", "url", "host", "path", "tie"]
+    for batch in batches:
+        at = size = 0
+        texts, own = [], []
+        column = batch.column("html")
+        for k in range(batch.num_rows):
+            body = _compared(lines_of(column[k].as_py()))
+            texts.append([x.text for x in body])
+            own.append([x.place == "own" for x in body])
+            size += _size(body)
+            if size > PASSED or k == batch.num_rows - 1:
+                same = [batch.column(c).slice(at, k + 1 - at) for c in names]
+                made = [pa.array(texts, pa.list_(pa.string())), pa.array(own, pa.list_(pa.bool_()))]
+                yield pa.RecordBatch.from_arrays([*same, *made], [*names, "texts", "own"])
+                at, size = k + 1, 0
+                texts, own = [], []
 
-    return dealt.mapInArrow(run, "page_id long, url string, text string, n_chars long")
 
+def _body(texts: list[str], own: list[bool]) -> list[Line]:
+    return [Line(t, "own" if o else "open") for t, o in zip(texts, own)]
 
-def _key() -> Column:
-    """The pages' order as one string: host, path, url, id, hash of the html."""
-    fields = [F.col("host"), F.col("path"), F.coalesce(F.concat(F.lit("u"), "url"), F.lit("")), F.coalesce(F.format_string("%020d", "page_id"), F.lit(""))]
-    return F.concat_ws("\u0001", *fields, F.hex(F.xxhash64("html")))
 
+def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[_Page]:
+    for batch in batches:
+        columns = [batch.column(c) for c in ("page_id", "url", "host", "path", "texts", "own")]
+        for k in range(batch.num_rows):
+            page_id, url, host, path, texts, own = (c[k].as_py() for c in columns)
+            yield _Page(page_id, url, host, path, _body(texts, own), [xxhash.xxh3_128_digest(t.encode()) for t in texts])
 
-def _bounds(rows: DataFrame, range_pages: int) -> list[str]:
-    """The keys that begin a range, but for the first: quantiles of a sample drawn by hash."""
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(tasks, -(-rows.count() // range_pages))
-    keys = rows.select(_key().alias("_key"))
-    drawn = sorted(r["_key"] for r in keys.orderBy(F.xxhash64("_key")).limit(DRAWN * ranges).collect())
-    return sorted({drawn[k * len(drawn) // ranges] for k in range(1, ranges)}) if drawn else []
+
+def _nearest(page: _Page, before: _Near | None, after: _Near | None) -> tuple[list[bytes] | None, list[bytes] | None]:
+    """The neighbours on the page's host: the one whose path is nearer, then the other. The one before wins a tie."""
+    near = [p for p in (before, after) if p is not None and p.host == page.host]
+    near.sort(key=lambda p: -_alike(p.path, page.path))
+    return (*(p.digests for p in near), None, None)[:2]
 
 
-def _next_to_ranges(keyed: DataFrame, bounds: list[str]) -> DataFrame:
-    """For each range the last page with text before it and the first one after it, as rows of that range.
+def _settled(page: _Page, before: _Near | None, after: _Near | None) -> tuple:
+    """The row of a page whose neighbours are known."""
+    gone, asked = compared(page.body, page.digests, *_nearest(page, before, after))
+    head = (page.page_id, page.url, page.host, page.path)
+    if not asked:
+        return (None, 0, *head, finished(page.body, gone), *(None,) * 7)
+    texts, own = [x.text for x in page.body], [x.place == "own" for x in page.body]
+    return (None, 0, *head, None, texts, own, sorted(gone), sorted(asked), page.digests, None, None)
 
-    A task keeps the first and the last page with text that it meets of each range, and parses only pages that may be
-    one. Ranges without such pages are passed over.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ends: dict[tuple[int, int], tuple[str, tuple]] = {}
-        for batch in batches:
-            keys, spans = batch.column("_key").to_pylist(), batch.column("span").to_pylist()
-            for k, (key, span) in enumerate(zip(keys, spans)):
-                first, last = ends.get((span, 1)), ends.get((span, -1))
-                sides = [s for s, better in ((1, first is None or key < first[0]), (-1, last is None or key > last[0])) if better]
-                if sides and lines_of(batch.column("html")[k].as_py()):
-                    row = tuple(batch.column(c)[k].as_py() for c in ("page_id", "url", "html", "host", "path"))
-                    ends.update({(span, side): (key, row) for side in sides})
-        found = [(*row, key, span, side) for (span, side), (key, row) in ends.items()]
-        names = ["page_id", "url", "html", "host", "path", "_key", "span", "side"]
-        kinds = [pa.int64(), *[pa.string()] * 5, pa.int32(), pa.int32()]
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found), kinds)], names)
-
-    ends = keyed.mapInArrow(run, f"{PAGE}, _key string, span int, side int")
-    page = F.struct("_key", "page_id", "url", "html", "host", "path")
-    per_range = ends.groupBy("span").agg(
-        F.min(F.when(F.col("side") == 1, page)).alias("first"), F.max(F.when(F.col("side") == -1, page)).alias("last")
-    )
-    spans = keyed.sparkSession.range(len(bounds) + 1).select(F.col("id").cast("int").alias("span"))
+def _edge(page: _Page, span: int, side: int, near: _Near | None) -> tuple:
+    texts, own = [x.text for x in page.body], [x.place == "own" for x in page.body]
+    near = near if near and near.host == page.host else None
+    inner = (near.path, near.digests) if near else (None, None)
+    return (span, side, page.page_id, page.url, page.host, page.path, None, texts, own, None, None, page.digests, *inner)
+
+
+def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), KINDS)], NAMES)
+
+    for row in rows:
+        held.append(row)
+        size += 200 + len(row[6] or "") + sum(map(len, row[7] or ()))
+        if size > PASSED:
+            yield out()
+            held, size = [], 0
+    if held:
+        yield out()
+
+
+def _pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each page of a range with its neighbours; the first and the last are left for those of other ranges."""
+    span = TaskContext.get().partitionId()
+
+    def rows() -> Iterator[tuple]:
+        before = page = None
+        for after in _pages(batches):
+            if not after.body:
+                yield (None, 0, after.page_id, after.url, after.host, after.path, "", *(None,) * 7)
+                continue
+            if page is not None:
+                yield _edge(page, span, 1, after.near()) if before is None else _settled(page, before.near(), after.near())
+            before, page = page, after
+        if page is not None:
+            yield _edge(page, span, 3, None) if before is None else _edge(page, span, 2, before.near())
+
+    return _batches(rows())
+
+
+def _joined_edges(edges: DataFrame) -> DataFrame:
+    """The edge pages with the pages before and after them in other ranges; only range numbers are looked at in one place."""
+    spans = edges.select("span").distinct()
     ordered = Window.orderBy("span")
-    before = F.last("last", ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    after = F.first("first", ignorenulls=True).over(ordered.rowsBetween(1, Window.unboundedFollowing))
-    sides = spans.join(per_range, "span", "left").select("span", before.alias("before"), after.alias("after"))
-    parts = [sides.where(f"{c} is not null").select(f"{c}.*", "span", F.lit(side).alias("side")) for c, side in (("before", -1), ("after", 1))]
-    return parts[0].unionByName(parts[1])
+    spans = spans.select("span", F.lag("span").over(ordered).alias("_prev"), F.lead("span").over(ordered).alias("_next"))
 
+    def looked(sides: str, name: str) -> DataFrame:
+        return edges.where(sides).select(F.col("span").alias(f"_{name}"), F.struct("host", "path", "digests").alias(name))
 
-def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[_Page]:
-    for batch in batches:
-        columns = [batch.column(c) for c in ("page_id", "url", "host", "path", "html", "span", "side")]
-        for k in range(batch.num_rows):
-            page_id, url, host, path, text, span, side = (c[k].as_py() for c in columns)
-            yield _Page(page_id, url, host, path, lines_of(text), span, side)
+    placed = edges.join(spans, "span")
+    joined = placed.join(looked("side in (2, 3)", "prev"), "_prev", "left").join(looked("side in (1, 3)", "next"), "_next", "left")
+    return joined.select(*edges.columns, F.when(F.col("side") != 2, F.col("prev")).alias("before"), F.when(F.col("side") != 1, F.col("next")).alias("after"))
 
 
-def _paired(pages: Iterator[_Page]) -> Iterator[tuple[_Page, _Page | None, _Page | None]]:
-    """Each page of a range with its neighbours on its host: the one whose path is nearer, then the other. The one before
-    wins a tie. Pages without text are nobody's neighbour."""
-    before, page = None, None
-    for after in pages:
-        if not after.lines:
-            yield after, None, None
-            continue
-        if page is not None and page.span != after.span:
-            if not page.side:
-                yield page, *_near(page, before, None)
-            before, page = None, None
-        if page is not None and not page.side:
-            yield page, *_near(page, before, after)
-        before, page = page, after
-    if page is not None and not page.side:
-        yield page, *_near(page, before, None)
-
-
-def _near(page: _Page, before: _Page | None, after: _Page | None) -> tuple[_Page | None, _Page | None]:
-    near = [p for p in (before, after) if p is not None and p.host == page.host]
-    near.sort(key=lambda p: -_alike(p.path, page.path))
-    return (*near, None, None)[:2]
+def _settle_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                page = _Page(r["page_id"], r["url"], r["host"], r["path"], _body(r["texts"], r["own"]), r["digests"])
+                before, after = (_Near(**r[c]) if r[c] else None for c in ("before", "after"))
+                inner = _Near(page.host, r["near_path"], r["near_digests"]) if r["near_digests"] is not None else None
+                before, after = (before if r["side"] != 2 else inner), (after if r["side"] != 1 else inner)
+                yield _settled(page, before, after)
+
+    return _batches(rows())
+
+
+def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = []
+        for r in batch.to_pylist():
+            common = set(r["common"] or ())
+            borne_out = {i for i in r["asked"] if r["digests"][i] in common}
+            texts.append(finished(_body(r["texts"], r["own"]), set(r["gone"]), borne_out))
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
