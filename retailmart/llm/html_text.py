@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from retailmart.llm.texts import kept
+from retailmart.llm.texts import kept, slices
 from retailmart.operators.joins import HOT_KEYS, hot_key_join
 
 # Elements of HTML, and common words in classes and ids.
@@ -320,38 +320,52 @@ def _compared(lines: list[Line]) -> list[Line]:
     return body or [Line(x.text, "open") for x in lines if x.place == "classed"]
 
 
-def _size(lines: list[Line]) -> int:
-    return sum(len(x.text) for x in lines)
+class Outline(NamedTuple):
+    """The lines of a page by digest, whether they stand in an article, and their lengths."""
 
+    digests: list[int]
+    own: list[bool]
+    sizes: list[int]
 
-def compared(body: list[Line], digests: list[bytes], partner: list[bytes] | None, other: list[bytes] | None) -> tuple[set[int], set[int]]:
+
+def outline(body: list[Line]) -> Outline:
+    return Outline([xxhash.xxh3_64_intdigest(x.text.encode()) - (1 << 63) for x in body], [x.place == "own" for x in body], [len(x.text) for x in body])
+
+
+def compared(page: Outline, partner: list[int] | None, other: list[int] | None) -> tuple[set[int], set[int]]:
     """What the alignments with the neighbours find shared: open lines, which go, and lines of an article, which go if the
     host's pages bear it out. The latter must be shared with both neighbours, where there are two."""
-    shared, again = (shared_lines(digests, page)[0] if page else set() for page in (partner, other))
-    gone = {i for i in shared if body[i].place == "open"}
+    shared, again = (shared_lines(page.digests, near)[0] if near else set() for near in (partner, other))
+    gone = {i for i in shared if not page.own[i]}
     return gone, {i for i in shared - gone if not other or i in again}
 
 
-def finished(body: list[Line], gone: set[int], borne_out: set[int] = frozenset()) -> str:
-    """The lines that are left, joined by a space.
+def left_lines(page: Outline, gone: set[int] = frozenset(), borne_out: set[int] = frozenset()) -> list[int]:
+    """The places of the lines that are left.
 
     If less than half of an article's text would be left, or nothing of a page without one, the pages are copies of each
     other, and their lines stay. Then the structure is looked at: beside an article, open lines are frame unless they hold
     more text than it.
     """
-    own = [x for x in body if x.place == "own"]
-    own_left = [x for i, x in enumerate(body) if x.place == "own" and i not in borne_out]
-    if 2 * _size(own_left) < _size(own):
+
+    def size(places: list[int]) -> int:
+        return sum(page.sizes[i] for i in places)
+
+    every = range(len(page.own))
+    own = [i for i in every if page.own[i]]
+    own_left = [i for i in own if i not in borne_out]
+    if 2 * size(own_left) < size(own):
         borne_out, own_left = frozenset(), own
-    left = [x for i, x in enumerate(body) if i not in gone and i not in borne_out]
-    if own_left and _size(left) <= 2 * _size(own_left):
+    left = [i for i in every if i not in gone and i not in borne_out]
+    if own_left and size(left) <= 2 * size(own_left):
         left = own_left
-    return " ".join(x.text for x in left or body)
+    return left or list(every)
 
 
-def main_text(lines: list[Line]) -> str:
-    """The text of a page by itself."""
-    return finished(_compared(lines), set())
+def main_text(page: str, left: list[int] | None = None) -> str:
+    """The lines of a page at the places ``left``, or those left of it without a partner, joined by a space."""
+    body = _compared(lines_of(page))
+    return " ".join(body[i].text for i in (left_lines(outline(body)) if left is None else left))
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -375,28 +389,22 @@ def _alike(a: str, b: str) -> int:
 #: Share of a host's pages, and their number, on which the alignment must find a line of an article shared.
 COMMON_SHARE, COMMON_PAGES = 0.5, 3
 
-SCANNED = "page_id long, url string, host string, path string, tie long, texts array<string>, own array<boolean>"
-#: ``side`` is 0 for a page between its neighbours, 1 for the first page of a range, 2 for the last, 3 for the only one.
-#: ``text`` is final; without it, ``gone`` and ``asked`` are the shared lines, and ``near_*`` the neighbour inside the range.
-PAIRED = (
-    "span int, side int, page_id long, url string, host string, path string, text string, texts array<string>, own array<boolean>,"
-    " gone array<int>, asked array<int>, digests array<binary>, near_path string, near_digests array<binary>"
-)
-KINDS = [
-    *(pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.bool_())),
-    *(pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.string(), pa.list_(pa.binary())),
-]
-NAMES = [c.split()[0] for c in PAIRED.split(", ")]
-#: Characters of text after which a task passes on what it has.
-PASSED = 4_000_000
+OUTLINE = "digests array<long>, own array<boolean>, sizes array<int>"
+PAGE = f"page_id long, url string, host string, path string, tie long, {OUTLINE}"
+#: ``side`` is 0 for a page between its neighbours, 1 for the first page of a range, 2 for the last, 3 for the only one, whose
+#: ``near_*`` is the neighbour inside the range. ``left`` is final; without it, ``gone`` and ``asked`` are the shared lines.
+PAIRED = f"span int, side int, {PAGE}, near_path string, near_digests array<long>, gone array<int>, asked array<int>, left array<int>"
+KEY = ("page_id", "url", "tie")
+#: Rows after which a task passes on what it has.
+PASSED = 2_000
 
 
 class _Near(NamedTuple):
-    """What is looked at of a neighbour: host, path, digests of its lines."""
+    """What is looked at of a neighbour."""
 
     host: str
     path: str
-    digests: list[bytes]
+    digests: list[int]
 
 
 class _Page(NamedTuple):
@@ -404,139 +412,135 @@ class _Page(NamedTuple):
     url: str | None
     host: str
     path: str
-    body: list[Line]
-    digests: list[bytes]
+    tie: int
+    lines: Outline
 
     def near(self) -> _Near:
-        return _Near(self.host, self.path, self.digests)
+        return _Near(self.host, self.path, self.lines.digests)
+
+    def row(self, **more: object) -> dict:
+        return {"side": 0, **self._asdict(), **self.lines._asdict(), **more}
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", ranges: int | None = None) -> DataFrame:
     """(page_id, url, text, n_chars), one row per input row; ``n_chars`` counts code points.
 
-    Null or empty html gives an empty text. The pages are read once; what is kept of them are their lines, sorted by host
-    and path over ``ranges`` (default: the number of shuffle partitions) that Spark sets. A host of any size is spread
-    over tasks; a task holds three pages at a time. The first and the last page of each range are joined with their
-    neighbours in the next, so the neighbours do not depend on the ranges. Pages without a url are paired among
-    themselves; pages without text are nobody's neighbour. Ties in the path are ordered by url, id and a hash of the html.
-    A page alone on its host has no partner and keeps its open lines. An empty table gives no rows. Other columns are not
-    read.
+    Null or empty html gives an empty text. A first scan takes the outline of each page: digests and lengths of its
+    lines. Outlines are sorted by host and path over ``ranges`` (default: the number of shuffle partitions) that Spark sets
+    and aligned there; a host of any size is spread over tasks, and a task holds three outlines at a time. The first and
+    the last page of each range are joined with their neighbours in other ranges, so the neighbours do not depend on the
+    ranges. A second scan reads the texts; pages of which the alignment takes something are joined with what is left.
+
+    Pages without a url are paired among themselves; pages without text are nobody's neighbour. Ties in the path are
+    ordered by url, id and a hash of the html; of rows that repeat all three, all get the text of one. A page alone on
+    its host has no partner and keeps its open lines. An empty table gives no rows. Other columns are not read.
     """
     rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html")
-    )
+    ).withColumn("tie", F.xxhash64("html"))
     host, path = url_parts(F.col("url"))
-    rows = rows.select("page_id", "url", host.alias("host"), path.alias("path"), F.xxhash64("html").alias("tie"), "html")
-    lines = kept(rows.mapInArrow(_scan, SCANNED), "page-lines")
+    outlines = rows.select("page_id", "url", host.alias("host"), path.alias("path"), "tie", "html").mapInArrow(_outlines, PAGE)
+    outlines = kept(outlines, "page-outlines")
     order = ["host", "path", "url", "page_id", "tie"]
     ranges = ranges or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = lines.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    dealt = outlines.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     paired = kept(dealt.mapInArrow(_pair, PAIRED), "page-pairs")
     edges = kept(_joined_edges(paired.where("side > 0")).mapInArrow(_settle_edges, PAIRED), "page-edges")
-
     settled = paired.where("side = 0").unionByName(edges)
-    asking = settled.where("text is null")
-    # How many pages of the host find a line shared; a line's digest stands for it.
-    asked = asking.select("host", F.explode(F.array_distinct(F.transform("asked", lambda i: F.get("digests", i)))).alias("digest"))
-    found = asked.groupBy("host", "digest").agg(F.count("*").alias("n"))
-    sizes = paired.where("size(texts) > 0 or text <> ''").groupBy("host").agg(F.count("*").alias("pages"))
+
+    asking = settled.where("left is null")
+    asked = F.array_distinct(F.transform("asked", lambda i: F.get("digests", i)))
+    found = asking.select("host", F.explode(asked).alias("digest")).groupBy("host", "digest").agg(F.count("*").alias("n"))
+    sizes = outlines.groupBy("host").agg(F.count("*").alias("pages"))
     enough = (F.col("n") >= COMMON_SHARE * F.col("pages")) & (F.col("n") >= COMMON_PAGES)
     common = found.join(sizes, "host").where(enough).groupBy("host").agg(F.collect_list("digest").alias("common"))
     hot = sizes.where(F.col("pages") * HOT_KEYS > sizes.agg(F.sum("pages")).scalar()).select("host")
-    borne = hot_key_join(asking.drop("near_path", "near_digests"), kept(common, "common-lines"), "host", "left", hot=hot)
-    last = borne.select("page_id", "url", "texts", "own", "gone", "asked", "digests", "common").mapInArrow(_finish, "page_id long, url string, text string")
-    done = settled.where("text is not null").select("page_id", "url", "text").unionByName(last)
-    return done.withColumn("n_chars", F.length("text").cast("long"))
+    borne = hot_key_join(asking.select(*KEY, "host", "digests", "own", "sizes", "gone", "asked"), kept(common, "common-lines"), "host", "left", hot=hot)
+    final = borne.mapInArrow(_borne_out, "page_id long, url string, tie long, left array<int>")
+    left = settled.where("left is not null").select(*KEY, "left").unionByName(final)
+    left = kept(left.groupBy(*KEY).agg(F.min("left").alias("left")), "page-left")
 
+    named = left.withColumnsRenamed({c: f"_{c}" for c in KEY})
+    same = rows["page_id"].eqNullSafe(named["_page_id"]) & rows["url"].eqNullSafe(named["_url"]) & (rows["tie"] == named["_tie"])
+    return rows.join(named, same, "left").select("page_id", "url", "html", "left").mapInArrow(_texts, "page_id long, url string, text string, n_chars long")
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["page_id", "url", "host", "path", "tie"]
-    for batch in batches:
-        at = size = 0
-        texts, own = [], []
-        column = batch.column("html")
-        for k in range(batch.num_rows):
-            body = _compared(lines_of(column[k].as_py()))
-            texts.append([x.text for x in body])
-            own.append([x.place == "own" for x in body])
-            size += _size(body)
-            if size > PASSED or k == batch.num_rows - 1:
-                same = [batch.column(c).slice(at, k + 1 - at) for c in names]
-                made = [pa.array(texts, pa.list_(pa.string())), pa.array(own, pa.list_(pa.bool_()))]
-                yield pa.RecordBatch.from_arrays([*same, *made], [*names, "texts", "own"])
-                at, size = k + 1, 0
-                texts, own = [], []
-
-
-def _body(texts: list[str], own: list[bool]) -> list[Line]:
-    return [Line(t, "own" if o else "open") for t, o in zip(texts, own)]
-
-
-def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[_Page]:
+
+def _dicts(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
-        columns = [batch.column(c) for c in ("page_id", "url", "host", "path", "texts", "own")]
-        for k in range(batch.num_rows):
-            page_id, url, host, path, texts, own = (c[k].as_py() for c in columns)
-            yield _Page(page_id, url, host, path, _body(texts, own), [xxhash.xxh3_128_digest(t.encode()) for t in texts])
+        for a in range(0, batch.num_rows, PASSED):
+            yield from batch.slice(a, PASSED).to_pylist()
 
 
-def _nearest(page: _Page, before: _Near | None, after: _Near | None) -> tuple[list[bytes] | None, list[bytes] | None]:
-    """The neighbours on the page's host: the one whose path is nearer, then the other. The one before wins a tie."""
-    near = [p for p in (before, after) if p is not None and p.host == page.host]
-    near.sort(key=lambda p: -_alike(p.path, page.path))
-    return (*(p.digests for p in near), None, None)[:2]
+def _table(rows: Iterator[dict], schema: str) -> Iterator[pa.RecordBatch]:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
+    fields = [c.split(" ") for c in schema.split(", ")]
+    typed = pa.schema([(n, pa.list_(kinds[k[6:-1]]) if k.startswith("array<") else kinds[k]) for n, k in fields])
+    held: list[dict] = []
+    for row in rows:
+        held.append(row)
+        if len(held) == PASSED:
+            yield pa.RecordBatch.from_pylist(held, typed)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_pylist(held, typed)
 
 
-def _settled(page: _Page, before: _Near | None, after: _Near | None) -> tuple:
-    """The row of a page whose neighbours are known."""
-    gone, asked = compared(page.body, page.digests, *_nearest(page, before, after))
-    head = (page.page_id, page.url, page.host, page.path)
-    if not asked:
-        return (None, 0, *head, finished(page.body, gone), *(None,) * 7)
-    texts, own = [x.text for x in page.body], [x.place == "own" for x in page.body]
-    return (None, 0, *head, None, texts, own, sorted(gone), sorted(asked), page.digests, None, None)
+def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages without text are left out."""
 
+    def rows() -> Iterator[dict]:
+        for batch in batches:
+            names = ("page_id", "url", "host", "path", "tie")
+            for k in range(batch.num_rows):
+                lines = outline(_compared(lines_of(batch.column("html")[k].as_py())))
+                if lines.own:
+                    yield {c: batch.column(c)[k].as_py() for c in names} | lines._asdict()
 
-def _edge(page: _Page, span: int, side: int, near: _Near | None) -> tuple:
-    texts, own = [x.text for x in page.body], [x.place == "own" for x in page.body]
-    near = near if near and near.host == page.host else None
-    inner = (near.path, near.digests) if near else (None, None)
-    return (span, side, page.page_id, page.url, page.host, page.path, None, texts, own, None, None, page.digests, *inner)
+    return _table(rows(), PAGE)
 
 
-def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
+def _page(r: dict) -> _Page:
+    return _Page(r["page_id"], r["url"], r["host"], r["path"], r["tie"], Outline(r["digests"], r["own"], r["sizes"]))
 
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), KINDS)], NAMES)
 
-    for row in rows:
-        held.append(row)
-        size += 200 + len(row[6] or "") + sum(map(len, row[7] or ()))
-        if size > PASSED:
-            yield out()
-            held, size = [], 0
-    if held:
-        yield out()
+def _nearest(page: _Page, before: _Near | None, after: _Near | None) -> tuple[list[int] | None, list[int] | None]:
+    """The neighbours on the page's host: the one whose path is nearer, then the other. The one before wins a tie."""
+    near = [p for p in (before, after) if p is not None and p.host == page.host]
+    near.sort(key=lambda p: -_alike(p.path, page.path))
+    return (*(p.digests for p in near), None, None)[:2]
+
+
+def _settled(page: _Page, before: _Near | None, after: _Near | None) -> Iterator[dict]:
+    """The row of a page whose neighbours are known, if they change anything."""
+    gone, asked = compared(page.lines, *_nearest(page, before, after))
+    left = left_lines(page.lines, gone)
+    if asked:
+        yield page.row(gone=sorted(gone), asked=sorted(asked))
+    elif left != left_lines(page.lines):
+        yield page.row(left=left)
+
+
+def _edge(page: _Page, span: int, side: int, near: _Near | None) -> dict:
+    inner = {"near_path": near.path, "near_digests": near.digests} if near and near.host == page.host else {}
+    return page.row(span=span, side=side, **inner)
 
 
 def _pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each page of a range with its neighbours; the first and the last are left for those of other ranges."""
     span = TaskContext.get().partitionId()
 
-    def rows() -> Iterator[tuple]:
+    def rows() -> Iterator[dict]:
         before = page = None
-        for after in _pages(batches):
-            if not after.body:
-                yield (None, 0, after.page_id, after.url, after.host, after.path, "", *(None,) * 7)
-                continue
-            if page is not None:
-                yield _edge(page, span, 1, after.near()) if before is None else _settled(page, before.near(), after.near())
+        for after in map(_page, _dicts(batches)):
+            if page is not None and before is None:
+                yield _edge(page, span, 1, after.near())
+            elif page is not None:
+                yield from _settled(page, before.near(), after.near())
             before, page = page, after
         if page is not None:
-            yield _edge(page, span, 3, None) if before is None else _edge(page, span, 2, before.near())
+            yield _edge(page, span, 2, before.near()) if before is not None else _edge(page, span, 3, None)
 
-    return _batches(rows())
+    return _table(rows(), PAIRED)
 
 
 def _joined_edges(edges: DataFrame) -> DataFrame:
@@ -554,23 +558,30 @@ def _joined_edges(edges: DataFrame) -> DataFrame:
 
 
 def _settle_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows() -> Iterator[tuple]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                page = _Page(r["page_id"], r["url"], r["host"], r["path"], _body(r["texts"], r["own"]), r["digests"])
-                before, after = (_Near(**r[c]) if r[c] else None for c in ("before", "after"))
-                inner = _Near(page.host, r["near_path"], r["near_digests"]) if r["near_digests"] is not None else None
-                before, after = (before if r["side"] != 2 else inner), (after if r["side"] != 1 else inner)
-                yield _settled(page, before, after)
+    def rows() -> Iterator[dict]:
+        for r in _dicts(batches):
+            page = _page(r)
+            before, after = (_Near(**r[c]) if r[c] else None for c in ("before", "after"))
+            inner = _Near(page.host, r["near_path"], r["near_digests"]) if r["near_digests"] is not None else None
+            yield from _settled(page, inner if r["side"] == 2 else before, inner if r["side"] == 1 else after)
+
+    return _table(rows(), PAIRED)
+
+
+def _borne_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows() -> Iterator[dict]:
+        for r in _dicts(batches):
+            page, common = Outline(r["digests"], r["own"], r["sizes"]), set(r["common"] or ())
+            left = left_lines(page, set(r["gone"]), {i for i in r["asked"] if page.digests[i] in common})
+            if left != left_lines(page):
+                yield {c: r[c] for c in KEY} | {"left": left}
 
-    return _batches(rows())
+    return _table(rows(), "page_id long, url string, tie long, left array<int>")
 
 
-def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = []
-        for r in batch.to_pylist():
-            common = set(r["common"] or ())
-            borne_out = {i for i in r["asked"] if r["digests"][i] in common}
-            texts.append(finished(_body(r["texts"], r["own"]), set(r["gone"]), borne_out))
-        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+        for piece in slices(batch, "html"):
+            texts = [main_text(piece.column("html")[k].as_py(), piece.column("left")[k].as_py()) for k in range(piece.num_rows)]
+            columns = [piece.column("page_id"), piece.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])

@@ -8,7 +8,7 @@ FRAME = "<nav><a href='/x'>Home</a></nav><div class=\"ad\">Buy</div>"
 
 
 def text_of(page: str) -> str:
-    return main_text(lines_of(page))
+    return main_text(page)
 
 
 @pytest.mark.parametrize(
