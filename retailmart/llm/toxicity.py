@@ -3,7 +3,8 @@
 The lexicon holds the words that stand in toxic texts far more often than chance. Its trie is intersected with
 Levenshtein automata: a state is the set of (trie node, edits so far) that a word's beginning can lead to, made when
 it is first met, so a word is read once, letter by letter, and most words end after two or three. A window of words
-around each hit tells quotation (quote marks, words about words) from abuse (address, exclamation). Counts of the kinds
+around each hit tells quotation (quote marks around it or around the passage it stands in, words about words) from abuse
+(address, exclamation). Counts of the kinds
 of hits are weighed by a logistic model.
 """
 
@@ -24,7 +25,19 @@ from retailmart.llm.texts import doc_texts, kept, map_arrow, mixed, texts_of
 
 WORD = re.compile(r"\w+")
 #: Words that signs run through, as in ``id*ot`` or ``st@pid``; they are read whole, beside their pieces.
-MASKED = re.compile(r"\w+(?:[*@$#%&+!|^~.·•-]+\w+)+")
+SIGNS = "*@$#%&+!|^~.·•-"
+MASKED = re.compile(rf"\w+(?:[{re.escape(SIGNS)}]+\w+)+")
+SIGN_INSIDE = re.compile(rf"(?<=\w)[{re.escape(SIGNS)}]+(?=\w)")
+NO_SIGNS = str.maketrans("", "", SIGNS)
+#: Characters that show nothing, put into words to hide them.
+UNSEEN = re.compile("[\u00ad\u200b-\u200d\u2060\ufeff]")
+#: Passages in quote marks, on one line; a mark inside a word or beside a blank it should hug is none.
+QUOTE_CHARACTERS = 400
+QUOTED = re.compile(
+    r'(?<!\w)"(?=\S)[^"\n]{0,400}?(?<=\S)"(?!\w)|“[^“”\n]{0,400}”|„[^„“”\n]{0,400}[“”]|«[^«»\n]{0,400}»|»[^«»\n]{0,400}«|(?<!\w)[‘`](?=\S)[^‘`\n]{0,400}?(?<=\S)[’\'`](?!\w)'.replace(
+        "400", str(QUOTE_CHARACTERS)
+    )
+)
 #: Words on either side of a hit that are looked at.
 WINDOW = 5
 #: A word joins the lexicon if its log-likelihood ratio and its share of toxic texts reach these.
@@ -129,15 +142,47 @@ class Lexicon:
         return self.accepts[state]
 
 
+def seen(text: str) -> str:
+    """The text in lower case, without characters that show nothing."""
+    lower = text.lower()
+    return UNSEEN.sub("", lower) if UNSEEN.search(lower) else lower
+
+
+def masked_words(lower: str) -> list[re.Match]:
+    """Words with signs inside: the few signs are looked for, and the word around each is read."""
+    found: list[re.Match] = []
+    upto = 0
+    for sign in SIGN_INSIDE.finditer(lower):
+        if sign.start() < upto:
+            continue
+        begin = sign.start()
+        while begin > upto and (lower[begin - 1].isalnum() or lower[begin - 1] == "_"):
+            begin -= 1
+        word = MASKED.match(lower, begin)
+        if word:
+            found.append(word)
+            upto = word.end()
+    return found
+
+
+def edits_of(word: str, lexicon: Lexicon) -> int:
+    """The edits between a word and the nearest term that allows so many, or -1. Signs inside a word stand for a letter,
+    or for nothing, which counts as one edit."""
+    found = lexicon.match(word)
+    if found is not None:
+        return found[0]
+    bare = word.translate(NO_SIGNS)
+    return 1 if bare != word and bare in lexicon.exact and len(bare) > 4 else -1
+
+
 def hits(text: str, lexicon: Lexicon, cache: dict[str, int]) -> Counter:
     """Numbers of hits by kind; ``cache`` has the edits (or -1) of words met before. A word with signs inside is a hit as
-    a whole if none of its pieces is one."""
-    lower = text.lower()
+    a whole if none of its pieces is one. A hit is quoted if it stands in quote marks, or in a passage that does."""
+    lower = seen(text)
     words = WORD.findall(lower)
-    masked = list(MASKED.finditer(lower))
+    masked = masked_words(lower)
     for w in {*words, *(m[0] for m in masked)}.difference(cache):
-        found = lexicon.match(w)
-        cache[w] = -1 if found is None else found[0]
+        cache[w] = edits_of(w, lexicon)
     counts: Counter = Counter()
     at = [i for i, e in enumerate(map(cache.__getitem__, words)) if e >= 0]
     masked = [m for m in masked if cache[m[0]] >= 0]
@@ -149,10 +194,13 @@ def hits(text: str, lexicon: Lexicon, cache: dict[str, int]) -> Counter:
         first, last = bisect_left(spans, m.span()[:1]), bisect_left(spans, (m.end(),)) - 1
         if all(cache[w] < 0 for w in words[first : last + 1]):
             found.append((first, last, *m.span(), cache[m[0]]))
+    quotes = [m.span() for m in QUOTED.finditer(lower)]
+    opened = [a for a, _ in quotes]
     for first, last, begin, end, edits in found:
         around = words[max(0, first - WINDOW) : last + WINDOW + 1]
         quoted = lower[begin - 1 : begin] in set(OPENING) and lower[end : end + 1] in set(CLOSING)
-        quoted = quoted or not MENTION.isdisjoint(around)
+        inside = bisect_left(opened, begin) - 1
+        quoted = quoted or inside >= 0 and end <= quotes[inside][1] or not MENTION.isdisjoint(around)
         addressed = not ADDRESS.isdisjoint(around) or lower[end : end + 1] == "!"
         kind = "exact" if edits == 0 else "near"
         counts[kind + ("_quoted" if quoted else "_addressed" if addressed else "")] += 1
@@ -208,8 +256,8 @@ def word_counts(texts: DataFrame) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         toxic, total = Counter(), Counter()
         for label, text in zip(batch.column("label").to_pylist(), texts_of(batch.column("text"))):
-            lower = text.decode().lower()
-            own = {*WORD.findall(lower), *MASKED.findall(lower)}
+            lower = seen(text.decode())
+            own = {*WORD.findall(lower), *(m[0] for m in masked_words(lower))}
             total.update(own)
             if label:
                 toxic.update(own)
