@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -18,10 +19,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailmart.llm.texts import doc_texts, map_arrow, mixed, texts_of
+from retailmart.llm.texts import doc_texts, kept, map_arrow, mixed, texts_of
 
 WORD = re.compile(r"\w+")
-#: Text bytes of the items that are searched for in one pass; more items take more passes over the documents.
+#: Text bytes of the items that are searched for in one pass; more items take more passes over the documents. The index
+#: of a block takes about five times as much memory, on the driver and in each Python worker.
 BLOCK_BYTES = 16_000_000
 
 
@@ -34,15 +36,20 @@ def shingles_of(words: list[str], width: int) -> set[tuple[str, ...]]:
     return set(zip(*[words[i:] for i in range(width)]))
 
 
+#: Items whose shingles a task keeps at hand.
+SHINGLED = 2_000
+
+
 class ItemIndex:
-    """Signatures and shingles of a block of items."""
+    """Signatures of a block of items, and their texts; shingles are cut from these when an item is a candidate."""
 
     def __init__(self, items: list[tuple[int | None, str]], shingle_words: int, threshold: float):
         self.threshold = threshold
         self.ids: list[int | None] = []
-        self.shingles: list[set] = []
+        self.texts: list[str] = []
+        self.widths: list[int] = []
         self.hash_of: dict[str, int] = {}
-        signatures: dict[int, list[tuple[int, int]]] = {}
+        signatures: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         for item_id, text in items:
             words = words_of(text)
             width = min(shingle_words, len(words))
@@ -53,13 +60,31 @@ class ItemIndex:
             hashes = np.unique(self.hashes(np.array([self.hash_of[w] for w in words], np.uint64), width))
             largest = (1 << int(len(hashes)).bit_length()) - 1
             least = hashes[: int((1 - threshold) * largest + 1e-9) + 1]
-            signatures.setdefault(width, []).extend((int(h), len(self.ids)) for h in least)
+            signatures.setdefault(width, []).append((least.copy(), np.full(len(least), len(self.ids), np.int32)))
             self.ids.append(item_id)
-            self.shingles.append(shingles_of(words, width))
+            self.texts.append(text)
+            self.widths.append(width)
         self.signatures = {}
-        for width, found in signatures.items():
-            found.sort()
-            self.signatures[width] = (np.array([h for h, _ in found], np.uint64), np.array([k for _, k in found]))
+        for width, parts in signatures.items():
+            least, owner = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+            order = np.argsort(least, kind="stable")
+            self.signatures[width] = least[order], owner[order]
+        self.ready()
+
+    def ready(self) -> ItemIndex:
+        """Shingles of the candidates met last; not sent with the index."""
+        self.shingles = lru_cache(SHINGLED)(lambda k: shingles_of(words_of(self.texts[k]), self.widths[k]))
+        return self
+
+    def sent(self) -> dict:
+        """The index as plain data, which any worker can read."""
+        return {name: value for name, value in vars(self).items() if name != "shingles"}
+
+    @classmethod
+    def received(cls, data: dict) -> ItemIndex:
+        index = cls.__new__(cls)
+        vars(index).update(data)
+        return index.ready()
 
     @staticmethod
     def hashes(words: np.ndarray, width: int) -> np.ndarray:
@@ -85,7 +110,7 @@ class ItemIndex:
             if candidates:
                 own = shingles_of(words, width)
                 for k in sorted(candidates):
-                    shared, size = len(self.shingles[k] & own), len(self.shingles[k])
+                    shared, size = len(self.shingles(k) & own), len(self.shingles(k))
                     if shared >= self.threshold * size - 1e-9:
                         yield self.ids[k], shared, size
 
@@ -106,19 +131,24 @@ def contained_items(
     Words are lower-cased runs of letters, digits and underscores; shingles are sets of ``shingle_words`` words in
     a row. An item of fewer words is one shingle of all its words; one without words (null, empty) is found
     nowhere. The items are a query set: they are cut into blocks of about ``block_bytes`` by a hash of their row, each block
-    is indexed on the driver and searched for in one pass over the documents without a shuffle. Equal item rows
+    is indexed on the driver and searched for in one pass over the documents without a shuffle. With several blocks, the
+    rows that one finds are written before the next is indexed, so that one index is held at a time. Equal item rows
     count once; a pair of ids stands once per document row, with the larger containment. Empty tables give no rows.
     """
     texts = doc_texts(docs, id_col, text_col)
     found = texts.sparkSession.createDataFrame([], SCHEMA)
-    for k, index in enumerate(item_blocks(items, item_col, item_text_col, shingle_words, threshold, block_bytes)):
+    for index, alone in item_blocks(items, item_col, item_text_col, shingle_words, threshold, block_bytes):
         part = _search(texts, index)
-        found = found.unionByName(part) if k else part
+        if alone:
+            return part
+        found = found.unionByName(kept(part, "contained"))
     return found
 
 
-def item_blocks(items: DataFrame, item_col: str, item_text_col: str, shingle_words: int, threshold: float, block_bytes: int) -> Iterator[ItemIndex]:
-    """Indexes of the items, block by block."""
+def item_blocks(
+    items: DataFrame, item_col: str, item_text_col: str, shingle_words: int, threshold: float, block_bytes: int
+) -> Iterator[tuple[ItemIndex, bool]]:
+    """Indexes of the items, block by block, each made when it is asked for; and whether it is the only one."""
     wanted = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
     wanted = wanted.where(F.length("text") > 0).distinct()
     total = wanted.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -126,18 +156,21 @@ def item_blocks(items: DataFrame, item_col: str, item_text_col: str, shingle_wor
     for block in range(blocks):
         own = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         rows = sorted(((r["item_id"], r["text"]) for r in own.collect()), key=lambda x: (x[0] is not None, *x))
-        yield ItemIndex(rows, shingle_words, threshold)
+        yield ItemIndex(rows, shingle_words, threshold), blocks == 1
 
 
 SCHEMA = "doc_id long, item_id long, n_shared long, n_shingles long, containment double"
 
 
 def _search(texts: DataFrame, index: ItemIndex) -> DataFrame:
-    sent = texts.sparkSession.sparkContext.broadcast(vars(index))  # plain data, which any worker can read
+    sent = texts.sparkSession.sparkContext.broadcast(index.sent())
+
+    task: list[ItemIndex] = []  # this task's copy
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows, index = [], ItemIndex.__new__(ItemIndex)
-        vars(index).update(sent.value)
+        if not task:
+            task.append(ItemIndex.received(sent.value))
+        rows, index = [], task[0]
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch.column("text"))):
             best: dict[int | None, tuple] = {}
             for item_id, shared, size in index.found_in(text.decode()):
@@ -161,18 +194,21 @@ def decontaminate(
     threshold: float = 0.8,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text holds none of the items: one pass, no shuffle."""
-    for index in item_blocks(items, item_col, item_text_col, shingle_words, threshold, block_bytes):
+    """The rows of ``docs``, all columns, whose text holds none of the items: one pass for each block of items, no shuffle.
+
+    With several blocks, the rows that one leaves are written before the next is indexed."""
+    for index, alone in item_blocks(items, item_col, item_text_col, shingle_words, threshold, block_bytes):
         docs = _without(docs, index, text_col)
+        if not alone:
+            docs = kept(docs, "decontaminated")
     return docs
 
 
 def _without(docs: DataFrame, index: ItemIndex, text_col: str) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(vars(index))
+    sent = docs.sparkSession.sparkContext.broadcast(index.sent())
 
     def run(batches):
-        own = ItemIndex.__new__(ItemIndex)
-        vars(own).update(sent.value)
+        own = ItemIndex.received(sent.value)
         for batch in batches:
             texts = texts_of(batch.column(batch.schema.get_field_index(text_col)))
             clean = [next(own.found_in(t.decode()), None) is None for t in texts]
