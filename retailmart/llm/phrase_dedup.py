@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailmart.llm.texts import kept, map_arrow, texts_of
-from retailmart.llm.windows import BLOCK_BYTES, DOC, GROUP, WordUnits, doc_rows, folded, folded_rows, map_groups, recurring, removed, with_bodies
+from retailmart.llm.windows import BLOCK_BYTES, DOC, GROUP, SLICE, WordUnits, doc_rows, folded, folded_rows, map_groups, recurring, removed, with_bodies
 
 SPANS = "doc_id long, th int, lo int, n int"
 
@@ -90,17 +90,19 @@ def _by_window(bodies: DataFrame, length: int) -> DataFrame:
     """The same for groups too large for one task: the first place of every phrase's 128-bit hash."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out: list[tuple] = []
-        ids, ths, los = (batch.column(c).to_pylist() for c in (*DOC, "lo"))
-        for doc_id, th, lo, body in zip(ids, ths, los, batch.column("text").to_pylist()):
+        hashes, n = bytearray(), []
+        for body in texts_of(batch.column("text")):
             words = body.split()
-            for i in range(len(words) - length + 1):
-                out.append((xxhash.xxh128_digest(b" ".join(words[i : i + length])), doc_id, th, lo + i))
-        columns = list(zip(*out)) if out else [[]] * 4
-        kinds = [pa.binary(), pa.int64(), pa.int32(), pa.int32()]
-        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds)], ["h", "doc_id", "th", "lo"])
-
-    phrases = map_arrow(bodies.withColumnRenamed("body", "text"), work, "h binary, doc_id long, th int, lo int")
+            n.append(max(0, len(words) - length + 1))
+            for i in range(n[-1]):
+                hashes += xxhash.xxh128_digest(b" ".join(words[i : i + length]))
+        row = np.repeat(np.arange(batch.num_rows), n)
+        at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + batch.column("lo").to_numpy()[row]
+        h = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(row), [None, pa.py_buffer(bytes(hashes))]).cast(pa.binary())
+        same = [batch.column(c).take(pa.array(row)) for c in DOC]
+        return pa.RecordBatch.from_arrays([h, *same, pa.array(at.astype(np.int32))], ["h", "doc_id", "th", "lo"])
+
+    phrases = map_arrow(bodies.withColumnRenamed("body", "text"), work, "h binary, doc_id long, th int, lo int", SLICE)
     firsts = phrases.groupBy("h").agg(F.min(F.struct(*DOC, "lo")).alias("first"), F.count("*").alias("c")).where("c > 1")
     joined = phrases.join(firsts, "h").where(~F.struct(*DOC, "lo").eqNullSafe(F.col("first")))
     return joined.select(*DOC, "lo", F.lit(1).alias("n"))

@@ -17,8 +17,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailmart.llm.texts import buffer_of, kept, map_arrow
-from retailmart.llm.windows import BLOCK_BYTES, DOC, GROUP, ByteUnits, doc_rows, folded, folded_rows, map_groups, recurring, removed, with_bodies
+from retailmart.llm.texts import buffer_of, kept, map_arrow, texts_of
+from retailmart.llm.windows import BLOCK_BYTES, DOC, GROUP, SLICE, ByteUnits, doc_rows, folded, folded_rows, map_groups, recurring, removed, with_bodies
 
 SPANS = "doc_id long, th int, lo int, n int"
 
@@ -133,15 +133,18 @@ def _by_window(bodies: DataFrame, length: int) -> DataFrame:
     """The same for groups too large for one task: a count of every string's 128-bit hash, folded before the shuffle."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out: list[tuple] = []
-        for lo, n, times, doc_id, th, body in zip(*[batch.column(c).to_pylist() for c in ("lo", "n", "times", "doc_id", "th", "text")]):
-            for i in range(n):
-                out.append((xxhash.xxh128_digest(body[i : i + length]), times, doc_id, th, lo + i))
-        columns = list(zip(*out)) if out else [[]] * 5
-        kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds)], ["h", "times", "doc_id", "th", "lo"])
-
-    strings = map_arrow(bodies.withColumnRenamed("body", "text"), work, "h binary, times long, doc_id long, th int, lo int")
+        n = batch.column("n").to_numpy()
+        hashes = bytearray()
+        for size, body in zip(n.tolist(), texts_of(batch.column("text"))):
+            for i in range(size):
+                hashes += xxhash.xxh128_digest(body[i : i + length])
+        row = np.repeat(np.arange(batch.num_rows), n)
+        at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + batch.column("lo").to_numpy()[row]
+        h = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(row), [None, pa.py_buffer(bytes(hashes))]).cast(pa.binary())
+        same = [batch.column(c).take(pa.array(row)) for c in ("times", "doc_id", "th")]
+        return pa.RecordBatch.from_arrays([h, *same, pa.array(at.astype(np.int32))], ["h", "times", "doc_id", "th", "lo"])
+
+    strings = map_arrow(bodies.withColumnRenamed("body", "text"), work, "h binary, times long, doc_id long, th int, lo int", SLICE)
     often = strings.groupBy("h").agg(F.sum("times").alias("c")).where("c > 1").select("h")
     return strings.where("times = 1").join(often, "h", "left_semi").select(*DOC, "lo", F.lit(1).alias("n"))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from retailmart.llm import queries
-from retailmart.llm.decontaminate import contained_items, decontaminate
+from retailmart.llm.decontaminate import ItemIndex, contained_items, decontaminate
 from retailmart.llm.quality_gam import fit_quality, score_quality
 from retailmart.llm.quality_rules import BASE, RULES, cascade_order, quality_filter, quality_verdicts
 from retailmart.llm.textstats import TextStats
@@ -94,6 +94,24 @@ def test_containment_equals_brute_force(spark, sample, block_bytes):
     assert left == {r["doc_id"] for r in docs.collect()} - {d for d, _ in got}
 
 
+def test_an_index_takes_few_times_its_items(sample):
+    """The shingles are cut when they are needed: what is sent and held grows with the texts alone."""
+    import pickle
+    import tracemalloc
+
+    items = [(k, r["text"]) for k, r in enumerate(sample.collect()) if r["text"]]
+    size = sum(len(t.encode()) for _, t in items)
+    tracemalloc.start()
+    index = ItemIndex(items, 5, 0.8)
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert size > 100_000 and held < 7 * size
+    assert len(pickle.dumps(index.sent())) < 6 * size
+    again = ItemIndex.received(pickle.loads(pickle.dumps(index.sent())))
+    for item_id, text in items[:20]:
+        assert item_id in {k for k, _, _ in again.found_in(text)}
+
+
 def test_containment_of_odd_tables(messy, no_docs, spark):
     items = messy.select(F.col("doc_id").alias("item_id"), "text")
     assert contained_items(messy, items).count() > 0
@@ -175,6 +193,39 @@ def test_terms_masked_by_a_sign():
     assert hits("you st@pid one", lexicon, {}) == {"near_addressed": 1}
     assert hits("that idiot-like well-known thing", lexicon, {}) == {"exact": 1}
     assert hits('the "stu-pid" there', lexicon, {}) == {"near_quoted": 1}
+    assert hits("you are an i.d.i.o.t", lexicon, {}) == {"near_addressed": 1}
+    assert hits("you id\u200biot", lexicon, {}) == {"exact_addressed": 1}
+
+
+@pytest.mark.parametrize(
+    ("text", "kind"),
+    [
+        ('He wrote "you are an idiot" yesterday', "exact_quoted"),
+        ('"What an idiot!" she reported', "exact_quoted"),
+        ("“you idiot”", "exact_quoted"),
+        ("«vous êtes un idiot» a-t-elle dit", "exact_quoted"),
+        ("„du idiot“ stand dort", "exact_quoted"),
+        ("'you idiot' was written there", "exact"),
+        ('a 5" screen, you idiot, and a 7" one', "exact_addressed"),
+        ('"first" you idiot "second"', "exact_addressed"),
+        ('an open " mark and you idiot', "exact_addressed"),
+        ('"first line\nyou idiot" second', "exact_addressed"),
+        ("it’s you, idiot, isn’t it", "exact_addressed"),
+    ],
+)
+def test_passages_in_quote_marks(text, kind):
+    assert hits(text, Lexicon(["idiot"]), {}) in ({kind: 1}, {kind + "_addressed": 1})
+
+
+def test_masked_words_are_those_of_the_whole_pattern():
+    import random
+
+    from retailmart.llm.toxicity import MASKED, masked_words
+
+    rng = random.Random(3)
+    for _ in range(3000):
+        text = "".join(rng.choice("ab_é1*@.- ·") for _ in range(rng.randrange(25)))
+        assert [m.span() for m in masked_words(text)] == [m.span() for m in MASKED.finditer(text)]
 
 
 def test_pipeline_equals_its_stages(spark, tmp_path):
@@ -196,4 +247,4 @@ def test_pipeline_equals_its_stages(spark, tmp_path):
 
 def test_every_operator_has_a_query():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
