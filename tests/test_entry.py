@@ -28,4 +28,5 @@ def test_retail_queries_stand_alone(names):
     assert run.returncode == 0, run.stderr
     every, text, sql = map(int, run.stdout.split())
     assert every > 200 and text == 0 and sql == every
-    assert ("left out" in run.stderr) == (names[0] in ("ahocorasick", "xxhash"))
+    if (ROOT / "corpus_pipeline.py").exists() and (ROOT / "retailmart" / "llm").exists():
+        assert ("left out" in run.stderr) == (names[0] in ("ahocorasick", "xxhash"))
