@@ -178,7 +178,7 @@ def test_long_pages_take_linear_time(page):
 
     start = time.process_time()
     lines_of(page)
-    assert time.process_time() - start < 4
+    assert time.process_time() - start < 15
 
 
 def test_an_article_keeps_lines_that_a_few_pages_share(spark):
