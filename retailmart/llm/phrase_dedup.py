@@ -3,6 +3,8 @@
 Passages that recur are found by their keys (``windows``) and dealt to shards by key. Within a block of a shard, the
 phrases of ``length`` words that are confirmed to recur are compiled into an Aho-Corasick automaton, each with the place
 where it stands first; the block's passages are streamed through it, and every occurrence at a later place is removed.
+A passage that occurs many times is compiled and streamed once, with its count: the automaton's hits in it hold for all its
+copies, those at the place where a phrase stands first for all copies but the first.
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ from pyspark.sql import functions as F
 from retailmart.llm.texts import kept, map_arrow, texts_of
 from retailmart.llm.windows import BLOCK_BYTES, DOC, GROUP, SLICE, WordUnits, doc_rows, folded, folded_rows, map_groups, recurring, removed, with_bodies
 
-SPANS = "doc_id long, th int, lo int, n int"
+#: Stretches of ``n`` starts, from the window ``at`` of a passage on: for its first occurrence, or for all later ones.
+MARKS = "key long, body_hash long, _doc_id long, _th int, _lo int, later boolean, at int, n int"
 
 
 def phrase_spans(rows: DataFrame, length: int, gram: int, group: int, block_bytes: int) -> DataFrame:
@@ -28,19 +31,19 @@ def phrase_spans(rows: DataFrame, length: int, gram: int, group: int, block_byte
     units = WordUnits(length, gram)
     passages = recurring(rows, units)
     kinds = folded(passages)
-    # Copies of a passage: all but the first occurrence.
-    firsts = kinds.where("times > 1").select("key", "body_hash", *[F.col(c).alias(f"_{c}") for c in (*DOC, "lo")])
-    later = ~(F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("th") == F.col("_th")) & (F.col("lo") == F.col("_lo")))
-    copied = passages.join(firsts, ["key", "body_hash"]).where(later).select(*DOC, "lo", "n")
     # Written, so that groups of either size cost one join with the texts.
-    bodies = kept(with_bodies(rows, kinds.where("kinds > 1"), units), "bodies")
+    bodies = kept(with_bodies(rows, kinds, units), "bodies")
     small = bodies.where(F.col("kinds") <= group)
-    spans = copied.unionByName(map_groups(small, lambda table: _automaton_block(table, length), SPANS, block_bytes))
-    return spans.unionByName(_by_window(bodies.where(F.col("kinds") > group), length))
+    marks = map_groups(small, lambda table: _automaton_block(table, length), MARKS, block_bytes)
+    marks = marks.unionByName(_by_window(bodies.where(F.col("kinds") > group), length)).withColumnRenamed("n", "_n")
+    first = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("th") == F.col("_th")) & (F.col("lo") == F.col("_lo"))
+    found = passages.join(marks, ["key", "body_hash"]).where(first != F.col("later"))
+    return found.select(*DOC, (F.col("lo") + F.col("at")).alias("lo"), F.col("_n").alias("n"))
 
 
 def _automaton_block(table: pa.Table, length: int) -> pa.RecordBatch | None:
-    """Later occurrences among the block's passages, which come in the order of their places within each key."""
+    """What the automaton of the block's phrases finds in each passage; they come in the order of their first places within
+    each key."""
     # Rows equal in id and text are one text: their passages stand together, and the first is enough.
     place = list(zip(*[table.column(c).to_pylist() for c in ("key", *DOC, "lo")]))
     table = table.filter(pa.array([k == 0 or p != place[k - 1] for k, p in enumerate(place)], pa.bool_())).combine_chunks()
@@ -49,9 +52,11 @@ def _automaton_block(table: pa.Table, length: int) -> pa.RecordBatch | None:
     passages = []
     for body in texts_of(bodies.chunk(0) if isinstance(bodies, pa.ChunkedArray) else bodies):
         passages.append(tuple([number.setdefault(w, len(number)) for w in body.split()]))
+    copies = table.column("times").to_pylist()
     times: Counter = Counter()
-    for words in passages:
-        times.update(words[i : i + length] for i in range(len(words) - length + 1))
+    for words, often in zip(passages, copies):
+        for i in range(len(words) - length + 1):
+            times[words[i : i + length]] += often
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
     place, confirmed = 0, set()
     for words in passages:
@@ -64,30 +69,34 @@ def _automaton_block(table: pa.Table, length: int) -> pa.RecordBatch | None:
     if not confirmed:
         return None
     automaton.make_automaton()
-    rows, lo, n, place = [], [], [], 0
-    at = table.column("lo").to_pylist()
+    rows, later, at, n, place = [], [], [], [], 0
     for k, words in enumerate(passages):
-        last = -2
-        for end, first in automaton.iter(words):
-            start = end - length + 1
-            if first == place + start:
-                continue
-            if start == last + 1:
-                n[-1] += 1
-            else:
-                rows.append(k)
-                lo.append(at[k] + start)
-                n.append(1)
-            last = start
+        hits = [(end - length + 1, first) for end, first in automaton.iter(words)]
+        wanted = [(False, [start for start, first in hits if first != place + start])]
+        if copies[k] > 1:
+            wanted.append((True, [start for start, _ in hits]))
+        for of_later, starts in wanted:
+            last = -2
+            for start in starts:
+                if start == last + 1:
+                    n[-1] += 1
+                else:
+                    rows.append(k)
+                    later.append(of_later)
+                    at.append(start)
+                    n.append(1)
+                last = start
         place += len(words)
     take = pa.array(rows, pa.int64())
-    columns = [table.column(c).combine_chunks().take(take) for c in DOC]
+    columns = [table.column(c).combine_chunks().take(take) for c in ("key", "body_hash", *DOC, "lo")]
     columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(lo, pa.int32()), pa.array(n, pa.int32())], ["doc_id", "th", "lo", "n"])
+    found = [pa.array(later, pa.bool_()), pa.array(at, pa.int32()), pa.array(n, pa.int32())]
+    return pa.RecordBatch.from_arrays([*columns, *found], ["key", "body_hash", "_doc_id", "_th", "_lo", "later", "at", "n"])
 
 
 def _by_window(bodies: DataFrame, length: int) -> DataFrame:
-    """The same for groups too large for one task: the first place of every phrase's 128-bit hash."""
+    """The same for groups too large for one task: the first place of every phrase's 128-bit hash; all phrases of a passage
+    with copies start earlier than in its later ones."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashes, n = bytearray(), []
@@ -97,15 +106,20 @@ def _by_window(bodies: DataFrame, length: int) -> DataFrame:
             for i in range(n[-1]):
                 hashes += xxhash.xxh128_digest(b" ".join(words[i : i + length]))
         row = np.repeat(np.arange(batch.num_rows), n)
-        at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + batch.column("lo").to_numpy()[row]
+        at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
         h = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(row), [None, pa.py_buffer(bytes(hashes))]).cast(pa.binary())
-        same = [batch.column(c).take(pa.array(row)) for c in DOC]
-        return pa.RecordBatch.from_arrays([h, *same, pa.array(at.astype(np.int32))], ["h", "doc_id", "th", "lo"])
-
-    phrases = map_arrow(bodies.withColumnRenamed("body", "text"), work, "h binary, doc_id long, th int, lo int", SLICE)
-    firsts = phrases.groupBy("h").agg(F.min(F.struct(*DOC, "lo")).alias("first"), F.count("*").alias("c")).where("c > 1")
-    joined = phrases.join(firsts, "h").where(~F.struct(*DOC, "lo").eqNullSafe(F.col("first")))
-    return joined.select(*DOC, "lo", F.lit(1).alias("n"))
+        same = [batch.column(c).take(pa.array(row)) for c in ("key", "body_hash", *DOC, "lo")]
+        return pa.RecordBatch.from_arrays([h, *same, pa.array(at.astype(np.int32))], ["h", "key", "body_hash", "_doc_id", "_th", "_lo", "at"])
+
+    schema = "h binary, key long, body_hash long, _doc_id long, _th int, _lo int, at int"
+    phrases = map_arrow(bodies.withColumnRenamed("body", "text"), work, schema, SLICE)
+    place = F.struct("_doc_id", "_th", (F.col("_lo") + F.col("at")).alias("start"))
+    firsts = phrases.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("c")).where("c > 1")
+    passage = ["key", "body_hash", "_doc_id", "_th", "_lo"]
+    joined = phrases.join(firsts, "h").where(~place.eqNullSafe(F.col("first")))
+    found = joined.select(*passage, F.lit(False).alias("later"), "at", F.lit(1).alias("n"))
+    named = bodies.withColumnsRenamed({c: f"_{c}" for c in (*DOC, "lo")}).where("times > 1")
+    return found.unionByName(named.select(*passage, F.lit(True).alias("later"), F.lit(0).alias("at"), "n"))
 
 
 def _left(data: bytes, starts: np.ndarray, ends: np.ndarray, a: int, b: int, gone: np.ndarray) -> bytes:

@@ -5,6 +5,9 @@ suffixes at the ends of runs are kept: position, neighbour in sorted order, and
 index holds, and it is small where the text repeats itself. Matching statistics are then streamed over the text: away
 from the sampled positions the common prefix with the sorted neighbour falls by one from each position to the next.
 A position whose statistic reaches the length sought starts a string that also starts elsewhere.
+
+A passage that occurs many times is indexed once, with its count: its copies would stand side by side in sorted order as
+one run, which the index keeps as the two ends of the passage. What the index finds in a passage holds for all its copies.
 """
 
 from __future__ import annotations
@@ -20,14 +23,16 @@ from pyspark.sql import functions as F
 from retailmart.llm.texts import buffer_of, kept, map_arrow, texts_of
 from retailmart.llm.windows import BLOCK_BYTES, DOC, GROUP, SLICE, ByteUnits, doc_rows, folded, folded_rows, map_groups, recurring, removed, with_bodies
 
-SPANS = "doc_id long, th int, lo int, n int"
+#: Stretches of ``n`` starts, from the window ``at`` of a passage on.
+MARKS = "key long, body_hash long, at int, n int"
 
 
 class RunLengthIndex:
     """A run-compressed Burrows-Wheeler transform with the suffixes at run ends."""
 
-    def __init__(self, text: np.ndarray):
-        """``text``: whole numbers below 2**21 that end in a number found once."""
+    def __init__(self, text: np.ndarray, copied: tuple[np.ndarray, np.ndarray] | None = None):
+        """``text``: whole numbers below 2**21 that end in a number found once. ``copied``: the beginnings and ends of
+        stretches that stand for several copies, each followed by such a number."""
         order, ranks = suffix_order(text)
         before = text[order - 1]
         change = before[1:] != before[:-1]
@@ -37,13 +42,16 @@ class RunLengthIndex:
         self.above = order[1:][change], order[:-1][change]
         self.below = order[:-1][change], order[1:][change]
         self._common = common_prefix(text, ranks, *self.above)
+        #: Runs that a stretch forms with its copies: they agree from its beginning to its end.
+        self.copied = copied if copied is not None else (np.zeros(0, np.int64),) * 2
 
     def matching_statistics(self) -> np.ndarray:
         """For each position, the length of the longest string there that also starts elsewhere."""
         best = np.zeros(self.size, np.int64)
-        for positions, _ in (self.above, self.below):
+        sampled = [(positions, positions + self._common) for positions, _ in (self.above, self.below)]
+        for positions, ends in [*sampled, self.copied]:
             reach = np.zeros(self.size, np.int64)
-            reach[positions] = positions + self._common
+            reach[positions] = ends
             np.maximum(best, np.maximum.accumulate(reach) - np.arange(self.size), out=best)
         return best
 
@@ -93,18 +101,18 @@ def dedup_spans(rows: DataFrame, length: int, gram: int, group: int, block_bytes
     units = ByteUnits(length, gram)
     passages = recurring(rows, units)
     kinds = folded(passages)
-    # Copies of a passage: all its strings start elsewhere too.
-    copied = passages.join(kinds.where("times > 1").select("key", "body_hash"), ["key", "body_hash"], "left_semi").select(*DOC, "lo", "n")
-    small = with_bodies(rows, kinds.where(F.col("kinds").between(2, group)), units)
-    spans = copied.unionByName(map_groups(small, lambda table: _index_block(table, length), SPANS, block_bytes))
+    small = with_bodies(rows, kinds.where(F.col("kinds") <= group), units)
+    marks = map_groups(small, lambda table: _index_block(table, length), MARKS, block_bytes)
     large = kinds.where(F.col("kinds") > group)
-    if large.isEmpty():
-        return spans
-    return spans.unionByName(_by_window(kept(with_bodies(rows, large, units), "large-groups"), length))
+    if not large.isEmpty():
+        copied = large.where("times > 1").select("key", "body_hash", F.lit(0).alias("at"), "n")
+        marks = marks.unionByName(copied).unionByName(_by_window(kept(with_bodies(rows, large, units), "large-groups"), length))
+    found = marks.withColumnRenamed("n", "_n")
+    return passages.join(found, ["key", "body_hash"]).select(*DOC, (F.col("lo") + F.col("at")).alias("lo"), F.col("_n").alias("n"))
 
 
 def _index_block(table: pa.Table, length: int) -> pa.RecordBatch | None:
-    """Spans of the passages that occur once, matched against all passages of the block."""
+    """What the index of all the block's passages finds in each."""
     column = table.column("body").combine_chunks()
     data, offsets = buffer_of(column.chunk(0) if isinstance(column, pa.ChunkedArray) else column)
     count = len(offsets) - 1
@@ -115,22 +123,21 @@ def _index_block(table: pa.Table, length: int) -> pa.RecordBatch | None:
     body = np.ones(len(text), bool)
     body[at[1:] - 1] = False
     text[body] = data.astype(np.int64) + 1
-    found = RunLengthIndex(text).matching_statistics() >= length
-    once = table.column("times").to_numpy() == 1
-    found &= np.repeat(once, np.diff(at))
+    often = np.flatnonzero(table.column("times").to_numpy() > 1)
+    found = RunLengthIndex(text, (at[often], at[often + 1] - 1)).matching_statistics() >= length
     found[at[1:] - 1] = False
     edge = np.diff(np.concatenate([[0], found.astype(np.int8), [0]]))
     begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     doc = np.searchsorted(at, begin, "right") - 1
     take = pa.array(doc)
-    lo = table.column("lo").to_numpy()[doc] + (begin - at[doc])
-    columns = [table.column(c).take(take).combine_chunks() for c in DOC]
-    columns = [c.chunk(0) if isinstance(c, pa.ChunkedArray) and c.num_chunks else c for c in columns]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(lo.astype(np.int32)), pa.array((end - begin).astype(np.int32))], ["doc_id", "th", "lo", "n"])
+    columns = [table.column(c).combine_chunks().take(take) for c in ("key", "body_hash")]
+    columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
+    return pa.RecordBatch.from_arrays([*columns, pa.array((begin - at[doc]).astype(np.int32)), pa.array((end - begin).astype(np.int32))], ["key", "body_hash", "at", "n"])
 
 
 def _by_window(bodies: DataFrame, length: int) -> DataFrame:
-    """The same for groups too large for one task: a count of every string's 128-bit hash, folded before the shuffle."""
+    """The same for passages without a copy in groups too large for one task: a count of every string's 128-bit hash,
+    folded before the shuffle."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         n = batch.column("n").to_numpy()
@@ -139,14 +146,14 @@ def _by_window(bodies: DataFrame, length: int) -> DataFrame:
             for i in range(size):
                 hashes += xxhash.xxh128_digest(body[i : i + length])
         row = np.repeat(np.arange(batch.num_rows), n)
-        at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + batch.column("lo").to_numpy()[row]
+        at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
         h = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(row), [None, pa.py_buffer(bytes(hashes))]).cast(pa.binary())
-        same = [batch.column(c).take(pa.array(row)) for c in ("times", "doc_id", "th")]
-        return pa.RecordBatch.from_arrays([h, *same, pa.array(at.astype(np.int32))], ["h", "times", "doc_id", "th", "lo"])
+        same = [batch.column(c).take(pa.array(row)) for c in ("times", "key", "body_hash")]
+        return pa.RecordBatch.from_arrays([h, *same, pa.array(at.astype(np.int32))], ["h", "times", "key", "body_hash", "at"])
 
-    strings = map_arrow(bodies.withColumnRenamed("body", "text"), work, "h binary, times long, doc_id long, th int, lo int", SLICE)
+    strings = map_arrow(bodies.withColumnRenamed("body", "text"), work, "h binary, times long, key long, body_hash long, at int", SLICE)
     often = strings.groupBy("h").agg(F.sum("times").alias("c")).where("c > 1").select("h")
-    return strings.where("times = 1").join(often, "h", "left_semi").select(*DOC, "lo", F.lit(1).alias("n"))
+    return strings.where("times = 1").join(often, "h", "left_semi").select("key", "body_hash", "at", F.lit(1).alias("n"))
 
 
 def _finish(data, starts, ends, firsts, gone) -> list[pa.Array]:

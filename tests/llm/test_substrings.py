@@ -108,6 +108,37 @@ def test_matching_statistics_equal_brute_force():
     assert len(index.heads) < len(text)
 
 
+def test_a_run_of_copies_answers_as_its_copies_would():
+    """A text with its count in the index: the statistics of the text beside its copies, all written out."""
+    rng = np.random.default_rng(5)
+    parts = [rng.integers(1, 4, size) for size in (40, 25, 33, 12)]
+    times = [3, 1, 2, 1]
+    once = np.concatenate([np.append(p, 300 + k) for k, p in enumerate(parts)]).astype(np.int64)
+    spread = [p for p, t in zip(parts, times) for _ in range(t)]
+    whole = np.concatenate([np.append(p, 300 + k) for k, p in enumerate(spread)]).astype(np.int64)
+    ends = np.flatnonzero(once >= 300)
+    begins = np.append(0, ends[:-1] + 1)
+    often = np.array(times) > 1
+    got = RunLengthIndex(once, (begins[often], ends[often])).matching_statistics()
+    want = RunLengthIndex(whole).matching_statistics()
+    at = 0
+    for k, t in enumerate(times):
+        size = len(parts[k])
+        for _ in range(t):
+            assert got[begins[k] : begins[k] + size].tolist() == want[at : at + size].tolist()
+            at += size + 1
+
+
+def test_the_index_and_the_automaton_decide_copies(sample, monkeypatch):
+    """With what they find left out, nothing is removed: no other path settles copies."""
+    assert any(r["n_removed"] for r in suffix_dedup.suffix_dedup(sample).collect())
+    assert any(r["n_removed"] for r in phrase_dedup.phrase_dedup(sample).collect())
+    monkeypatch.setattr(suffix_dedup, "_index_block", lambda table, length: None)
+    monkeypatch.setattr(phrase_dedup, "_automaton_block", lambda table, length: None)
+    assert not any(r["n_removed"] for r in suffix_dedup.suffix_dedup(sample).collect())
+    assert not any(r["n_removed"] for r in phrase_dedup.phrase_dedup(sample).collect())
+
+
 def test_grams_depend_on_their_units_only():
     import pyarrow as pa
 
