@@ -52,28 +52,43 @@ def _automaton_block(table: pa.Table, length: int) -> pa.RecordBatch | None:
     passages = []
     for body in texts_of(bodies.chunk(0) if isinstance(bodies, pa.ChunkedArray) else bodies):
         passages.append(tuple([number.setdefault(w, len(number)) for w in body.split()]))
-    copies = table.column("times").to_pylist()
+    copies, kinds = table.column("times").to_pylist(), table.column("kinds").to_pylist()
+    # Phrases of a passage alone with its key stand in its copies only.
     times: Counter = Counter()
-    for words, often in zip(passages, copies):
-        for i in range(len(words) - length + 1):
-            times[words[i : i + length]] += often
+    for words, kind in zip(passages, kinds):
+        if kind > 1:
+            times.update(words[i : i + length] for i in range(len(words) - length + 1))
+    # A phrase that stands in several passages, or twice in one, is a pattern of its own (an even number: its first place);
+    # a passage with copies is one pattern as a whole (an odd number).
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
     place, confirmed = 0, set()
-    for words in passages:
-        for i in range(len(words) - length + 1):
+    for words, kind in zip(passages, kinds):
+        for i in range(len(words) - length + 1) if kind > 1 else ():
             phrase = words[i : i + length]
             if times[phrase] > 1 and phrase not in confirmed:
                 confirmed.add(phrase)
-                automaton.add_word(phrase, place + i)
+                automaton.add_word(phrase, 2 * (place + i))
+        place += len(words)
+    place = 0
+    for words, often in zip(passages, copies):
+        if often > 1 and words not in confirmed:
+            automaton.add_word(words, 2 * place + 1)
         place += len(words)
-    if not confirmed:
+    if not len(automaton):
         return None
     automaton.make_automaton()
     rows, later, at, n, place = [], [], [], [], 0
     for k, words in enumerate(passages):
-        hits = [(end - length + 1, first) for end, first in automaton.iter(words)]
+        hits, whole = [], False
+        for end, value in automaton.iter(words):
+            if value % 2:
+                whole |= value // 2 == place  # the passage itself
+            else:
+                hits.append((end - length + 1, value // 2))
         wanted = [(False, [start for start, first in hits if first != place + start])]
-        if copies[k] > 1:
+        if whole:
+            wanted.append((True, range(len(words) - length + 1)))
+        elif copies[k] > 1:
             wanted.append((True, [start for start, _ in hits]))
         for of_later, starts in wanted:
             last = -2
