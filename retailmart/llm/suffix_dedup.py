@@ -30,18 +30,19 @@ MARKS = "key long, body_hash long, at int, n int"
 class RunLengthIndex:
     """A run-compressed Burrows-Wheeler transform with the suffixes at run ends."""
 
-    def __init__(self, text: np.ndarray, copied: tuple[np.ndarray, np.ndarray] | None = None):
-        """``text``: whole numbers below 2**21 that end in a number found once. ``copied``: the beginnings and ends of
-        stretches that stand for several copies, each followed by such a number."""
-        order, ranks = suffix_order(text)
-        before = text[order - 1]
+    def __init__(self, text: np.ndarray, copied: tuple[np.ndarray, np.ndarray] | None = None, ends: int | None = None):
+        """``text``: whole numbers that end in a number found once; those from ``ends`` on are found once each. ``copied``:
+        the beginnings and ends of stretches that stand for several copies, each followed by such a number."""
+        order = SuffixOrder(text, ends)
+        positions = order.positions
+        before = text[positions - 1]
         change = before[1:] != before[:-1]
         #: For each sampled position: its neighbour in sorted order, above and below.
         self.size = len(text)
         self.heads = np.concatenate([before[:1], before[1:][change]])
-        self.above = order[1:][change], order[:-1][change]
-        self.below = order[:-1][change], order[1:][change]
-        self._common = common_prefix(text, ranks, *self.above)
+        self.above = positions[1:][change], positions[:-1][change]
+        self.below = positions[:-1][change], positions[1:][change]
+        self._common = order.common_prefix(*self.above)
         #: Runs that a stretch forms with its copies: they agree from its beginning to its end.
         self.copied = copied if copied is not None else (np.zeros(0, np.int64),) * 2
 
@@ -56,44 +57,68 @@ class RunLengthIndex:
         return best
 
 
-def suffix_order(text: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
-    """(positions in sorted order, ranks by prefixes of 3, 6, 12, ... symbols), by doubling.
+class SuffixOrder:
+    """The positions of a text in sorted order of their suffixes, by prefix doubling; only what is still tied is sorted again.
 
-    A rank is the place of the first of all equal prefixes; only what is still tied is sorted again.
+    The first keys hold as many symbols as fit into a machine word. Numbers from ``ends`` on take one symbol there, as a
+    prefix that holds one is like no other; prefixes that agree up to such a number stand in any order.
     """
-    n = len(text)
-    padded = np.concatenate([text, np.zeros(2, np.int64)])
-    keys = (padded[:-2] << 42) | (padded[1:-1] << 21) | padded[2:]
-    order = np.argsort(keys)
-    rank, places, width, levels = np.empty(n, np.int64), np.arange(n), 3, []
-    sorted_keys = keys[order]
-    while True:
-        fresh = np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]])
-        rank[order[places]] = places[np.maximum.accumulate(np.where(fresh, np.arange(len(places)), 0))]
-        levels.append((width, rank.copy()))
-        places = places[~(fresh & np.append(fresh[1:], True))]
-        if not len(places):
-            return order, levels
-        tied = order[places]
-        after = tied + width
-        keys = rank[tied] * (n + 1) + np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
-        by = np.argsort(keys)
-        order[places], sorted_keys = tied[by], keys[by]
-        width *= 2
-
-
-def common_prefix(text: np.ndarray, levels: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The length of the common prefix of the suffixes at ``a`` and ``b``: as the last level's ranks are all
-    different, every width matches once at most on the way down; two symbols may be left."""
-    length = np.zeros(len(a), np.int64)
-    n = len(text)
-    for width, rank in [*reversed(levels), (1, text), (1, text)]:
-        at, to = a + length, b + length
-        inside = (at < n) & (to < n)
-        same = inside.copy()
-        same[inside] = rank[at[inside]] == rank[to[inside]]
-        length += width * same
-    return length
+
+    def __init__(self, text: np.ndarray, ends: int | None = None):
+        ends = int(text.max()) + 1 if ends is None else ends
+        n = len(text)
+        self.bits = max(ends.bit_length(), 1)
+        self.symbols = 63 // self.bits
+        symbols = np.concatenate([np.minimum(text, ends), np.zeros(self.symbols - 1, np.int64)])
+        self.keys = np.zeros(n, np.int64)
+        for i in range(self.symbols):
+            self.keys <<= self.bits
+            self.keys |= symbols[i : i + n]
+        #: How far on the next number found once is; the last of the text is one.
+        stop = np.flatnonzero(text >= ends)
+        stop = stop if len(stop) and stop[-1] == n - 1 else np.append(stop, n - 1)
+        self.left = np.repeat(stop, np.diff(stop, prepend=-1)) - np.arange(n)
+        self.positions = np.argsort(self.keys)
+        #: (width, ranks by prefixes of that width); a rank is the place of the first of all equal prefixes.
+        self.levels: list[tuple[int, np.ndarray]] = []
+        self._refine()
+
+    def _refine(self) -> None:
+        order, n, width = self.positions, len(self.positions), self.symbols
+        rank, places, tied = np.empty(n, np.int32), np.arange(n), order
+        keys = self.keys[order]
+        single = self.left[order] < width
+        while True:
+            fresh = np.ones(len(places), bool)
+            np.not_equal(keys[1:], keys[:-1], out=fresh[1:])
+            fresh |= single
+            rank[tied] = places[np.maximum.accumulate(np.where(fresh, np.arange(len(places)), 0))]
+            again = ~(fresh & np.append(fresh[1:], True))
+            if not again.any():
+                return
+            self.levels.append((width, rank.copy()))
+            # Tied suffixes agree so far, so none has met its number found once: all go on within the text.
+            places, tied = places[again], tied[again]
+            keys = (rank[tied].astype(np.int64) << 32) | rank[tied + width]
+            by = np.argsort(keys)
+            tied, keys = tied[by], keys[by]
+            order[places] = tied
+            single = np.zeros(len(places), bool)
+            width *= 2
+
+    def common_prefix(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The length of the common prefix of the suffixes at ``a`` and ``b``, different positions: the ranks of the widest
+        level left out are all different, so every width matches once at most on the way down; the keys tell the rest."""
+        at, to = a.copy(), b.copy()
+        for width, rank in reversed(self.levels):
+            step = width * (rank[at] == rank[to])
+            at += step
+            to += step
+        differ = self.keys[at] ^ self.keys[to]
+        more = np.zeros(len(a), np.int64)
+        for i in range(1, self.symbols + 1):
+            more += (differ >> (self.bits * (self.symbols - i))) == 0
+        return at - a + np.minimum(more, np.minimum(self.left[at], self.left[to]))
 
 
 def dedup_spans(rows: DataFrame, length: int, gram: int, group: int, block_bytes: int) -> DataFrame:
@@ -119,12 +144,12 @@ def _index_block(table: pa.Table, length: int) -> pa.RecordBatch | None:
     # Each passage ends in a number of its own, so no match runs past its end.
     at = offsets + np.arange(count + 1)
     text = np.empty(len(data) + count, np.int64)
-    text[at[1:] - 1] = 256 + 1 + np.arange(count)
+    text[at[1:] - 1] = 257 + np.arange(count)
     body = np.ones(len(text), bool)
     body[at[1:] - 1] = False
     text[body] = data.astype(np.int64) + 1
     often = np.flatnonzero(table.column("times").to_numpy() > 1)
-    found = RunLengthIndex(text, (at[often], at[often + 1] - 1)).matching_statistics() >= length
+    found = RunLengthIndex(text, (at[often], at[often + 1] - 1), ends=257).matching_statistics() >= length
     found[at[1:] - 1] = False
     edge = np.diff(np.concatenate([[0], found.astype(np.int8), [0]]))
     begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)

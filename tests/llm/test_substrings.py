@@ -103,9 +103,25 @@ def test_matching_statistics_equal_brute_force():
         return n
 
     want = [max(common(i, j) for j in range(len(symbols)) if j != i) for i in range(len(symbols))]
-    index = RunLengthIndex(text)
-    assert index.matching_statistics().tolist() == want
-    assert len(index.heads) < len(text)
+    for ends in (None, 300):
+        index = RunLengthIndex(text, ends=ends)
+        assert index.matching_statistics().tolist() == want
+        assert len(index.heads) < len(text)
+
+
+def test_matching_statistics_of_short_and_empty_passages():
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        parts = [np.append(rng.integers(1, rng.integers(2, 5), rng.integers(0, 30)), 257 + k) for k in range(rng.integers(1, 6))]
+        symbols = [int(x) for part in parts for x in part]
+        text = np.array(symbols, np.int64)
+        ahead = [[0] * (len(symbols) + 1) for _ in range(len(symbols) + 1)]
+        for i in reversed(range(len(symbols))):
+            for j in reversed(range(len(symbols))):
+                ahead[i][j] = 1 + ahead[i + 1][j + 1] if symbols[i] == symbols[j] and i != j else 0
+        want = [max(ahead[i]) for i in range(len(symbols))]
+        for ends in (None, 257):
+            assert RunLengthIndex(text, ends=ends).matching_statistics().tolist() == want
 
 
 def test_a_run_of_copies_answers_as_its_copies_would():
