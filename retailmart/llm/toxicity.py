@@ -10,6 +10,7 @@ of hits are weighed by a logistic model.
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -341,9 +342,10 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = 0.5, id_col
     Only the text makes the score; null and empty texts have no hits. An empty table gives no rows.
     """
     found = _hit_rows(doc_texts(docs, id_col, text_col).withColumn("label", F.lit(0)), model.terms, model.known)
-    total = F.lit(float(model.weights[0]))
+    # The first weight stands outside Spark's exponential, whose last bit may differ from Python's: without hits the score is exact.
+    total = F.lit(0.0)
     for k, weight in enumerate(model.weights[1:]):
         total = total + F.lit(float(weight)) * F.col("signals")[k]
-    score = 1 / (1 + F.exp(-total))
+    score = 1 / (1 + F.lit(math.exp(-model.weights[0])) * F.exp(-total))
     scored = found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), "hits")
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "hits")
